@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from drayage.llm import mixing, sharding
+from drayage.llm import bpe, mixing, sharding, token_counts
 from drayage.llm.common import table
 
 
@@ -14,12 +15,20 @@ def op1_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op3_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"), block=256)
 
 
+def op9_byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_and_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hash_tree_shards, op4_source_mix)}
+    return {f.__name__: f for f in (op1_hash_tree_shards, op3_prefix_token_counts, op4_source_mix, op9_byte_bpe_round_trip)}
 
 
 def oracle_sql() -> dict[str, str]:
