@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,22 @@ from pyspark.sql import functions as F
 NULL_ID = -(2**63)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this library to the executors, once for each application: Arrow functions import it there."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        _shipped.add(app)
+        root = Path(__file__).resolve().parents[2]
+        folder = Path(tempfile.mkdtemp(prefix="spark-"))
+        shutil.copytree(root / "drayage", folder / "lib" / "drayage", ignore=shutil.ignore_patterns("__pycache__"))
+        spark.sparkContext.addPyFile(shutil.make_archive(str(folder / "drayage"), "zip", folder / "lib"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from drayage.llm import bpe, mixing, sharding, token_counts
+from drayage.llm import bpe, language_id, mixing, sharding, token_counts
 from drayage.llm.common import table
 
 
@@ -23,12 +23,16 @@ def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"), block=256)
 
 
+def op8_hyperdimensional_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_held_out(table(spark, sf_dir, "documents"))
+
+
 def op9_byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hash_tree_shards, op3_prefix_token_counts, op4_source_mix, op9_byte_bpe_round_trip)}
+    return {f.__name__: f for f in (op1_hash_tree_shards, op3_prefix_token_counts, op4_source_mix, op8_hyperdimensional_language_id, op9_byte_bpe_round_trip)}
 
 
 def oracle_sql() -> dict[str, str]:

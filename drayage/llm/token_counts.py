@@ -167,13 +167,13 @@ def fit(counts: np.ndarray, budget: int) -> int:
     return int(ok[-1]) + 1 if len(ok) else 0
 
 
-def batches(texts: list[str], chars: int = 2_000_000) -> Iterator[list[str]]:
-    """The texts in order, in lists of about so many characters, so that memory follows the longest text and not the batch."""
+def batches(texts: list[str], chars: int = 2_000_000, most: int = 100_000) -> Iterator[list[str]]:
+    """The texts in order, in lists of about so many characters and at most `most` texts: memory follows the longest text."""
     held, size = [], 0
     for t in texts:
         held.append(t)
         size += len(t)
-        if size >= chars:
+        if size >= chars or len(held) >= most:
             yield held
             held, size = [], 0
     if held:
