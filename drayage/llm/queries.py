@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from drayage.llm import bpe, language_id, mixing, sharding, token_counts
+from drayage.llm import bpe, jaccard_join, language_id, mixing, sharding, token_counts
 from drayage.llm.common import table
 
 
@@ -31,8 +31,12 @@ def op9_byte_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_and_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
 
 
+def op10_shingle_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), width=4, share=(85, 100))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hash_tree_shards, op3_prefix_token_counts, op4_source_mix, op8_hyperdimensional_language_id, op9_byte_bpe_round_trip)}
+    return {f.__name__: f for f in (op1_hash_tree_shards, op3_prefix_token_counts, op4_source_mix, op8_hyperdimensional_language_id, op9_byte_bpe_round_trip, op10_shingle_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
