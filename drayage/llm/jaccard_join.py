@@ -237,8 +237,14 @@ def _verified(rows: DataFrame, width: int, share: tuple[int, int], pairs: DataFr
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The documents, columns unchanged, that are the first of their component: the rows whose id is the component's.
 
-    Documents without words, and rows without an id, stay; of rows with the same id and text one stays.
+    Documents without words, and rows without an id, stay. Of rows that repeat both id and text one stays.
     """
-    found = jaccard_components(docs, **options).where("component_id IS NOT NULL AND doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(cut(found, "copies"), F.col("doc_id") == F.col("__gone"), "left_anti")
-    return kept
+    id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
+    found = cut(jaccard_components(docs, **options).where("component_id IS NOT NULL"), "components")
+    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
+    kept = docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    again = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__again")).count().where("count > 1").select("__again")
+    if again.isEmpty():
+        return kept
+    repeated = kept.join(again, F.col(id_col) == F.col("__again"), "left_semi").dropDuplicates([id_col, text_col])
+    return kept.join(again, F.col(id_col) == F.col("__again"), "left_anti").unionByName(repeated)

@@ -116,3 +116,17 @@ def mix_documents(docs: DataFrame, block: int = 256, cap: float = 3.0, **cols) -
     return rows.join(taken, "row", "left").select(
         "doc_id", "source", "size", "source_size", F.col("target").cast("double"), F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
     )
+
+
+def mix_rows(docs: DataFrame, block: int = 256, cap: float = 3.0) -> DataFrame:
+    """The documents as the mix takes them, columns unchanged: each as often as the mix begins it, so never, once or up to cap times.
+
+    The last document of a source is taken whole, so a source exceeds its target by less than one document. Rows that share
+    id, source and size are all taken as often as the one taken most.
+    """
+    took = mix_documents(docs, block, cap).where("taken > 0")
+    took = took.groupBy("doc_id", "source", "size").agg(F.max(F.ceil(F.col("taken") / F.col("size"))).cast("int").alias("__times"))
+    took = cut(took.select(F.col("doc_id").alias("__id"), F.col("source").alias("__of"), F.col("size").alias("__size"), "__times"), "mix-times")
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__of")) & (F.col("__n") == F.col("__size"))
+    rows = docs.withColumn("__n", n_words(F.col("text"))).join(took, same)
+    return rows.withColumn("__lap", F.explode(F.sequence(F.lit(1), "__times"))).select(*[F.col(f"`{c}`") for c in docs.columns])
