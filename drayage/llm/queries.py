@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from drayage.llm import bpe, embedding_dedup, exact_topk, jaccard_join, language_id, mixing, sharding, token_counts
+from drayage.llm import bpe, embedding_dedup, exact_topk, jaccard_join, language_id, mixing, sharding, token_counts, url_filter
 from drayage.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op6_cross_polytope_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link_embeddings(table(spark, sf_dir, "embeddings"), least=0.98)
 
 
+def op7_url_likelihood_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op8_hyperdimensional_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_held_out(table(spark, sf_dir, "documents"))
 
@@ -44,7 +48,7 @@ def op10_shingle_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hash_tree_shards, op3_prefix_token_counts, op4_source_mix, op5_mtree_top_k, op6_cross_polytope_dedup, op8_hyperdimensional_language_id, op9_byte_bpe_round_trip, op10_shingle_jaccard_join)}
+    return {f.__name__: f for f in (op1_hash_tree_shards, op3_prefix_token_counts, op4_source_mix, op5_mtree_top_k, op6_cross_polytope_dedup, op7_url_likelihood_filter, op8_hyperdimensional_language_id, op9_byte_bpe_round_trip, op10_shingle_jaccard_join)}
 
 
 def oracle_sql() -> dict[str, str]:
