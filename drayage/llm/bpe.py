@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from drayage.llm import pieces
+from drayage.llm.lookup import NONE, Lookup
 from drayage.llm.token_counts import batches
 
 #: Pieces up to so many bytes are folded together as rows of one array; longer ones are merged one by one.
 ROW_BYTES = 48
 #: A worker remembers between one and two times this many pieces.
 REMEMBERED = 350_000
-NONE = np.int32(2**31 - 1)
 
 
 class Ranks:
@@ -33,38 +33,12 @@ class Ranks:
         self.byte = np.array([self.rank[bytes([b])] for b in range(256)], np.int32)
         # every way to split a token into two tokens: (left id, right id) -> merged id
         found = [(self.rank[t[:k]] << 32 | self.rank[t[k:]], r) for t, r in self.rank.items() for k in range(1, len(t)) if t[:k] in self.rank and t[k:] in self.rank]
-        size = 1 << max(4, (4 * len(found)).bit_length())
-        self.mask, self.key, self.merged = size - 1, np.full(size, -1, np.int64), np.full(size, NONE, np.int32)
-        keys, values = np.array([k for k, _ in found], np.int64), np.array([v for _, v in found], np.int32)
-        self.probes = 0
-        while len(keys):  # open addressing: all keys try a slot, losers try the next
-            slot = (self._slot(keys) + self.probes) & self.mask
-            free = self.key[slot] == -1
-            self.key[slot[free]] = keys[free]
-            won = self.key[slot] == keys
-            self.merged[slot[won]] = values[won]
-            keys, values = keys[~won], values[~won]
-            self.probes += 1
+        self.merges = Lookup(np.array([k for k, _ in found], np.int64), np.array([v for _, v in found], np.int32))
         self.known, self.older = {}, {}
 
-    @staticmethod
-    def _slot(keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64)
-
     def pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair's merge, NONE where the bytes together are no token."""
-        keys = left.astype(np.int64) << 32 | right.astype(np.int64)
-        slot, out = self._slot(keys) & self.mask, np.full(len(keys), NONE, np.int32)
-        open_ = np.arange(len(keys))
-        for _ in range(self.probes):
-            at = self.key[slot]
-            hit = at == keys
-            out[open_[hit]] = self.merged[slot[hit]]
-            go = ~hit & (at != -1)
-            if not go.any():
-                break
-            open_, keys, slot = open_[go], keys[go], (slot[go] + 1) & self.mask
-        return out
+        return self.merges(left.astype(np.int64) << 32 | right.astype(np.int64))
 
     def fold(self, data: np.ndarray) -> list[bytes]:
         """Encode rows of one length: each step merges every row's pair of least rank, the leftmost of equals."""

@@ -12,9 +12,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from drayage.llm import pieces
+from drayage.llm.lookup import NONE, Lookup
 
 #: A worker remembers between one and two times this many pieces, those met last; others are worked out anew.
 REMEMBERED = 350_000
+#: Pieces up to so many bytes are worked out together as rows of one array.
+ROW_BYTES = 40
 
 
 class Vocabulary:
@@ -39,10 +42,23 @@ class Vocabulary:
             a, b = merge if isinstance(merge, list) else merge.split(" ")
             self.rank.setdefault((raw[a], raw[b]), n)
         self.special = [t["content"] for t in spec["added_tokens"]]
-        self.tokens = {t for t in raw.values() if len(t) == 1 or self.encode(t) == [t]}
-        self.longest = max(map(len, self.tokens))
-        self.pairs: dict[tuple[bytes, bytes], bool] = {}
-        self.known = Known(self)
+        own = sorted(t for t in raw.values() if len(t) == 1 or self.encode(t) == [t])
+        self.number = {t: n for n, t in enumerate(own)}
+        self.token, self.longest = own, max(map(len, own))
+        # a trie over the tokens: (node, byte) -> node, and each node's token
+        nodes, token, steps = {b"": 0}, [-1], []
+        for t in own:
+            for k in range(1, len(t) + 1):
+                if t[:k] not in nodes:
+                    nodes[t[:k]] = len(nodes)
+                    token.append(-1)
+                    steps.append((nodes[t[: k - 1]] << 8 | t[k - 1], nodes[t[:k]]))
+            token[nodes[t]] = self.number[t]
+        self.step = Lookup(np.array([k for k, _ in steps], np.int64), np.array([v for _, v in steps], np.int32))
+        self.node_token = np.array([*token, -1], np.int32)  # the last one for no node
+        self.pairs: dict[int, bool] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, data: bytes) -> list[bytes]:
         """Merge by rank, for short byte strings."""
@@ -54,47 +70,86 @@ class Vocabulary:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def stands(self, s: bytes, t: bytes) -> bool:
-        ok = self.pairs.get((s, t))
+    def stands(self, pair: int) -> bool:
+        """Whether two tokens, numbered in the halves of `pair`, stay apart when encoded together."""
+        ok = self.pairs.get(pair)
         if ok is None:
-            if len(self.pairs) > REMEMBERED:
+            if len(self.pairs) > 2 * REMEMBERED:
                 self.pairs.clear()
-            ok = self.pairs[s, t] = self.encode(s + t) == [s, t]
+            s, t = self.token[pair >> 32], self.token[pair & 0xFFFFFFFF]
+            ok = self.pairs[pair] = self.encode(s + t) == [s, t]
         return ok
 
-    def prefixes(self, piece: str) -> list[int]:
-        """Token count of piece[:1], piece[:2], ... for one match of the pattern."""
-        data = piece.encode("utf-8", "replace")
-        last, count, tokens = [b""] * (len(data) + 1), [0] * (len(data) + 1), self.tokens
+    def _stand(self, pairs: np.ndarray) -> np.ndarray:
+        each, at = np.unique(pairs, return_inverse=True)
+        return np.fromiter(map(self.stands, each.tolist()), bool, len(each))[at]
+
+    def prefixes(self, data: np.ndarray) -> np.ndarray:
+        """Token counts of data[:, :1], data[:, :2], ... for rows of bytes of one length, each one piece."""
+        m, n = data.shape
+        last, count = np.full((n + 1, m), -1, np.int64), np.zeros((n + 1, m), np.uint32)
+        node = np.full((n, m), len(self.node_token) - 1, np.int32)  # node[q]: where the bytes from q on have led
+        dead = len(self.node_token) - 1
+        for p in range(1, n + 1):
+            byte = data[:, p - 1].astype(np.int64)
+            node[p - 1] = 0
+            todo = np.arange(m)
+            for q in range(max(0, p - self.longest), p):
+                live = np.flatnonzero(node[q] != dead)
+                if not len(live):
+                    continue
+                to = self.step(node[q, live].astype(np.int64) << 8 | byte[live])
+                node[q, live] = np.where(to == NONE, dead, to)
+                t = self.node_token[node[q, todo]]
+                can = np.flatnonzero(t >= 0)
+                if q and len(can):
+                    can = can[self._stand(last[q, todo[can]] << 32 | t[can])]
+                if len(can):
+                    at = todo[can]
+                    last[p, at], count[p, at] = t[can], count[q, at] + 1
+                    todo = np.delete(todo, can)
+            if len(todo):
+                raise AssertionError("no last token")
+        return count[1:].T
+
+    def learn(self, new: list[str]) -> None:
+        """Work out the prefix counts of distinct pieces, kept as bytes of 32-bit numbers, one for each character."""
+        raw = [p.encode("utf-8", "replace") for p in new]
+        by_size: dict[int, list[int]] = {}
+        for k, b in enumerate(raw):
+            by_size.setdefault(len(b) if len(b) <= ROW_BYTES else -k - 1, []).append(k)
+        for ks in by_size.values():
+            n = len(raw[ks[0]])
+            rows = np.frombuffer(b"".join([raw[k] for k in ks]), np.uint8).reshape(len(ks), n)
+            counts = np.ascontiguousarray(self.prefixes(rows) if n <= ROW_BYTES else self.prefixes_long(raw[ks[0]])[None, :])
+            flat = counts.tobytes()
+            for j, k in enumerate(ks):
+                if len(new[k]) == n:
+                    self.known[new[k]] = flat[4 * n * j : 4 * n * (j + 1)]
+                else:
+                    ends = np.flatnonzero(np.append(rows[j, 1:], 0) & 0xC0 != 0x80)
+                    self.known[new[k]] = counts[j, ends].tobytes()
+
+    def prefixes_long(self, data: bytes) -> np.ndarray:
+        """The same for one long piece."""
+        last, count, number = [-1] * (len(data) + 1), np.zeros(len(data) + 1, np.uint32), self.number
         for p in range(1, len(data) + 1):
             for q in range(max(0, p - self.longest), p):
-                t = data[q:p]
-                if t in tokens and (not q or self.stands(last[q], t)):
+                t = number.get(data[q:p])
+                if t is not None and (not q or self.stands(last[q] << 32 | t)):
                     last[p], count[p] = t, count[q] + 1
                     break
-            else:
-                raise AssertionError("no last token")
-        if len(data) == len(piece):
-            return count[1:]
-        ends = np.cumsum([len(c.encode("utf-8", "replace")) for c in piece])
-        return [count[e] for e in ends]
-
-
-class Known(dict):
-    """Prefix counts of a piece as bytes of 32-bit numbers, worked out when first met; two generations bound its size."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary, self.older = vocabulary, {}
+        return count[1:]
 
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) > REMEMBERED:
-            self.older = dict(self)
-            self.clear()
-        out = self.older.pop(piece, None)
-        if out is None:
-            out = np.array(self.vocabulary.prefixes(piece), np.uint32).tobytes()
-        self[piece] = out
-        return out
+    def counts_of(self, found: list[str]) -> list[bytes]:
+        """The prefix counts of each piece; those met lately are remembered, in two generations that bound their number."""
+        if len(self.known) > REMEMBERED:
+            self.older, self.known = self.known, {}
+        new = set(found).difference(self.known)
+        back = {p: self.older[p] for p in new if p in self.older}
+        self.known.update(back)
+        self.learn([p for p in new if p not in back])
+        return list(map(self.known.__getitem__, found))
 
 
 @lru_cache(maxsize=4)
@@ -111,7 +166,8 @@ def _plain(texts: list[str], voc: Vocabulary) -> list[np.ndarray]:
     if not len(begin):
         return [np.zeros(0, np.int64) for _ in texts]
     stop = np.append(begin[1:], len(whole))
-    inner = np.frombuffer(b"".join(map(voc.known.__getitem__, map(whole.__getitem__, map(slice, begin.tolist(), stop.tolist())))), np.uint32)
+    found = list(map(whole.__getitem__, map(slice, begin.tolist(), stop.tolist())))
+    inner = np.frombuffer(b"".join(voc.counts_of(found)), np.uint32)
     last = inner[stop - 1].astype(np.int64)
     before = np.cumsum(last) - last
     at = np.searchsorted(begin, ends - sizes)
@@ -120,10 +176,10 @@ def _plain(texts: list[str], voc: Vocabulary) -> list[np.ndarray]:
     out = inner + np.repeat(before - base[owner], stop - begin)
     kind = pieces.classes()[pieces.code_points(whole)]
     # a prefix that ends in white space holds the whole run as one match
-    runs = np.flatnonzero((kind[begin[1:]] == pieces.SPACE) & (kind[begin[:-1]] == pieces.SPACE) & (owner[1:] == owner[:-1])) + 1
+    runs = np.flatnonzero((kind[begin[1:]] == pieces.SPACE) & (kind[begin[1:] - 1] == pieces.SPACE) & (owner[1:] == owner[:-1])) + 1
     for k in runs.tolist():
         run = whole[begin[k - 1] : begin[k] + 1]
-        out[begin[k]] = before[k - 1] - base[owner[k]] + np.frombuffer(voc.known[run], np.uint32)[-1]
+        out[begin[k]] = before[k - 1] - base[owner[k]] + np.frombuffer(voc.counts_of([run])[0], np.uint32)[-1]
     # a contraction of three characters, cut after two, is an apostrophe and a letter
     short = np.flatnonzero(stop - begin == 3)
     for k in short[pieces.code_points(whole)[begin[short]] == 0x27].tolist():
