@@ -72,8 +72,9 @@ def standings(incidents: DataFrame, limit: int = 10) -> DataFrame:
     )
     monthly = daily.groupBy("driver_id", "month_year").agg(
         F.max("strikes").alias("current_strikes"),
-        F.sum("deduction").alias("total_deductions"),
-        F.sum("rate").alias("final_payable_rate"),
+        # money adds up in decimals, so the order of rows does not show
+        F.sum(F.col("deduction").cast("decimal(18,2)")).cast("double").alias("total_deductions"),
+        F.sum(F.col("rate").cast("decimal(18,2)")).cast("double").alias("final_payable_rate"),
         F.max("created").alias("created_ts"),
     )
     monthly = monthly.withColumn("status", F.when(F.col("current_strikes") >= limit, "SUSPENDED").otherwise("ACTIVE"))
