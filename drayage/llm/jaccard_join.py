@@ -2,8 +2,8 @@
 
 Sets are equal, or alike, far more often than chance has it, and that is used three times. Equal sets are one node. A
 token's index list is split into blocks by set size, and a pair of entries is looked at only where sizes, positions and a
-parity bitmap still allow the threshold. And a list first compares its members with a few leaders: a set that links with
-its leader inherits the leader's answer, the component; only lists whose members are still in several components are opened
+parity bitmap still allow the threshold. And each set is first compared with the list leader it shares most tokens with: a
+set that links with its leader inherits the leader's answer, the component; only lists whose members are still in several components are opened
 further, for pairs across components. Components are exact: every pair of different components that shares a prefix token
 and passes the bounds, all of which are necessary, is verified on the full sets.
 """
@@ -25,16 +25,21 @@ from drayage.llm.token_counts import batches
 #: At most so many frequent shingles are told to the workers, to order them last; the order never changes the result.
 FREQUENT = 65_536
 #: Shingles are counted in blocks of about so many; a block reports those it has met in LOCAL documents or more.
-COUNTED, LOCAL = 4_000_000, 4
-LEADERS = 4
+COUNTED, LOCAL = 1_000_000, 4
+#: A task remembers so many set digests, to pass over equal sets; forgetting some costs a few repeated rows.
+SEEN = 200_000
+#: 64-bit words of a set's parity bitmap.
+WORDS = 16
+ROUNDS = 2
 #: Bits of the table that spares most sets that are in no candidate pair the way to the verification.
 SIFT_BITS = 24
+BITS = [f"b{k}" for k in range(WORDS)]
 
 
 def _sets(frame: pd.DataFrame, width: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
     """(rows of the frame, text number in them, shingle hash)."""
     at = 0
-    for held in batches([t or "" for t in frame["text"]], 1_000_000, 4096):
+    for held in batches([t or "" for t in frame["text"]], 500_000, 1024):
         yield slice(at, at + len(held)), *shingle_sets(held, width)
         at += len(held)
 
@@ -51,7 +56,7 @@ def _nodes(doc: np.ndarray, h: np.ndarray, texts: int) -> tuple[np.ndarray, np.n
 
 
 def _profiles(rows: DataFrame, width: int) -> DataFrame:
-    """One row for each document (doc_id, node, n, parity bits b0 to b3), and rows (token, met) for shingles that a block repeats."""
+    """One row for each document (doc_id, node, n, a parity bitmap), and rows (token, met) for shingles that a block repeats."""
 
     def report(held: list[np.ndarray]) -> pd.DataFrame:
         token, met = np.unique(np.concatenate(held), return_counts=True)
@@ -59,28 +64,26 @@ def _profiles(rows: DataFrame, width: int) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
+        nothing = dict.fromkeys(["doc_id", "node", "n", *BITS])
         for f in frames:
             for part, doc, h in _sets(f, width):
                 ids = f["doc_id"].iloc[part].reset_index(drop=True)
                 first, n, node = _nodes(doc, h, len(ids))
                 out = {"doc_id": ids, "node": node, "n": n}
-                full = n > 0
-                for k in range(4):
-                    bits = np.zeros(len(ids), np.uint64)
-                    if full.any():
-                        own = np.where((h >> np.uint64(6)) & np.uint64(3) == k, np.uint64(1) << (h & np.uint64(63)), np.uint64(0))
-                        bits[full] = np.bitwise_xor.reduceat(own, first[full])
-                    out[f"b{k}"] = bits.view(np.int64)
+                size_of = 64 * WORDS
+                odd = np.bincount(doc * size_of + (h % np.uint64(size_of)).astype(np.int64), minlength=len(ids) * size_of) & 1
+                bits = np.packbits(odd.astype(np.uint8).reshape(len(ids), size_of), axis=1).view(np.int64)
+                out |= {c: bits[:, k] for k, c in enumerate(BITS)}
                 yield pd.DataFrame(out).assign(token=None, met=None)
                 held.append(h)
                 size += len(h)
                 if size >= COUNTED:
-                    yield report(held).assign(doc_id=None, node=None, n=None, b0=None, b1=None, b2=None, b3=None)
+                    yield report(held).assign(**nothing)
                     held, size = [], 0
         if size:
-            yield report(held).assign(doc_id=None, node=None, n=None, b0=None, b1=None, b2=None, b3=None)
+            yield report(held).assign(**nothing)
 
-    return rows.mapInPandas(run, "doc_id long, node long, n int, b0 long, b1 long, b2 long, b3 long, token long, met long")
+    return rows.mapInPandas(run, f"doc_id long, node long, n int, {', '.join(f'{c} long' for c in BITS)}, token long, met long")
 
 
 def _prefixes(rows: DataFrame, width: int, share: tuple[int, int], frequent: np.ndarray) -> DataFrame:
@@ -108,7 +111,7 @@ def _prefixes(rows: DataFrame, width: int, share: tuple[int, int], frequent: np.
                     if n[k] and x not in seen:
                         seen.add(x)
                         fresh[k] = True
-                if len(seen) > 1_000_000:
+                if len(seen) > SEEN:
                     seen.clear()
                 keep = fresh[doc] & (pos < (n - -(-n * share[0] // share[1]) + 1)[doc])
                 own = doc[keep]
@@ -129,7 +132,7 @@ def _sifted(rows: DataFrame, width: int, sift: np.ndarray) -> DataFrame:
                 maybe = (sift[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) != 0
                 ks = [k for k in np.flatnonzero(maybe & (n > 0)).tolist() if node[k] not in seen]
                 seen.update(node[ks].tolist())
-                if len(seen) > 1_000_000:
+                if len(seen) > SEEN:
                     seen.clear()
                 if ks:
                     yield pd.DataFrame({"node": node[ks], "shingles": [h[first[k] : first[k] + n[k]].view(np.int64) for k in ks]})
@@ -151,7 +154,7 @@ def _may_link(a: str, b: str, share: tuple[int, int]) -> Column:
     """Bounds on two profiles: size, and the bits in which their parities differ, each of which a differing shingle must explain."""
     p, q = share
     small, large = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
-    apart = sum((F.bit_count(F.col(f"{a}.b{k}").bitwiseXOR(F.col(f"{b}.b{k}"))) for k in range(4)), F.lit(0))
+    apart = sum((F.bit_count(F.col(f"{a}.b{k}").bitwiseXOR(F.col(f"{b}.b{k}"))) for k in range(WORDS)), F.lit(0))
     # i >= p/q * (n + m - i), so n + m - 2i <= (q - p) / (q + p) * (n + m)
     return (small * q >= large * p) & (apart * (q + p) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (q - p))
 
@@ -170,22 +173,25 @@ def jaccard_components(docs: DataFrame, width: int = 4, share: tuple[int, int] =
     counted = profile.where("token IS NOT NULL").groupBy("token").agg(F.sum("met").alias("met"))
     frequent = [r["token"] for r in counted.orderBy(F.desc("met"), "token").limit(FREQUENT).collect()]
     frequent = np.array(frequent[::-1], np.int64).view(np.uint64)
-    each = profile.where("token IS NULL").select("doc_id", "node", "n", "b0", "b1", "b2", "b3")
-    nodes = each.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("id"), *[F.min(c).alias(c) for c in ("n", "b0", "b1", "b2", "b3")])
-    nodes = cut(nodes, "shingle-nodes")
-    short = nodes.select("node", "n", "b0", "b1", "b2", "b3")
+    each = profile.where("token IS NULL")
+    nodes = cut(each.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("id"), *[F.min(c).alias(c) for c in ("n", *BITS)]), "shingle-nodes")
+    each, short = each.select("doc_id", "node", "n"), nodes.select("node", "n", *BITS)
 
     entries = _prefixes(rows, width, share, frequent)
     every = Window.partitionBy("token")
     entries = entries.withColumn("least", F.min("node").over(every)).withColumn("most", F.max("node").over(every))
     entries = cut(entries.where("least != most").select("token", "node", "n", "pos").distinct(), "index-lists")
 
-    leaders = entries.groupBy("token").agg(*[F.min_by("node", F.xxhash64(F.lit(k), "node")).alias(f"l{k}") for k in range(LEADERS)])
-    leaders = cut(leaders.select("token", F.array_distinct(F.array(*[f"l{k}" for k in range(LEADERS)])).alias("leaders")), "leaders")
-    pairs = entries.join(leaders, "token").select("node", F.explode("leaders").alias("leader")).where("node != leader")
-    pairs = cut(pairs.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct(), "leader-pairs")
-    edges = _verified(rows, width, share, _possible(pairs, short, share))
-    labels = components(edges)
+    shared = cut(entries.groupBy("node").agg(F.first("n").alias("n"), F.collect_set("token").alias("tokens")), "shared-tokens")
+
+    labels, edges, tried = None, None, None
+    for k in range(ROUNDS):
+        pairs = cut(_with_leaders(entries, labels, k), "leader-pairs")
+        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+        found = _verified(rows, width, share, _possible(pairs, short, shared, share))
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        edges = found if edges is None else edges.unionByName(found)
+        labels = components(edges)
 
     # lists whose members are still in several components
     entries = cut(
@@ -207,8 +213,8 @@ def jaccard_components(docs: DataFrame, width: int = 4, share: tuple[int, int] =
         & (after * (share[0] + share[1]) >= (F.col("l.n") + F.col("r.n")) * share[0])
         & _may_link("l", "r", share),
     )
-    rest = cut(rest.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"), "open-pairs")
-    edges = edges.unionByName(_verified(rows, width, share, rest))
+    rest = cut(rest.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "open-pairs")
+    edges = edges.unionByName(_verified(rows, width, share, _possible(rest, short, shared, share)))
     labels = components(edges)
 
     smallest = labels.join(nodes.select("node", "id"), "node").groupBy("component").agg(F.min("id").alias("smallest"))
@@ -218,9 +224,33 @@ def jaccard_components(docs: DataFrame, width: int = 4, share: tuple[int, int] =
     return each.join(smallest, "node", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
 
 
-def _possible(pairs: DataFrame, short: DataFrame, share: tuple[int, int]) -> DataFrame:
+def _with_leaders(entries: DataFrame, labels: DataFrame | None, seed: int) -> DataFrame:
+    """Pairs (a, b) of a set and the list leader that it shares most tokens with, of another component: one for each set."""
+    if labels is not None:
+        entries = cut(entries.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled-lists")
+    else:
+        entries = entries.withColumn("component", F.col("node"))
+    leader = F.min_by(F.struct(F.col("node").alias("leader"), F.col("component").alias("other")), F.xxhash64(F.lit(seed), "node"))
+    leaders = cut(entries.groupBy("token").agg(leader.alias("l")).select("token", "l.*"), "leaders")
+    met = entries.join(leaders, "token").where("component != other").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("shared"))
+    best = met.groupBy("node").agg(F.max(F.struct("shared", "leader"))["leader"].alias("leader"))
+    return best.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
+
+
+def _possible(pairs: DataFrame, short: DataFrame, shared: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Pairs that sizes, bitmaps and the tokens shared within the prefixes still allow.
+
+    In the order of shingles one prefix ends first; beyond its end that set has no more than its other shingles to offer,
+    so the intersection is at most the tokens that both prefixes hold and the larger rest.
+    """
+    p, q = share
     both = pairs.join(short.alias("x"), F.col("a") == F.col("x.node")).join(short.alias("y"), F.col("b") == F.col("y.node"))
-    return cut(both.where(_may_link("x", "y", share)).select("a", "b"), "possible-pairs")
+    both = cut(both.where(_may_link("x", "y", share)).select("a", "b"), "alike-pairs")
+    both = both.join(shared.alias("x"), F.col("a") == F.col("x.node")).select("a", "b", F.col("n").alias("na"), F.col("tokens").alias("ta"))
+    both = both.join(shared.alias("y"), F.col("b") == F.col("y.node")).select("a", "b", "na", "ta", F.col("n").alias("nb"), F.col("tokens").alias("tb"))
+    rest = F.greatest(*[F.ceil(F.col(n) * p / q) - 1 for n in ("na", "nb")])
+    most = F.size(F.array_intersect("ta", "tb")) + rest
+    return cut(both.where(most * (p + q) >= (F.col("na") + F.col("nb")) * p).select("a", "b"), "possible-pairs")
 
 
 def _verified(rows: DataFrame, width: int, share: tuple[int, int], pairs: DataFrame) -> DataFrame:
