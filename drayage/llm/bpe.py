@@ -20,7 +20,7 @@ from drayage.llm.token_counts import batches
 #: Pieces up to so many bytes are folded together as rows of one array; longer ones are merged one by one.
 ROW_BYTES = 48
 #: A worker remembers between one and two times this many pieces.
-REMEMBERED = 350_000
+REMEMBERED = 150_000
 
 
 class Ranks:
