@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from drayage.llm import bpe, embedding_dedup, exact_topk, jaccard_join, language_id, mixing, sharding, token_counts, url_filter
+from drayage.llm import bpe, embedding_dedup, exact_topk, jaccard_join, language_id, license_scan, mixing, sharding, token_counts, url_filter
 from drayage.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op1_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
 def op3_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
 
@@ -48,7 +52,19 @@ def op10_shingle_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_hash_tree_shards, op3_prefix_token_counts, op4_source_mix, op5_mtree_top_k, op6_cross_polytope_dedup, op7_url_likelihood_filter, op8_hyperdimensional_language_id, op9_byte_bpe_round_trip, op10_shingle_jaccard_join)}
+    every = (
+        op1_hash_tree_shards,
+        op2_license_scan,
+        op3_prefix_token_counts,
+        op4_source_mix,
+        op5_mtree_top_k,
+        op6_cross_polytope_dedup,
+        op7_url_likelihood_filter,
+        op8_hyperdimensional_language_id,
+        op9_byte_bpe_round_trip,
+        op10_shingle_jaccard_join,
+    )
+    return {f.__name__: f for f in every}
 
 
 def oracle_sql() -> dict[str, str]:
