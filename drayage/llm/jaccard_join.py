@@ -2,7 +2,7 @@
 
 Sets are equal, or alike, far more often than chance has it, and that is used three times. Equal sets are one node. A
 token's index list is split into blocks by set size, and a pair of entries is looked at only where sizes, positions and a
-parity bitmap still allow the threshold. And each set is first compared with the list leader it shares most tokens with: a
+parity bitmap still allow the threshold. And each set is first compared with the nearest of its lists' leaders, by bitmap: a
 set that links with its leader inherits the leader's answer, the component; only lists whose members are still in several components are opened
 further, for pairs across components. Components are exact: every pair of different components that shares a prefix token
 and passes the bounds, all of which are necessary, is verified on the full sets.
@@ -30,7 +30,9 @@ COUNTED, LOCAL = 1_000_000, 4
 SEEN = 200_000
 #: 64-bit words of a set's parity bitmap.
 WORDS = 16
-ROUNDS = 2
+ROUNDS = 3
+#: Leaders of an index list.
+LEADERS = 6
 #: Bits of the table that spares most sets that are in no candidate pair the way to the verification.
 SIFT_BITS = 24
 BITS = [f"b{k}" for k in range(WORDS)]
@@ -150,11 +152,16 @@ def _sift(nodes: DataFrame) -> np.ndarray:
     return out
 
 
+def _apart(a: str, b: str) -> Column:
+    """Bits in which two parity bitmaps differ."""
+    return sum((F.bit_count(F.col(f"{a}.b{k}").bitwiseXOR(F.col(f"{b}.b{k}"))) for k in range(WORDS)), F.lit(0))
+
+
 def _may_link(a: str, b: str, share: tuple[int, int]) -> Column:
     """Bounds on two profiles: size, and the bits in which their parities differ, each of which a differing shingle must explain."""
     p, q = share
     small, large = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
-    apart = sum((F.bit_count(F.col(f"{a}.b{k}").bitwiseXOR(F.col(f"{b}.b{k}"))) for k in range(WORDS)), F.lit(0))
+    apart = _apart(a, b)
     # i >= p/q * (n + m - i), so n + m - 2i <= (q - p) / (q + p) * (n + m)
     return (small * q >= large * p) & (apart * (q + p) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (q - p))
 
@@ -186,7 +193,7 @@ def jaccard_components(docs: DataFrame, width: int = 4, share: tuple[int, int] =
 
     labels, edges, tried = None, None, None
     for k in range(ROUNDS):
-        pairs = cut(_with_leaders(entries, labels, k), "leader-pairs")
+        pairs = cut(_with_leaders(entries, labels, short, share, k), "leader-pairs")
         pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
         found = _verified(rows, width, share, _possible(pairs, short, shared, share))
         tried = pairs if tried is None else tried.unionByName(pairs)
@@ -224,16 +231,19 @@ def jaccard_components(docs: DataFrame, width: int = 4, share: tuple[int, int] =
     return each.join(smallest, "node", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
 
 
-def _with_leaders(entries: DataFrame, labels: DataFrame | None, seed: int) -> DataFrame:
-    """Pairs (a, b) of a set and the list leader that it shares most tokens with, of another component: one for each set."""
+def _with_leaders(entries: DataFrame, labels: DataFrame | None, short: DataFrame, share: tuple[int, int], seed: int) -> DataFrame:
+    """Pairs (a, b) of a set and, of the leaders of its lists that are in another component, the one with the nearest bitmap."""
     if labels is not None:
         entries = cut(entries.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled-lists")
     else:
         entries = entries.withColumn("component", F.col("node"))
-    leader = F.min_by(F.struct(F.col("node").alias("leader"), F.col("component").alias("other")), F.xxhash64(F.lit(seed), "node"))
-    leaders = cut(entries.groupBy("token").agg(leader.alias("l")).select("token", "l.*"), "leaders")
-    met = entries.join(leaders, "token").where("component != other").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("shared"))
-    best = met.groupBy("node").agg(F.max(F.struct("shared", "leader"))["leader"].alias("leader"))
+    one = F.struct(F.col("node").alias("leader"), F.col("component").alias("other"))
+    leaders = entries.groupBy("token").agg(*[F.min_by(one, F.xxhash64(F.lit(LEADERS * seed + k), "node")).alias(f"l{k}") for k in range(LEADERS)])
+    leaders = cut(leaders.select("token", F.explode(F.array_distinct(F.array(*[f"l{k}" for k in range(LEADERS)]))).alias("l")).select("token", "l.*"), "leaders")
+    met = cut(entries.join(leaders, "token").where("component != other").select(F.col("node").alias("me"), "leader").distinct(), "led")
+    both = met.join(short.alias("x"), F.col("me") == F.col("x.node")).select(F.struct("x.*").alias("x"), "leader")
+    both = both.join(short.alias("y"), F.col("leader") == F.col("y.node")).where(_may_link("x", "y", share))
+    best = both.groupBy(F.col("x.node").alias("node")).agg(F.min(F.struct(_apart("x", "y").alias("apart"), "leader"))["leader"].alias("leader"))
     return best.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
 
 
