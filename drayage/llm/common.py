@@ -10,14 +10,19 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-NULL_ID = -(2**63)
+ARROW = "spark.sql.execution.arrow"
 
 
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this library to the executors, once for each application: Arrow functions import it there."""
+    """Send this library to the executors, once for each application: Arrow functions import it there.
+
+    Arrow batches are made smaller than usual, since one row is a whole document.
+    """
+    for key, most in ((f"{ARROW}.maxRecordsPerBatch", "1000"), (f"{ARROW}.maxBytesPerBatch", "8m")):
+        spark.conf.set(key, most)
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         _shipped.add(app)
