@@ -79,13 +79,20 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
     some = anchors(templates, width)
     either = r"(?<![\p{L}\p{N}])(?:" + "|".join(map(re.escape, some)) + r")(?![\p{L}\p{N}])"
     rows = docs.select(F.col(id_col).alias("doc_id"), F.lower(text_col).alias("text")).where(F.col("text").rlike(either))
-    rows = rows.select("doc_id", F.filter(F.split(F.regexp_replace("text", r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "").alias("words"))
+    words = F.filter(F.split(F.regexp_replace("text", r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
+    wanted = F.array(*map(F.lit, some))
+
+    def windows(ws: Column, length: int) -> Column:
+        span = length + length // 2
+        starts = F.sequence(F.lit(0), F.greatest(F.size(ws) - 1, F.lit(0)), F.lit(max(1, length // 4)))
+        held = F.filter(starts, lambda at: F.arrays_overlap(F.slice(ws, at + 1, span), wanted))
+        return F.transform(held, lambda at: F.struct(F.lit(length).alias("length"), at.alias("at"), F.slice(ws, at + 1, span).alias("words")))
+
+    # the words are bound to a variable, and only windows that hold an anchor become rows: no row carries a whole document
     lengths = sorted({len(words_of(x)) for x in templates.values()})
-    spans = F.array(*[F.struct(F.lit(n).alias("length"), F.lit(n + n // 2).alias("span"), F.lit(max(1, n // 4)).alias("every")) for n in lengths])
-    w = rows.select("doc_id", "words", F.explode(spans).alias("s")).select("doc_id", "words", "s.*")
-    w = w.select("doc_id", "words", "length", "span", F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.col("every"))).alias("at"))
-    w = w.select("doc_id", "length", "at", F.slice("words", F.col("at") + 1, F.col("span")).alias("words"))
-    w = w.where(F.arrays_overlap("words", F.array(*map(F.lit, some)))).select("doc_id", "length", "at", _shingles(F.col("words"), width).alias("has")).where(F.size("has") > 0)
+    found = F.transform(F.array(words), lambda ws: F.flatten(F.array(*[windows(ws, n) for n in lengths])))[0]
+    w = rows.select("doc_id", F.explode(found).alias("w")).select("doc_id", "w.*")
+    w = w.select("doc_id", "length", "at", _shingles(F.col("words"), width).alias("has")).where(F.size("has") > 0)
     w = w.select("doc_id", "length", "at", "has", F.explode(_signature(F.col("has"))).alias("b")).select("doc_id", "length", "at", "has", "b.*")
     # templates times BANDS rows, a fixed size
     met = w.join(F.broadcast(bands), ["length", "band", "least"])
