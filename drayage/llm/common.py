@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ARROW = "spark.sql.execution.arrow"
@@ -53,25 +53,45 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges(a long, b long) -> (node, component): the smallest node that links reach.
 
-    Each round takes the smallest label among a node's neighbours and then the label of that label, so paths halve. Both
-    joins read written tables on either side, which lets adaptive execution split the rows of a hub. Nodes without an edge
-    are absent. Raises if `rounds` rounds do not settle the labels.
+    Each round every node hooks to its neighbour of least hash, unless its own is less, hooks are followed to their ends, and
+    edges are contracted to pairs of ends. The hash is another one each round, so a node stays an end with probability one
+    half at most, whatever the graph and the ids: rounds grow with the logarithm of the nodes, and go on until no edge is
+    left. Joins read written tables on either side, which lets adaptive execution split the rows of a hub. Nodes without an
+    edge are absent.
     """
-    both = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a != b").distinct(), "edges")
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("component")), "labels")
-    for _ in range(rounds):
-        seen = both.join(labels, both.b == labels.node).groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
-        step = cut(
-            labels.join(seen, "node", "left").select("node", F.col("component").alias("old"), F.least("component", "near").alias("component")), "labels-step"
-        )
-        jump = step.select(F.col("node").alias("at"), F.col("component").alias("further"))
-        new = cut(
-            step.join(jump, step.component == jump["at"], "left").select("node", "old", F.least("component", "further").alias("component")), "labels"
-        )
-        labels = new.select("node", "component")
+    edges = cut(edges.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    hooked: list[DataFrame] = []
+    while not hooked or not edges.isEmpty():
+        hooked.append(_ends(edges, len(hooked)))
+        end = hooked[-1]
+        moved = edges.join(end, edges.a == end.node).select(F.col("component").alias("a"), "b")
+        moved = moved.join(end, moved.b == end.node).select("a", F.col("component").alias("b")).where("a != b")
+        edges = cut(moved.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    # the last rounds have the fewest nodes: follow ends from there
+    labels = hooked.pop()
+    while hooked:
+        at = labels.select(F.col("node").alias("at"), F.col("component").alias("further"))
+        own = hooked.pop()
+        labels = cut(own.join(at, own.component == at["at"], "left").select("node", F.coalesce("further", "component").alias("component")), "labels")
+    least = cut(labels.groupBy(F.col("component").alias("end")).agg(F.min("node").alias("least")), "labels-least")
+    return cut(labels.join(least, labels.component == least.end).select("node", F.col("least").alias("component")), "labels")
+
+
+def _ends(edges: DataFrame, seed: int) -> DataFrame:
+    """(node, component): the node at the end of each node's hooks."""
+
+    def order(node: str) -> Column:  # no two nodes have the same: xxhash64 maps longs one to one
+        return F.xxhash64(F.lit(seed), node)
+
+    both = edges.select("a", "b").union(edges.select("b", "a"))
+    near = both.groupBy(F.col("a").alias("node")).agg(F.min_by("b", order("b")).alias("near"))
+    ends = cut(near.select("node", F.when(order("near") < order("node"), F.col("near")).otherwise(F.col("node")).alias("component")), "hooks")
+    while True:
+        at = ends.select(F.col("node").alias("at"), F.col("component").alias("further"))
+        new = cut(ends.join(at, ends.component == at["at"]).select("node", F.col("component").alias("old"), F.col("further").alias("component")), "hooks")
+        ends = new.select("node", "component")
         if new.where("component != old").isEmpty():
-            return labels
-    raise RuntimeError(f"labels still change after {rounds} rounds")
+            return ends

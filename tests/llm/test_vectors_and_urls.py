@@ -66,6 +66,16 @@ def test_components(spark):
     assert got == {k: 0 for k in range(41)} | {99: 99, 100: 99}
 
 
+def test_components_of_long_chains_with_shuffled_ids(spark):
+    rng = np.random.default_rng(5)
+    ids = [int(x) for x in rng.integers(-(2**63), 2**63 - 1, 2600)]
+    chain, ring, star = ids[:2000], ids[2000:2300], ids[2300:]
+    edges = list(zip(chain, chain[1:])) + list(zip(ring, ring[1:] + ring[:1])) + [(max(star), x) for x in star]
+    got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {x: min(group) for group in (chain, ring, star) for x in group}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_urls(spark):
     urls = {
         1: ("https://WWW.Example.com/en/x?q#f", "www.example.com", "/en/x", "www.example.com/en/", "allow"),
