@@ -127,6 +127,41 @@ def test_license_scan(spark, docs):
     assert [(r.doc_id, r.license) for r in license_scan.scan(docs).collect()] == [(12, "MIT")]
 
 
+MIT_FILE = """Copyright 2019 A. Writer and others
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the
+Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software,
+and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be
+included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT
+LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY
+CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER
+DEALINGS IN THE SOFTWARE."""
+GPL_HEADER = """/* frob.c: frobs widgets.  Copyright (C) 2001 A. Writer
+ * This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+ * This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+ * MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License for more details.
+ * You should have received a copy of the GNU General Public License along with this program.  If not, see <https://www.gnu.org/licenses/>. */
+int main(void) { return 0; }"""
+LGPL_HEADER = GPL_HEADER.replace("GNU General", "GNU Lesser General").replace("program", "library").replace("version 3", "version 2.1")
+
+
+def test_license_scan_finds_real_texts(spark):
+    whole = {n: t for n, t, _, _ in license_scan.texts()}
+    prose = "once there was a licensed ferry that crossed the river every day and " * 30
+    cases = [(MIT_FILE, "MIT"), (GPL_HEADER, "GPL-3.0"), (GPL_HEADER.replace("version 3", "version 2"), "GPL-2.0"), (LGPL_HEADER, "LGPL-2.1")]
+    cases += [(GPL_HEADER.replace("GNU General", "GNU Affero General"), "AGPL-3.0"), ("x = 1  # Licensed under the MIT License", "MIT"), (prose, None), (MIT_FILE[: len(MIT_FILE) // 2], None)]
+    cases += [("Redistribution and use in source and binary forms, with or without modification, are permitted.", "BSD")]
+    cases += [(prose + "\n" + "\n".join(" * " + line for line in whole[n].splitlines()) + "\n" + prose, n) for n in license_scan.TOLD]
+    # two rows of one id with half a text each hold no text
+    half = [(MIT_FILE[: len(MIT_FILE) // 2], 900), (MIT_FILE[len(MIT_FILE) // 2 :], 900)]
+    d = spark.createDataFrame([(t, k) for k, (t, _) in enumerate(cases)] + half + [(None, 901)], "text string, doc_id long")
+    got = {}
+    for r in license_scan.scan(d).collect():
+        got.setdefault(r.doc_id, set()).add(r.license)
+    assert got == {k: {n} for k, (_, n) in enumerate(cases) if n}
+
+
 def test_shards_are_gapless_and_grow_only_into_the_new_one(spark, docs):
     for d in (docs, table(spark, SF, "documents")):
         got = sharding.shard_rows(d).collect()
