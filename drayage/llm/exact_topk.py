@@ -56,14 +56,14 @@ def _above(bound: np.ndarray) -> np.ndarray:
 
 
 def build(vectors: DataFrame, keep: int, nodes: int = 256) -> tuple[np.ndarray, np.ndarray, DataFrame]:
-    """(routing vectors, covering radii, pages) of the tree over distinct vectors, each with its `keep` smallest ids.
+    """(routing vectors, covering radii, pages) of the tree over distinct vectors, each with its `keep` smallest distinct ids.
 
     Routing vectors are the `nodes` distinct vectors of least hash, a bounded sample that decides shape, never results.
     Pages hold PAGE vectors at most; they are cut from rows in range order of (node, distance), so a node with most vectors
     is many pages in many tasks.
     """
     least = Window.partitionBy("q").orderBy("vec_id")
-    distinct = vectors.withColumn("n", F.row_number().over(least)).where(F.col("n") <= keep).groupBy("q").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
+    distinct = vectors.distinct().withColumn("n", F.row_number().over(least)).where(F.col("n") <= keep).groupBy("q").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
     distinct = cut(distinct, "tree-vectors")
     width = distinct.agg(F.max(F.size("q"))).first()[0] or 0
     picked = distinct.select("q", F.xxhash64("q").alias("h")).orderBy("h", "q").limit(nodes).collect()
@@ -141,7 +141,7 @@ def _search(visits: DataFrame, pages: DataFrame, routing: np.ndarray, k: int, ke
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            out: dict[int, list[tuple[int, int]]] = {}
+            out: dict[int, set[tuple[int, int]]] = {}
             for r in f.itertuples(index=False):
                 qid, q = np.frombuffer(r.query_ids, np.int64), np.frombuffer(r.queries, np.int64).reshape(-1, width)
                 beat, size = np.frombuffer(r.beat, np.float64), np.sqrt((np.frombuffer(r.queries, np.int64).reshape(-1, width).astype(np.float64) ** 2).sum(1))
@@ -159,15 +159,19 @@ def _search(visits: DataFrame, pages: DataFrame, routing: np.ndarray, k: int, ke
                     continue
                 score = _dot(q, x[some])
                 for n in range(len(qid)):
-                    top = out.setdefault(int(qid[n]), [])
+                    top = out.setdefault(int(qid[n]), set())
                     hit = np.flatnonzero(near[n, some] & (score[n] >= beat[n]))
-                    if len(hit) > k:  # k + 1 vectors at least, one of which may be the query's own
-                        least = np.partition(score[n, hit], len(hit) - min(len(hit), k + 1))[len(hit) - min(len(hit), k + 1)]
-                        hit = hit[score[n, hit] >= least]
-                    for h in hit.tolist():
-                        top += [(-int(score[n, h]), int(v)) for v in ids[some[h], : count[some[h]]] if v != qid[n]]
+                    new, last = set(), None
+                    # best first, until k distinct answers are there and the score falls: an id may repeat among the vectors
+                    for h in hit[np.argsort(-score[n, hit], kind="stable")].tolist():
+                        s = -int(score[n, h])
+                        if len(new) >= k and s != last:
+                            break
+                        last = s
+                        new.update((s, int(v)) for v in ids[some[h], : count[some[h]]] if v != qid[n])
+                    top |= new
                     if len(top) > 8 * k:
-                        out[int(qid[n])] = sorted(top)[:k]
+                        out[int(qid[n])] = set(sorted(top)[:k])
             found = [(i, v, -s) for i, top in out.items() for s, v in sorted(top)[:k]]
             if found:
                 yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
@@ -180,9 +184,10 @@ def top_k(rows: DataFrame, k: int = 5, every: int = 50, scale: int = 256, nodes:
 
     Components count as floor(scale * x); the score is the integer inner product, ties go to the smaller id, a row is not
     its own candidate. Vectors that are null or hold a null or non-finite component, and rows without an id, take no part.
-    Equal vectors are one entry with its smallest ids, so copies never crowd a page. Repeated ids are one query. Vectors of
-    different lengths are compared as if the shorter ended in zeros. Fewer than k candidates give fewer rows, none an empty
-    result; extra columns are ignored.
+    Equal vectors are one entry with its smallest distinct ids, so copies never crowd a page, and repeated rows are one
+    candidate. An id with several vectors is a candidate with each of them, but once for each score, never one for its own
+    id, and one query, with the smallest of its vectors. Vectors of different lengths are compared as if the shorter ended
+    in zeros. Fewer than k candidates give fewer rows, none an empty result; extra columns are ignored.
     """
     vectors = cut(whole_vectors(rows, scale, id_col, vector_col), "tree-rows")
     routing, radius, pages = build(vectors, k + 1, nodes)

@@ -60,6 +60,24 @@ def test_top_k_equals_brute_force(spark):
     assert exact_topk.top_k(odd_vectors(spark).where("vec_id = 100")).count() == 0
 
 
+def test_top_k_counts_repeated_rows_once(spark):
+    rng = np.random.default_rng(4)
+    base = [float(x) for x in rng.integers(1, 4, 8)]
+    rows = [(k, base if k < 12 else [float(x) for x in rng.integers(-3, 4, 8)]) for k in range(80)]
+    rows += [(7, base)] * 9 + [(21, [x + 1 for x in base])] + [(22, [base[1], base[0], *base[2:]])] * 2 + [(20, [x + 2.0 + d for d, x in enumerate(base)]) for _ in range(7)]
+    rows += [(50, [x + 3.0, *base[1:]]) for x in range(9)] + [(51, np.roll(base, k).tolist()) for k in range(8)]
+    schema = "vec_id long, embedding array<double>"
+    for d in (spark.createDataFrame(rows, schema), spark.createDataFrame(rows + rows + rows, schema)):
+        queries = {i: min(x for j, x in rows if j == i) for i in {j for j, _ in rows} if i % 10 == 0}
+        want = []
+        for i, q in queries.items():
+            best = sorted({(-int(np.dot(256 * np.array(q), 256 * np.array(x))), j) for j, x in rows if j != i})[:5]
+            want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(best)]
+        for nodes in (2, 16):
+            got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in exact_topk.top_k(d, 5, 10, nodes=nodes).collect())
+            assert got == sorted(want)
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 99), (7, 7)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
