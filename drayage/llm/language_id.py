@@ -138,7 +138,12 @@ def identify_held_out(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def keep_identified(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents, columns unchanged, that have a language: those that are null or have no letter go."""
+    """The documents, columns unchanged, that have a language: those that are null or have no letter go.
+
+    Where nothing was learned every text with a letter stays, as it does where a language is itself named `und`.
+    """
     languages, vectors = prototypes(docs.where(~held_out()).select(F.col(text_col).alias("text"), "lang"))
-    out = identify(docs, languages, vectors, text_col, "__lang_pred", "__lang_score")
+    if not languages:
+        languages, vectors = [""], np.ones((1, DIMENSIONS))
+    out = identify(docs, [f"lang:{x}" for x in languages], vectors, text_col, "__lang_pred", "__lang_score")
     return out.where("__lang_pred != 'und'").drop("__lang_pred", "__lang_score")

@@ -127,6 +127,14 @@ def test_license_scan(spark, docs):
     assert [(r.doc_id, r.license) for r in license_scan.scan(docs).collect()] == [(12, "MIT")]
 
 
+def test_texts_with_letters_stay_where_no_language_was_learned(spark, docs):
+    from pyspark.sql import functions as F
+
+    want = sorted(str(r.doc_id) for r in docs.collect() if any(c.isalpha() for c in r.text or ""))
+    for lang in (F.lit(None).cast("string"), F.when(language_id.held_out(), "en"), F.lit("und")):
+        assert sorted(str(r.doc_id) for r in language_id.keep_identified(docs.withColumn("lang", lang)).collect()) == want
+
+
 MIT_FILE = """Copyright 2019 A. Writer and others
 
 Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the
