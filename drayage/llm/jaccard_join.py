@@ -58,7 +58,7 @@ def _nodes(doc: np.ndarray, h: np.ndarray, texts: int) -> tuple[np.ndarray, np.n
 
 
 def _profiles(rows: DataFrame, width: int) -> DataFrame:
-    """One row for each document (doc_id, node, n, a parity bitmap), and rows (token, met) for shingles that a block repeats."""
+    """One row for each document (doc_id, row, node, n, a parity bitmap), and rows (token, met) for shingles that a block repeats."""
 
     def report(held: list[np.ndarray]) -> pd.DataFrame:
         token, met = np.unique(np.concatenate(held), return_counts=True)
@@ -66,12 +66,12 @@ def _profiles(rows: DataFrame, width: int) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size = [], 0
-        nothing = dict.fromkeys(["doc_id", "node", "n", *BITS])
+        nothing = dict.fromkeys(["doc_id", "row", "node", "n", *BITS])
         for f in frames:
             for part, doc, h in _sets(f, width):
                 ids = f["doc_id"].iloc[part].reset_index(drop=True)
                 first, n, node = _nodes(doc, h, len(ids))
-                out = {"doc_id": ids, "node": node, "n": n}
+                out = {"doc_id": ids, "row": f["row"].iloc[part].reset_index(drop=True), "node": node, "n": n}
                 size_of = 64 * WORDS
                 odd = np.bincount(doc * size_of + (h % np.uint64(size_of)).astype(np.int64), minlength=len(ids) * size_of) & 1
                 bits = np.packbits(odd.astype(np.uint8).reshape(len(ids), size_of), axis=1).view(np.int64)
@@ -85,7 +85,7 @@ def _profiles(rows: DataFrame, width: int) -> DataFrame:
         if size:
             yield report(held).assign(**nothing)
 
-    return rows.mapInPandas(run, f"doc_id long, node long, n int, {', '.join(f'{c} long' for c in BITS)}, token long, met long")
+    return rows.mapInPandas(run, f"doc_id long, row long, node long, n int, {', '.join(f'{c} long' for c in BITS)}, token long, met long")
 
 
 def _prefixes(rows: DataFrame, width: int, share: tuple[int, int], frequent: np.ndarray) -> DataFrame:
@@ -175,14 +175,19 @@ def jaccard_components(docs: DataFrame, width: int = 4, share: tuple[int, int] =
     shingle and links with nothing; a row without an id has no component but may connect others; rows with the same id
     each get a result; extra columns are ignored; an empty table gives no rows. Sets are told apart by 64-bit digests.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return _grouped(docs, width, share, id_col, text_col).select("doc_id", "n_shingles", "component_id")
+
+
+def _grouped(docs: DataFrame, width: int = 4, share: tuple[int, int] = (85, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """jaccard_components with `row`, a digest of the text, and `group`, one number for each component (null without words)."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("row"))
     profile = cut(_profiles(rows, width), "shingle-profiles")
     counted = profile.where("token IS NOT NULL").groupBy("token").agg(F.sum("met").alias("met"))
     frequent = [r["token"] for r in counted.orderBy(F.desc("met"), "token").limit(FREQUENT).collect()]
     frequent = np.array(frequent[::-1], np.int64).view(np.uint64)
     each = profile.where("token IS NULL")
     nodes = cut(each.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("id"), *[F.min(c).alias(c) for c in ("n", *BITS)]), "shingle-nodes")
-    each, short = each.select("doc_id", "node", "n"), nodes.select("node", "n", *BITS)
+    each, short = each.select("doc_id", "row", "node", "n"), nodes.select("node", "n", *BITS)
 
     entries = _prefixes(rows, width, share, frequent)
     every = Window.partitionBy("token")
@@ -225,10 +230,11 @@ def jaccard_components(docs: DataFrame, width: int = 4, share: tuple[int, int] =
     labels = components(edges)
 
     smallest = labels.join(nodes.select("node", "id"), "node").groupBy("component").agg(F.min("id").alias("smallest"))
-    smallest = labels.join(cut(smallest, "component-ids"), "component").select("node", "smallest")
-    smallest = cut(nodes.select("node", "id").join(smallest, "node", "left").select("node", F.coalesce("smallest", "id").alias("smallest")), "node-ids")
+    smallest = labels.join(cut(smallest, "component-ids"), "component").select("node", "smallest", "component")
+    smallest = nodes.select("node", "id").join(smallest, "node", "left").select("node", F.coalesce("smallest", "id").alias("smallest"), F.coalesce("component", "node").alias("group"))
+    smallest = cut(smallest, "node-ids")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("smallest", "doc_id"))
-    return each.join(smallest, "node", "left").select("doc_id", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
+    return each.join(smallest, "node", "left").select("doc_id", "row", "group", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
 
 
 def _with_leaders(entries: DataFrame, labels: DataFrame | None, short: DataFrame, share: tuple[int, int], seed: int) -> DataFrame:
@@ -275,15 +281,18 @@ def _verified(rows: DataFrame, width: int, share: tuple[int, int], pairs: DataFr
 
 
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """The documents, columns unchanged, that are the first of their component: the rows whose id is the component's.
+    """The documents, columns unchanged, that are the first of their component, by id and then by a digest of the text.
 
-    Documents without words, and rows without an id, stay. Of rows that repeat both id and text one stays.
+    Rows that share an id are judged each by its own text. Documents without words, and rows without an id, stay. Of rows
+    that repeat both id and text one stays.
     """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    found = cut(jaccard_components(docs, **options).where("component_id IS NOT NULL"), "components")
-    gone = found.where("doc_id != component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
-    again = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("__again")).count().where("count > 1").select("__again")
+    found = cut(_grouped(docs, **options).where("component_id IS NOT NULL").select("doc_id", "row", "group"), "components")
+    key = F.struct("doc_id", "row")
+    first = cut(found.where("group IS NOT NULL").groupBy("group").agg(F.min(key).alias("first")), "component-firsts")
+    gone = found.join(first, "group").where(key != F.col("first")).select(F.col("doc_id").alias("__gone"), F.col("row").alias("__row")).distinct()
+    kept = docs.join(gone, (F.col(id_col) == F.col("__gone")) & (F.xxhash64(text_col) == F.col("__row")), "left_anti")
+    again = found.groupBy("doc_id", "row").count().where("count > 1").select(F.col("doc_id").alias("__again")).distinct()
     if again.isEmpty():
         return kept
     repeated = kept.join(again, F.col(id_col) == F.col("__again"), "left_semi").dropDuplicates([id_col, text_col])

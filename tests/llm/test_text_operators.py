@@ -100,6 +100,13 @@ def test_one_of_each_group_stays(spark, docs):
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [1, 5, 6, 7, 8, 9, 10, 11, 12, None, None]))
 
 
+def test_rows_of_one_id_are_judged_by_their_own_text(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(3, a), (5, a + " more"), (5, b), (7, c), (7, c + " more"), (7, c), (9, c)]
+    got = sorted((r.doc_id, r.text) for r in jaccard_join.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), width=5, share=(80, 100)).collect())
+    assert got[:2] == [(3, a), (5, b)] and len(got) == 3 and got[2] in [(7, c), (7, c + " more")]
+
+
 def test_language_id(spark, docs):
     d = table(spark, "/root/testdata/sf0.01", "documents")
     got = language_id.identify_held_out(d).join(d.select("doc_id", "lang"), "doc_id").where("held_out").collect()
