@@ -1,169 +1,332 @@
 """Exact Jaccard join of shingle sets by prefix index, with set relations that save most comparisons.
 
-Sets are equal, or alike, far more often than chance has it, and that is used three times. Equal sets are one node. A
-token's index list is split into blocks by set size, and a pair of entries is looked at only where sizes, positions and a
-parity bitmap still allow the threshold. And each set is first compared with the nearest of its lists' leaders, by bitmap: a
-set that links with its leader inherits the leader's answer, the component; only lists whose members are still in several components are opened
-further, for pairs across components. Components are exact: every pair of different components that shares a prefix token
-and passes the bounds, all of which are necessary, is verified on the full sets.
+Sets are equal, or alike, far more often than chance has it, and that is used three times. Equal sets are one node. A token's
+index list is cut into blocks by set size, and an entry skips every block that its position rules out. And each set is first
+compared with leaders of its blocks only: a set that links with its leader inherits the leader's answer, the component; only
+lists whose members are still in several components are opened further, for pairs across components. Components are exact:
+every pair of different components that shares a prefix token and passes the bounds, all of which are necessary, is verified
+on the full sets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from drayage.llm.common import components, cut
+from drayage.llm.common import Scratch, components, ship, text_slices
 from drayage.llm.shingles import mixed, shingle_sets
-from drayage.llm.token_counts import batches
 
 #: At most so many frequent shingles are told to the workers, to order them last; the order never changes the result.
 FREQUENT = 65_536
 #: Shingles are counted in blocks of about so many; a block reports those it has met in LOCAL documents or more.
 COUNTED, LOCAL = 1_000_000, 4
+#: The index list of a frequent shingle is dealt to one task for about so many of its entries.
+DEALT = 4096
 #: A task remembers so many set digests, to pass over equal sets; forgetting some costs a few repeated rows.
 SEEN = 200_000
-#: 64-bit words of a set's parity bitmap.
-WORDS = 16
-ROUNDS = 3
-#: Leaders of an index list.
-LEADERS = 6
-#: Bits of the table that spares most sets that are in no candidate pair the way to the verification.
+#: 64-bit words of a set's parity bitmap, and of the folded one that index entries carry.
+WORDS, FOLDED = 16, 4
+ROUNDS = 2
+#: Leaders of a block of an index list.
+LEADERS = 3
+#: Bits of the table by which most texts that are not wanted are passed over. Its words are the rows of a broadcast: 2**18 at most.
 SIFT_BITS = 24
-BITS = [f"b{k}" for k in range(WORDS)]
+BITS, FOLDS = [f"b{k}" for k in range(WORDS)], [f"f{k}" for k in range(FOLDED)]
 
 
-def _sets(frame: pd.DataFrame, width: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
-    """(rows of the frame, text number in them, shingle hash)."""
-    at = 0
-    for held in batches([t or "" for t in frame["text"]], 500_000, 1024):
-        yield slice(at, at + len(held)), *shingle_sets(held, width)
-        at += len(held)
+def _binary(words: np.ndarray) -> pa.Array:
+    """Rows of two 64-bit numbers as values of 16 bytes."""
+    data = np.ascontiguousarray(words)
+    return pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(np.arange(len(data) + 1, dtype=np.int32) * 16), pa.py_buffer(data)])
+
+
+def _numbers(column: pa.Array) -> np.ndarray:
+    fixed = column.cast(pa.binary(16))
+    return np.frombuffer(fixed.buffers()[1], np.uint64).reshape(-1, 2)[fixed.offset : fixed.offset + len(fixed)]
 
 
 def _nodes(doc: np.ndarray, h: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each text: first position of its set, size, and a 64-bit digest of the whole set."""
+    """For each text: first position of its set, size, and a 128-bit digest of the whole set."""
     n = np.bincount(doc, minlength=texts)
     first = np.cumsum(n) - n
-    node = np.zeros(texts, np.uint64)
+    node = np.zeros((texts, 2), np.uint64)
     full = n > 0
     if full.any():
-        node[full] = mixed(np.add.reduceat(mixed(h + np.uint64(1)), first[full]) ^ n[full].astype(np.uint64))
-    return first, n, node.view(np.int64)
+        for k, salt in enumerate((1, 0xD1B54A32D192ED03)):
+            node[full, k] = mixed(np.add.reduceat(mixed(h + np.uint64(salt)), first[full]) ^ n[full].astype(np.uint64))
+    return first, n, node
+
+
+def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(rows, text number in them, shingle hash)."""
+    for part, texts in text_slices(batches, "text", 500_000, 1024):
+        yield part, *shingle_sets(texts, width)
 
 
 def _profiles(rows: DataFrame, width: int) -> DataFrame:
     """One row for each document (doc_id, row, node, n, a parity bitmap), and rows (token, met) for shingles that a block repeats."""
+    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), *[pa.int64()] * WORDS]
+    names = ["doc_id", "row", "node", "n", *BITS, "token", "met"]
 
-    def report(held: list[np.ndarray]) -> pd.DataFrame:
+    def report(held: list[np.ndarray]) -> pa.RecordBatch:
         token, met = np.unique(np.concatenate(held), return_counts=True)
-        return pd.DataFrame({"token": token[met >= LOCAL].view(np.int64), "met": met[met >= LOCAL]})
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, size = [], 0
-        nothing = dict.fromkeys(["doc_id", "row", "node", "n", *BITS])
-        for f in frames:
-            for part, doc, h in _sets(f, width):
-                ids = f["doc_id"].iloc[part].reset_index(drop=True)
-                first, n, node = _nodes(doc, h, len(ids))
-                out = {"doc_id": ids, "row": f["row"].iloc[part].reset_index(drop=True), "node": node, "n": n}
-                size_of = 64 * WORDS
-                odd = np.bincount(doc * size_of + (h % np.uint64(size_of)).astype(np.int64), minlength=len(ids) * size_of) & 1
-                bits = np.packbits(odd.astype(np.uint8).reshape(len(ids), size_of), axis=1).view(np.int64)
-                out |= {c: bits[:, k] for k, c in enumerate(BITS)}
-                yield pd.DataFrame(out).assign(token=None, met=None)
-                held.append(h)
-                size += len(h)
-                if size >= COUNTED:
-                    yield report(held).assign(**nothing)
-                    held, size = [], 0
+        some = met >= LOCAL
+        nothing = [pa.nulls(int(some.sum()), k) for k in kinds]
+        return pa.RecordBatch.from_arrays([*nothing, pa.array(token[some].view(np.int64)), pa.array(met[some])], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, wide = [], 0, 64 * WORDS
+        for part, doc, h in _sets(batches, width):
+            texts = part.num_rows
+            _, n, node = _nodes(doc, h, texts)
+            odd = np.bincount(doc * wide + (h % np.uint64(wide)).astype(np.int64), minlength=texts * wide) & 1
+            bits = np.packbits(odd.astype(np.uint8).reshape(texts, wide), axis=1).view(np.int64)
+            own = [part.column("doc_id"), part.column("row"), _binary(node), pa.array(n.astype(np.int32)), *(pa.array(np.ascontiguousarray(bits[:, k])) for k in range(WORDS))]
+            yield pa.RecordBatch.from_arrays([*own, pa.nulls(texts, pa.int64()), pa.nulls(texts, pa.int64())], names=names)
+            held.append(h)
+            size += len(h)
+            if size >= COUNTED:
+                yield report(held)
+                held, size = [], 0
         if size:
-            yield report(held).assign(**nothing)
+            yield report(held)
 
-    return rows.mapInPandas(run, f"doc_id long, row long, node long, n int, {', '.join(f'{c} long' for c in BITS)}, token long, met long")
+    return rows.mapInArrow(run, f"doc_id long, row long, node binary, n int, {', '.join(f'{c} long' for c in BITS)}, token long, met long")
 
 
-def _prefixes(rows: DataFrame, width: int, share: tuple[int, int], frequent: np.ndarray) -> DataFrame:
-    """Index entries (token, node, n, pos): the rarest shingles of each set, as many as a linked pair must have in common one of.
+def _prefixes(rows: DataFrame, width: int, share: tuple[int, int], frequent: np.ndarray, met: np.ndarray) -> DataFrame:
+    """Index entries (token, part, node, n, pos): the rarest shingles of each set, as many as a linked pair must have in common one of.
 
-    Frequent shingles come last, by count; the others by hash. A task enters equal sets once.
+    Frequent shingles come last, by count; the others by hash. The list of a frequent shingle is in parts, by node; part is
+    -1 for lists in one piece. A task enters equal sets once.
     """
     order = np.argsort(frequent, kind="stable")
-    known = frequent[order]
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[int] = set()
-        for f in frames:
-            for part, doc, h in _sets(f, width):
-                texts = part.stop - part.start
-                _, n, node = _nodes(doc, h, texts)
-                rank = np.zeros(len(h), np.int64)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                    rank = np.where(known[at] == h, order[at] + 1, 0)
-                by = np.lexsort((h, rank, doc))
-                pos = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
-                fresh = np.zeros(texts, bool)
-                for k, x in enumerate(node.tolist()):
-                    if n[k] and x not in seen:
-                        seen.add(x)
-                        fresh[k] = True
-                if len(seen) > SEEN:
-                    seen.clear()
-                keep = fresh[doc] & (pos < (n - -(-n * share[0] // share[1]) + 1)[doc])
-                own = doc[keep]
-                yield pd.DataFrame({"token": h[by][keep].view(np.int64), "node": node[own], "n": n[own], "pos": pos[keep]})
-
-    return rows.select("text").mapInPandas(run, "token long, node long, n int, pos int")
-
-
-def _sifted(rows: DataFrame, width: int, sift: np.ndarray) -> DataFrame:
-    """(node, shingles) of the sets whose node may be in a candidate pair."""
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        seen: set[int] = set()
-        for f in frames:
-            for part, doc, h in _sets(f, width):
-                first, n, node = _nodes(doc, h, part.stop - part.start)
-                slot = node.view(np.uint64) >> np.uint64(64 - SIFT_BITS)
-                maybe = (sift[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) != 0
-                ks = [k for k in np.flatnonzero(maybe & (n > 0)).tolist() if node[k] not in seen]
-                seen.update(node[ks].tolist())
-                if len(seen) > SEEN:
-                    seen.clear()
-                if ks:
-                    yield pd.DataFrame({"node": node[ks], "shingles": [h[first[k] : first[k] + n[k]].view(np.int64) for k in ks]})
-
-    return rows.select("text").mapInPandas(run, "node long, shingles array<long>")
-
-
-def _sift(nodes: DataFrame) -> np.ndarray:
-    """A bit table of a fixed 2 MB over the nodes, made on the executors."""
-    slot = nodes.select(F.shiftrightunsigned("node", 64 - SIFT_BITS).alias("slot"))
-    bits = slot.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(slot % 64)))").alias("bits"))
-    out = np.zeros(1 << (SIFT_BITS - 6), np.uint64)
-    for r in bits.toLocalIterator():
-        out[r["word"]] = np.uint64(r["bits"] & 0xFFFFFFFFFFFFFFFF)
-    return out
-
-
-def _apart(a: str, b: str) -> Column:
+    known, split = frequent[order], (1 + met[order] // DEALT).astype(np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for part, doc, h in _sets(batches, width):
+            _, n, node = _nodes(doc, h, part.num_rows)
+            at = np.minimum(np.searchsorted(known, h), max(0, len(known) - 1))
+            hit = known[at] == h if len(known) else np.zeros(len(h), bool)
+            rank = np.where(hit, order[at] + 1, 0) if len(known) else np.zeros(len(h), np.int64)
+            by = np.lexsort((h, rank, doc))
+            pos = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
+            fresh = np.zeros(len(n), bool)
+            for k, x in enumerate(np.ascontiguousarray(node).view("V16").ravel().tolist()):
+                if n[k] and x not in seen:
+                    seen.add(x)
+                    fresh[k] = True
+            if len(seen) > SEEN:
+                seen.clear()
+            keep = fresh[doc] & (pos < (n - -(-n * share[0] // share[1]) + 1)[doc])
+            own, of = doc[keep], by[keep]
+            piece = np.full(len(own), -1, np.int32)
+            many = hit[of] & (split[at[of]] > 1) if len(known) else np.zeros(len(own), bool)
+            if many.any():
+                piece[many] = (node[own[many], 1] % split[at[of[many]]]).astype(np.int32)
+            made = [pa.array(h[of].view(np.int64)), pa.array(piece), _binary(node[own]), pa.array(n[own].astype(np.int32)), pa.array(pos[keep].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(made, names=["token", "part", "node", "n", "pos"])
+
+    return rows.select("text").mapInArrow(run, "token long, part int, node binary, n int, pos int")
+
+
+def _shared(entries: DataFrame) -> DataFrame:
+    """The distinct entries of lists that have at least two nodes, or that are in parts: one shuffle, one sort, one reading."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, waiting = None, None  # the row before, and that row itself while it is alone in its list
+        for b in batches:
+            token, piece, node = b.column("token").to_numpy(), b.column("part").to_numpy(), _numbers(b.column("node"))
+            if not len(token):
+                continue
+            same = np.zeros(len(token), bool)
+            same[1:] = (token[1:] == token[:-1]) & (piece[1:] == piece[:-1])
+            again = np.zeros(len(token), bool)
+            again[1:] = same[1:] & (node[1:] == node[:-1]).all(axis=1)
+            if last is not None:
+                same[0] = (token[0], piece[0]) == last[:2]
+                again[0] = same[0] and tuple(node[0].tolist()) == last[2]
+            new = np.flatnonzero(~again)
+            last = (token[-1], piece[-1], tuple(node[-1].tolist()))
+            if not len(new):
+                continue
+            same, whole = same[new], piece[new] < 0
+            begin = np.flatnonzero(~same)
+            run_of = np.cumsum(~same) - (0 if same[0] else 1)
+            size = np.bincount(run_of)
+            keep = (size[run_of] > 1) | ~whole
+            if same[0]:
+                keep[run_of == 0] = True
+                if waiting is not None:
+                    yield waiting
+            waiting = None
+            if len(begin) and begin[-1] == len(new) - 1 and whole[-1]:
+                waiting = b.slice(int(new[-1]), 1)
+                keep[-1] = False
+            if keep.any():
+                yield b.take(pa.array(new[keep]))
+
+    dealt = entries.repartition("token", "part").sortWithinPartitions("token", "part", "node")
+    return dealt.mapInArrow(run, entries.schema)
+
+
+def sifted(rows: DataFrame, key: Column, wanted: DataFrame) -> DataFrame:
+    """rows with __maybe: whether the 64-bit key may be among wanted(key), by a bit table of a fixed size that is broadcast."""
+    slot = F.shiftrightunsigned(F.col("key"), 64 - SIFT_BITS)
+    bits = wanted.select(slot.alias("slot")).groupBy(F.shiftright("slot", 6).cast("int").alias("__word")).agg(F.expr("bit_or(shiftleft(1L, int(slot % 64)))").alias("__bits"))
+    own = rows.withColumn("__slot", F.shiftrightunsigned(key, 64 - SIFT_BITS)).withColumn("__at", F.shiftright("__slot", 6).cast("int"))
+    own = own.join(F.broadcast(bits), F.col("__at") == F.col("__word"), "left")
+    hit = F.expr("shiftright(__bits, int(__slot % 64)) & 1L = 1L")
+    return own.withColumn("__maybe", F.coalesce(hit, F.lit(False))).drop("__slot", "__at", "__word", "__bits")
+
+
+def _apart(a: str, b: str, words: list[str]) -> Column:
     """Bits in which two parity bitmaps differ."""
-    return sum((F.bit_count(F.col(f"{a}.b{k}").bitwiseXOR(F.col(f"{b}.b{k}"))) for k in range(WORDS)), F.lit(0))
+    return sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in words), F.lit(0))
 
 
-def _may_link(a: str, b: str, share: tuple[int, int]) -> Column:
+def _may_link(a: str, b: str, share: tuple[int, int], words: list[str]) -> Column:
     """Bounds on two profiles: size, and the bits in which their parities differ, each of which a differing shingle must explain."""
     p, q = share
     small, large = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
-    apart = _apart(a, b)
     # i >= p/q * (n + m - i), so n + m - 2i <= (q - p) / (q + p) * (n + m)
-    return (small * q >= large * p) & (apart * (q + p) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (q - p))
+    return (small * q >= large * p) & (_apart(a, b, words) * (q + p) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (q - p))
+
+
+class _Join:
+    """One run: what the rounds share."""
+
+    def __init__(self, rows: DataFrame, width: int, share: tuple[int, int], scratch: Scratch):
+        self.rows, self.width, self.share, self.s = rows, width, share, scratch
+
+    def block(self) -> Column:
+        """Sets that may link are in one block of sizes or in two neighbouring ones."""
+        return F.floor(F.log("n") / float(np.log(self.share[1] / self.share[0])) + 1e-9).cast("int")
+
+    def reaches(self, n: Column, pos: Column, other: Column) -> Column:
+        """Whether an entry at this position leaves shingles enough for a link with a set of `other` shingles."""
+        return (n - pos) * (self.share[0] + self.share[1]) >= (n + other) * self.share[0]
+
+    def index(self) -> None:
+        s = self.s
+        profile = s.cut(_profiles(self.rows, self.width), "shingle-profiles")
+        counted = profile.where("token IS NOT NULL").groupBy("token").agg(F.sum("met").alias("met"))
+        top = counted.orderBy(F.desc("met"), "token").limit(FREQUENT).collect()[::-1]
+        frequent, met = np.array([r["token"] for r in top], np.int64).view(np.uint64), np.array([r["met"] for r in top], np.int64)
+        docs = profile.where("token IS NULL")
+        self.docs = docs.select("doc_id", "row", "node", "n")
+        self.nodes = s.cut(
+            docs.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("id"), F.min("row").alias("row"), *[F.min(c).alias(c) for c in ("n", *BITS)]), "shingle-nodes"
+        )
+        self.lists = s.cut(_shared(_prefixes(self.rows, self.width, self.share, frequent, met)), "index-lists")
+
+    def led(self, labels: DataFrame | None, seed: int) -> DataFrame:
+        """Pairs (a, b) of a set and, of the leaders of its blocks that are in another component, the one with the nearest bitmap."""
+        s, e = self.s, self.lists.withColumn("block", self.block())
+        if labels is None:
+            e = e.withColumn("component", F.col("node"))
+        else:
+            e = s.cut(e.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled-lists")
+        one = F.struct("node", "n", "pos", "component")
+        leaders = e.groupBy("token", "part", "block").agg(
+            *[F.min(F.struct(F.xxhash64(F.lit(LEADERS * seed + k), "node").alias("h"), one.alias("one"))).alias(f"l{k}") for k in range(LEADERS)], F.count(F.lit(1)).alias("entries")
+        )
+        leaders = leaders.select("token", "part", "block", F.explode(F.array_distinct(F.array(*[f"l{k}.one" for k in range(LEADERS)]))).alias("l"))
+        leaders = leaders.select("token", "part", F.col("block").alias("to"), "l.*").toDF("token", "part", "to", "leader", "m", "at", "other")
+        here = F.filter(F.array("block", F.col("block") - 1), lambda x: x >= 0)
+        met = e.withColumn("to", F.explode(here)).join(leaders, ["token", "part", "to"]).where("component != other")
+        p, q = self.share
+        met = met.where((F.least("n", "m") * q >= F.greatest("n", "m") * p) & self.reaches(F.col("n"), F.col("pos"), F.col("m")) & self.reaches(F.col("m"), F.col("at"), F.col("n")))
+        met = s.cut(met.select(F.col("node").alias("me"), "leader").distinct(), "led")
+        short = self.nodes.select("node", "n", *BITS)
+        both = met.join(short.alias("x"), F.col("me") == F.col("x.node")).select(F.struct("x.*").alias("x"), "leader")
+        both = both.join(short.alias("y"), F.col("leader") == F.col("y.node")).where(_may_link("x", "y", self.share, BITS))
+        best = both.groupBy(F.col("x.node").alias("node")).agg(F.min(F.struct(_apart("x", "y", BITS).alias("apart"), "leader"))["leader"].alias("leader"))
+        pairs = s.cut(best.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct(), "leader-pairs")
+        s.drop(met, e)
+        return pairs
+
+    def opened(self, labels: DataFrame, tried: DataFrame) -> DataFrame:
+        """Pairs (a, b) across components, of the lists that still hold several."""
+        s, share = self.s, self.share
+        e = s.cut(self.lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled-lists")
+        several = e.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("token")
+        folds = [reduce(Column.bitwiseXOR, [F.col(f"b{j}") for j in range(k, WORDS, FOLDED)]).alias(f"f{k}") for k in range(FOLDED)]
+        e2 = s.cut(e.join(several, "token").withColumn("block", self.block()).join(self.nodes.select("node", *folds), "node"), "open-entries")
+        s.drop(e)
+        n, pos = F.col("n"), F.col("pos")
+        # the smaller set's entry looks into its own block and the next, and skips those that its position rules out
+        least_next = F.ceil(F.pow(F.lit(share[1] / share[0]), F.col("block") + 1) * (1 - 1e-9))
+        left = e2.where(self.reaches(n, pos, n)).withColumn("to", F.explode(F.when(self.reaches(n, pos, least_next), F.array("block", F.col("block") + 1)).otherwise(F.array("block"))))
+        left, right = left.alias("l"), e2.alias("r")
+        after = F.least(F.col("l.n") - F.col("l.pos"), F.col("r.n") - F.col("r.pos"))  # shingles from here on
+        met = left.join(
+            right,
+            (F.col("l.token") == F.col("r.token"))
+            & (F.col("l.to") == F.col("r.block"))
+            & (F.col("l.component") != F.col("r.component"))
+            & ((F.col("l.n") < F.col("r.n")) | ((F.col("l.n") == F.col("r.n")) & (F.col("l.node") < F.col("r.node"))))
+            & (after * (share[0] + share[1]) >= (F.col("l.n") + F.col("r.n")) * share[0])
+            & _may_link("l", "r", share, FOLDS),
+        )
+        met = s.cut(met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "open-pairs")
+        s.drop(e2)
+        short = self.nodes.select("node", "n", *BITS)
+        both = met.join(short.alias("x"), F.col("a") == F.col("x.node")).select(F.struct("x.*").alias("x"), "b")
+        both = both.join(short.alias("y"), F.col("b") == F.col("y.node")).where(_may_link("x", "y", share, BITS))
+        pairs = s.cut(both.select(F.col("x.node").alias("a"), "b"), "open-pairs")
+        s.drop(met)
+        return pairs
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """Those of the written pairs (a, b) whose full sets meet the threshold. Of each set one text is read again."""
+        s, width, share = self.s, self.width, self.share
+        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(self.nodes.select("node", F.col("row").alias("key")), "node")
+        wanted = s.cut(wanted, "wanted-nodes")
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen: set[tuple[int, int]] = set()
+            for b in batches:
+                keys = zip(b.column("row").to_pylist(), map(hash, b.column("text").to_pylist()))
+                some = [k for k, x in enumerate(keys) if x not in seen and not seen.add(x)]
+                if len(seen) > SEEN:
+                    seen.clear()
+                for part, doc, h in _sets([b.take(pa.array(some, pa.int64()))], width):
+                    _, n, node = _nodes(doc, h, part.num_rows)
+                    ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([_binary(node), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))], names=["node", "shingles"])
+
+        maybe = sifted(self.rows.select("row", "text"), F.col("row"), wanted.select("key")).where("__maybe").select("row", "text")
+        sets = maybe.mapInArrow(run, "node binary, shingles array<long>").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
+        sets = s.cut(sets, "wanted-sets")
+        both = pairs.join(sets.alias("x"), F.col("a") == F.col("x.node")).select("a", "b", F.col("shingles").alias("sa"))
+        both = both.join(sets.alias("y"), F.col("b") == F.col("y.node")).select("a", "b", "sa", F.col("shingles").alias("sb"))
+        common = F.size(F.array_intersect("sa", "sb")).cast("long")
+        links = s.cut(both.where(common * (share[0] + share[1]) >= (F.size("sa") + F.size("sb")) * share[0]).select("a", "b"), "links")
+        s.drop(wanted, sets)
+        return links
+
+    def components(self) -> DataFrame:
+        """(node, component) of the nodes that have links."""
+        s = self.s
+        labels, edges, tried = None, None, None
+        for k in range(ROUNDS):
+            pairs = self.led(labels, k)
+            new = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+            found = self.verified(new)
+            tried = pairs if tried is None else tried.unionByName(pairs)
+            edges = found if edges is None else edges.unionByName(found)
+            s.drop(labels)
+            labels = components(edges, s)
+        edges = edges.unionByName(self.verified(self.opened(labels, tried)))
+        s.drop(labels)
+        return components(edges, s)
 
 
 def jaccard_components(docs: DataFrame, width: int = 4, share: tuple[int, int] = (85, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -173,127 +336,51 @@ def jaccard_components(docs: DataFrame, width: int = 4, share: tuple[int, int] =
     of `width` words, or the whole sequence where it is shorter. Two documents link when share[1] * intersection >=
     share[0] * union; component_id is the smallest doc_id that links reach. A null text or one without words has no
     shingle and links with nothing; a row without an id has no component but may connect others; rows with the same id
-    each get a result; extra columns are ignored; an empty table gives no rows. Sets are told apart by 64-bit digests.
+    each get a result; extra columns are ignored; an empty table gives no rows. Shingles are told apart by 64-bit hashes, sets
+    by 128-bit digests.
     """
     return _grouped(docs, width, share, id_col, text_col).select("doc_id", "n_shingles", "component_id")
 
 
-def _grouped(docs: DataFrame, width: int = 4, share: tuple[int, int] = (85, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """jaccard_components with `row`, a digest of the text, and `group`, one number for each component (null without words)."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("row"))
-    profile = cut(_profiles(rows, width), "shingle-profiles")
-    counted = profile.where("token IS NOT NULL").groupBy("token").agg(F.sum("met").alias("met"))
-    frequent = [r["token"] for r in counted.orderBy(F.desc("met"), "token").limit(FREQUENT).collect()]
-    frequent = np.array(frequent[::-1], np.int64).view(np.uint64)
-    each = profile.where("token IS NULL")
-    nodes = cut(each.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("id"), *[F.min(c).alias(c) for c in ("n", *BITS)]), "shingle-nodes")
-    each, short = each.select("doc_id", "row", "node", "n"), nodes.select("node", "n", *BITS)
-
-    entries = _prefixes(rows, width, share, frequent)
-    every = Window.partitionBy("token")
-    entries = entries.withColumn("least", F.min("node").over(every)).withColumn("most", F.max("node").over(every))
-    entries = cut(entries.where("least != most").select("token", "node", "n", "pos").distinct(), "index-lists")
-
-    shared = cut(entries.groupBy("node").agg(F.first("n").alias("n"), F.collect_set("token").alias("tokens")), "shared-tokens")
-
-    labels, edges, tried = None, None, None
-    for k in range(ROUNDS):
-        pairs = cut(_with_leaders(entries, labels, short, share, k), "leader-pairs")
-        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
-        found = _verified(rows, width, share, _possible(pairs, short, shared, share))
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        edges = found if edges is None else edges.unionByName(found)
-        labels = components(edges)
-
-    # lists whose members are still in several components
-    entries = cut(
-        entries.join(labels, "node", "left").select("token", "node", "pos", F.coalesce("component", "node").alias("component")), "index-lists"
-    )
-    mixed_lists = cut(entries.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("token"), "open-lists")
-    open_ = cut(entries.join(mixed_lists, "token").join(short, "node"), "open-entries")
-    # blocks by size: an entry meets its own block and the next, which hold all sizes that may link
-    block = F.floor(F.log("n") / float(np.log(share[1] / share[0])) + 1e-9)
-    left = open_.withColumn("block", F.explode(F.array(block, block + 1))).alias("l")
-    right = open_.withColumn("block", block).alias("r")
-    after = F.least(F.col("l.n") - F.col("l.pos"), F.col("r.n") - F.col("r.pos"))  # shingles from here on
-    rest = left.join(
-        right,
-        (F.col("l.token") == F.col("r.token"))
-        & (F.col("l.block") == F.col("r.block"))
-        & (F.col("l.component") != F.col("r.component"))
-        & ((F.col("l.n") < F.col("r.n")) | ((F.col("l.n") == F.col("r.n")) & (F.col("l.node") < F.col("r.node"))))
-        & (after * (share[0] + share[1]) >= (F.col("l.n") + F.col("r.n")) * share[0])
-        & _may_link("l", "r", share),
-    )
-    rest = cut(rest.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "open-pairs")
-    edges = edges.unionByName(_verified(rows, width, share, _possible(rest, short, shared, share)))
-    labels = components(edges)
-
-    smallest = labels.join(nodes.select("node", "id"), "node").groupBy("component").agg(F.min("id").alias("smallest"))
-    smallest = labels.join(cut(smallest, "component-ids"), "component").select("node", "smallest", "component")
-    smallest = nodes.select("node", "id").join(smallest, "node", "left").select("node", F.coalesce("smallest", "id").alias("smallest"), F.coalesce("component", "node").alias("group"))
-    smallest = cut(smallest, "node-ids")
+def _grouped(docs: DataFrame, width: int = 4, share: tuple[int, int] = (85, 100), id_col: str = "doc_id", text_col: str = "text", scratch: Scratch | None = None) -> DataFrame:
+    """jaccard_components with `row`, a digest of the text, and `group`, one value for each component (null without words)."""
+    ship(docs.sparkSession)
+    s = scratch or Scratch(docs.sparkSession)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("row"), F.col(text_col).alias("text"))
+    join = _Join(rows, width, share, s)
+    join.index()
+    labels = join.components()
+    ids = join.nodes.select("node", "id")
+    smallest = s.cut(labels.join(ids, "node").groupBy("component").agg(F.min("id").alias("smallest")), "component-ids")
+    known = labels.join(smallest, "component").select("node", "smallest", "component")
+    known = s.cut(ids.join(known, "node", "left").select("node", F.coalesce("smallest", "id").alias("smallest"), F.coalesce("component", "node").alias("group")), "node-ids")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("smallest", "doc_id"))
-    return each.join(smallest, "node", "left").select("doc_id", "row", "group", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
-
-
-def _with_leaders(entries: DataFrame, labels: DataFrame | None, short: DataFrame, share: tuple[int, int], seed: int) -> DataFrame:
-    """Pairs (a, b) of a set and, of the leaders of its lists that are in another component, the one with the nearest bitmap."""
-    if labels is not None:
-        entries = cut(entries.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled-lists")
-    else:
-        entries = entries.withColumn("component", F.col("node"))
-    one = F.struct(F.col("node").alias("leader"), F.col("component").alias("other"))
-    leaders = entries.groupBy("token").agg(*[F.min_by(one, F.xxhash64(F.lit(LEADERS * seed + k), "node")).alias(f"l{k}") for k in range(LEADERS)])
-    leaders = cut(leaders.select("token", F.explode(F.array_distinct(F.array(*[f"l{k}" for k in range(LEADERS)]))).alias("l")).select("token", "l.*"), "leaders")
-    met = cut(entries.join(leaders, "token").where("component != other").select(F.col("node").alias("me"), "leader").distinct(), "led")
-    both = met.join(short.alias("x"), F.col("me") == F.col("x.node")).select(F.struct("x.*").alias("x"), "leader")
-    both = both.join(short.alias("y"), F.col("leader") == F.col("y.node")).where(_may_link("x", "y", share))
-    best = both.groupBy(F.col("x.node").alias("node")).agg(F.min(F.struct(_apart("x", "y").alias("apart"), "leader"))["leader"].alias("leader"))
-    return best.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-
-
-def _possible(pairs: DataFrame, short: DataFrame, shared: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Pairs that sizes, bitmaps and the tokens shared within the prefixes still allow.
-
-    In the order of shingles one prefix ends first; beyond its end that set has no more than its other shingles to offer,
-    so the intersection is at most the tokens that both prefixes hold and the larger rest.
-    """
-    p, q = share
-    both = pairs.join(short.alias("x"), F.col("a") == F.col("x.node")).join(short.alias("y"), F.col("b") == F.col("y.node"))
-    both = cut(both.where(_may_link("x", "y", share)).select("a", "b"), "alike-pairs")
-    both = both.join(shared.alias("x"), F.col("a") == F.col("x.node")).select("a", "b", F.col("n").alias("na"), F.col("tokens").alias("ta"))
-    both = both.join(shared.alias("y"), F.col("b") == F.col("y.node")).select("a", "b", "na", "ta", F.col("n").alias("nb"), F.col("tokens").alias("tb"))
-    rest = F.greatest(*[F.ceil(F.col(n) * p / q) - 1 for n in ("na", "nb")])
-    most = F.size(F.array_intersect("ta", "tb")) + rest
-    return cut(both.where(most * (p + q) >= (F.col("na") + F.col("nb")) * p).select("a", "b"), "possible-pairs")
-
-
-def _verified(rows: DataFrame, width: int, share: tuple[int, int], pairs: DataFrame) -> DataFrame:
-    """Those of the written pairs (a, b) whose full sets meet the threshold."""
-    wanted = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "wanted-nodes")
-    sets = _sifted(rows, width, _sift(wanted)).join(wanted, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
-    sets = cut(sets, "wanted-sets")
-    both = pairs.join(sets.alias("x"), F.col("a") == F.col("x.node")).select("a", "b", F.col("shingles").alias("sa"))
-    both = both.join(sets.alias("y"), F.col("b") == F.col("y.node")).select("a", "b", "sa", F.col("shingles").alias("sb"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    return cut(both.where(common * (share[0] + share[1]) >= (F.size("sa") + F.size("sb")) * share[0]).select("a", "b"), "links")
+    out = join.docs.join(known, "node", "left").select("doc_id", "row", "group", F.col("n").cast("long").alias("n_shingles"), own.alias("component_id"))
+    out = s.cut(out, "document-components")
+    s.keep_only(out)
+    return out
 
 
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The documents, columns unchanged, that are the first of their component, by id and then by a digest of the text.
 
     Rows that share an id are judged each by its own text. Documents without words, and rows without an id, stay. Of rows
-    that repeat both id and text one stays.
+    that repeat both id and text one stays. Most texts are kept where they are, by a bit table; only the others are joined.
     """
     id_col, text_col = options.get("id_col", "doc_id"), options.get("text_col", "text")
-    found = cut(_grouped(docs, **options).where("component_id IS NOT NULL").select("doc_id", "row", "group"), "components")
+    s = Scratch(docs.sparkSession)
+    grouped = _grouped(docs, scratch=s, **options)
+    found = grouped.where("component_id IS NOT NULL").select("doc_id", "row", "group")
     key = F.struct("doc_id", "row")
-    first = cut(found.where("group IS NOT NULL").groupBy("group").agg(F.min(key).alias("first")), "component-firsts")
-    gone = found.join(first, "group").where(key != F.col("first")).select(F.col("doc_id").alias("__gone"), F.col("row").alias("__row")).distinct()
-    kept = docs.join(gone, (F.col(id_col) == F.col("__gone")) & (F.xxhash64(text_col) == F.col("__row")), "left_anti")
-    again = found.groupBy("doc_id", "row").count().where("count > 1").select(F.col("doc_id").alias("__again")).distinct()
-    if again.isEmpty():
-        return kept
-    repeated = kept.join(again, F.col(id_col) == F.col("__again"), "left_semi").dropDuplicates([id_col, text_col])
-    return kept.join(again, F.col(id_col) == F.col("__again"), "left_anti").unionByName(repeated)
+    first = s.cut(found.where("group IS NOT NULL").groupBy("group").agg(F.min(key).alias("first")), "component-firsts")
+    told = found.join(first, "group", "left").groupBy("doc_id", "row").agg(F.max(F.coalesce(key != F.col("first"), F.lit(False))).alias("__gone"), F.count(F.lit(1)).alias("n"))
+    told = told.where("__gone OR n > 1").select(F.col("doc_id").alias("__id"), F.col("row").alias("__row"), "__gone", F.xxhash64("doc_id", "row").alias("key"))
+    told = s.cut(told, "told-rows")
+    s.drop(grouped, first)
+    row, own = F.xxhash64(text_col), F.col(id_col).cast("long")
+    sieved = sifted(docs, F.xxhash64(own, row), told.select("key"))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    judged = sieved.where("__maybe").join(told.select("__id", "__row", "__gone"), (own == F.col("__id")) & (row == F.col("__row")), "left")
+    single = judged.where("__gone IS NULL").select(*names)
+    repeated = judged.where("NOT __gone").select(*names).dropDuplicates([id_col, text_col])
+    return sieved.where("NOT __maybe").select(*names).unionByName(single).unionByName(repeated)
