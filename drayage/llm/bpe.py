@@ -4,23 +4,23 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 from collections.abc import Iterator
 from functools import lru_cache, reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from drayage.llm import pieces
+from drayage.llm.common import add_from_texts, ship
+from drayage.llm.last_tokens import LastTokens
 from drayage.llm.lookup import NONE, Lookup
-from drayage.llm.token_counts import batches
 
-#: Pieces up to so many bytes are folded together as rows of one array; longer ones are merged one by one.
+#: Pieces up to so many bytes are folded together as rows of one array; longer ones are read off their last tokens.
 ROW_BYTES = 48
-#: A worker remembers between one and two times this many pieces.
-REMEMBERED = 150_000
+#: A worker remembers between one and two times this many pieces, or this many characters of pieces.
+REMEMBERED, CHARACTERS = 150_000, 8_000_000
 
 
 class Ranks:
@@ -34,7 +34,8 @@ class Ranks:
         # every way to split a token into two tokens: (left id, right id) -> merged id
         found = [(self.rank[t[:k]] << 32 | self.rank[t[k:]], r) for t, r in self.rank.items() for k in range(1, len(t)) if t[:k] in self.rank and t[k:] in self.rank]
         self.merges = Lookup(np.array([k for k, _ in found], np.int64), np.array([v for _, v in found], np.int32))
-        self.known, self.older = {}, {}
+        self.known, self.older, self.size = {}, {}, 0
+        self._program = None
 
     def pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank of each pair's merge, NONE where the bytes together are no token."""
@@ -76,39 +77,53 @@ class Ranks:
         flat = ids.astype("<u4").tobytes()
         return [flat[4 * n * k : 4 * (n * k + s)] for k, s in enumerate(size.tolist())]
 
-    def merge_long(self, data: bytes) -> bytes:
-        """The same merges for one long piece, with a heap of pairs: n log n for n bytes."""
-        n = len(data)
-        part, after, before = [data[k : k + 1] for k in range(n)], list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(self.rank[data[k : k + 2]], k, data[k : k + 1], data[k + 1 : k + 2]) for k in range(n - 1) if data[k : k + 2] in self.rank]
-        heapq.heapify(heap)
-
-        def offer(k: int) -> None:
-            if k >= 0 and after[k] < n and (r := self.rank.get(part[k] + part[after[k]])) is not None:
-                heapq.heappush(heap, (r, k, part[k], part[after[k]]))
-
-        while heap:
-            _, k, a, b = heapq.heappop(heap)
-            j = after[k]
-            if part[k] != a or j >= n or part[j] != b:
-                continue
-            part[k], part[j], after[k] = a + b, b"", after[j]
-            if after[k] < n:
-                before[after[k]] = k
-            offer(k)
-            offer(before[k])
-        return np.array([self.rank[p] for p in part if p], "<u4").tobytes()
+    def merge(self, data: bytes) -> list[bytes]:
+        """The same merges for one short byte string."""
+        parts = [data[k : k + 1] for k in range(len(data))]
+        while len(parts) > 1:
+            rank, at = min((self.rank.get(a + b, NONE), k) for k, (a, b) in enumerate(zip(parts, parts[1:])))
+            if rank == NONE:
+                break
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        return parts
+
+    @property
+    def program(self) -> LastTokens:
+        """The last tokens of prefixes, made when the first long piece comes."""
+        if self._program is None:
+            by_size: dict[int, list[bytes]] = {}
+            for t in self.rank:
+                by_size.setdefault(len(t), []).append(t)
+            own = []
+            for n, tokens in by_size.items():
+                ids = self.fold(np.frombuffer(b"".join(tokens), np.uint8).reshape(len(tokens), n))
+                own += [t for t, x in zip(tokens, ids) if len(x) == 4]
+            self._program = LastTokens(own, self.merge)
+        return self._program
+
+    def merge_long(self, data: list[bytes]) -> list[bytes]:
+        """The ids of long pieces: the last token of the whole, then of what is before it, and so on."""
+        program, out = self.program, []
+        number = np.array([self.rank[t] for t in program.token], np.int64)
+        size = np.array([len(t) for t in program.token], np.int64)
+        for d, (last, _) in zip(data, program.strings(data)):
+            p, found, at = len(d), [], last.tolist()
+            while p:
+                found.append(at[p])
+                p -= int(size[at[p]])
+            out.append(number[np.array(found[::-1], np.int64)].astype("<u4").tobytes())
+        return out
 
     def learn(self, new: list[str]) -> None:
         """Encode distinct pieces that are not known yet."""
         raw = [p.encode("utf-8", "replace") for p in new]
+        self.size += sum(map(len, new))
         by_size: dict[int, list[int]] = {}
         for k, b in enumerate(raw):
-            by_size.setdefault(len(b), []).append(k)
+            by_size.setdefault(min(len(b), ROW_BYTES + 1), []).append(k)
         for n, ks in by_size.items():
             if n > ROW_BYTES:
-                for k in ks:
-                    self.known[new[k]] = self.merge_long(raw[k])
+                self.known.update(zip([new[k] for k in ks], self.merge_long([raw[k] for k in ks])))
             else:
                 rows = np.frombuffer(b"".join([raw[k] for k in ks]), np.uint8).reshape(len(ks), n)
                 self.known.update(zip([new[k] for k in ks], self.fold(rows)))
@@ -123,8 +138,8 @@ class Ranks:
         found = list(map(whole.__getitem__, map(slice, begin.tolist(), stops.tolist())))
         new = set(found).difference(self.known)
         back = {p: self.older[p] for p in new if p in self.older}
-        if len(self.known) > REMEMBERED:
-            self.older, self.known = self.known, {}
+        if len(self.known) > REMEMBERED or self.size > CHARACTERS:
+            self.older, self.known, self.size = self.known, {}, 0
             new = set(found)
             back = {p: self.older[p] for p in new if p in self.older}
         self.known.update(back)
@@ -148,26 +163,23 @@ def _text_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>) of every whole text; a null text has no ids."""
-    rows = _text_rows(docs, id_col, text_col)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        r = ranks(path)
-        for f in frames:
-            ids = [np.frombuffer(b, "<i4") for held in batches([t or "" for t in f["text"]]) for b in r.encode(held)]
-            yield pd.DataFrame({"doc_id": f["doc_id"], "ids": ids})
+    def run(texts: list[str]) -> list:
+        return [pa.array([np.frombuffer(b, "<i4") for b in ranks(path).encode(texts)], pa.list_(pa.int32()))]
 
-    return rows.mapInPandas(run, f"doc_id {dict(rows.dtypes)['doc_id']}, ids array<int>")
+    return add_from_texts(_text_rows(docs, id_col, text_col), "text", run, "ids array<int>", ["doc_id"])
 
 
 def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     """(doc_id, bytes) from (doc_id, ids)."""
+    ship(encoded.sparkSession)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        r = ranks(path)
-        for f in frames:
-            yield pd.DataFrame({"doc_id": f["doc_id"], "bytes": [r.decode(np.asarray(x, "<u4").tobytes()) for x in f["ids"]]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = [ranks(path).decode(np.array(x or [], "<u4").tobytes()) for x in b.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.binary())], names=["doc_id", "bytes"])
 
-    return encoded.select("doc_id", "ids").mapInPandas(run, f"doc_id {dict(encoded.dtypes)['doc_id']}, bytes binary")
+    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {dict(encoded.dtypes)['doc_id']}, bytes binary")
 
 
 def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -176,17 +188,11 @@ def encode_and_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_c
     A null text counts as empty: no ids, the digests of no bytes. Ids may be null or repeat; extra columns are ignored; an
     empty table gives no rows.
     """
-    rows = _text_rows(docs, id_col, text_col)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(texts: list[str]) -> list:
         r = ranks(path)
-        for f in frames:
-            n, ids, back = [], [], []
-            for held in batches([t or "" for t in f["text"]]):
-                for b in r.encode(held):
-                    n.append(len(b) // 4)
-                    ids.append(hashlib.sha256(b).hexdigest())
-                    back.append(hashlib.sha256(r.decode(b)).hexdigest())
-            yield pd.DataFrame({"doc_id": f["doc_id"], "n_tokens": n, "ids_sha256": ids, "decoded_sha256": back})
-
-    return rows.mapInPandas(run, f"doc_id {dict(rows.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        ids = r.encode(texts)
+        digests = [[hashlib.sha256(x).hexdigest() for x in part] for part in (ids, map(r.decode, ids))]
+        return [pa.array([len(b) // 4 for b in ids], pa.int64()), *(pa.array(d, pa.string()) for d in digests)]
+
+    return add_from_texts(_text_rows(docs, id_col, text_col), "text", run, "n_tokens long, ids_sha256 string, decoded_sha256 string", ["doc_id"])

@@ -6,11 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from drayage.llm import pieces
-from drayage.llm.token_counts import batches
+from drayage.llm.common import add_from_texts, ship, text_slices
 
 DIMENSIONS = 1024
 #: A document's direction enters its language's prototype in steps of this size, so sums do not depend on their order.
@@ -58,33 +59,29 @@ def bundles(texts: list[str], dimensions: int = DIMENSIONS) -> tuple[np.ndarray,
     return out.astype(np.float64), n
 
 
-def _held(texts: list) -> Iterator[list[str]]:
-    return batches([t or "" for t in texts], 1_000_000, 256)
-
-
 def prototypes(rows: DataFrame, most: int = 1000, dimensions: int = DIMENSIONS) -> tuple[list[str], np.ndarray]:
     """(languages in order, their prototypes) from rows(text, lang). Each partition sends one vector for each language.
 
     What reaches the driver is languages times dimensions; more than `most` languages raise.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    ship(rows.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
-        for f in frames:
-            langs = iter(f["lang"].tolist())
-            for held in _held(f["text"].tolist()):
-                vectors, n = bundles(held, dimensions)
-                length = np.sqrt((vectors**2).sum(axis=1))
-                steps = np.rint(vectors / np.where(length > 0, length, 1)[:, None] * STEPS).astype(np.int64)
-                own = np.array([next(langs) for _ in held], object)
-                for lang in set(own[n > 0]):
-                    sums[lang] = sums.get(lang, 0) + steps[(own == lang) & (n > 0)].sum(axis=0)
+        for part, texts in text_slices(batches, "text", 1_000_000, 256):
+            vectors, n = bundles(texts, dimensions)
+            length = np.sqrt((vectors**2).sum(axis=1))
+            steps = np.rint(vectors / np.where(length > 0, length, 1)[:, None] * STEPS).astype(np.int64)
+            own = np.array(part.column("lang").to_pylist(), object)
+            for lang in set(own[n > 0]):
+                sums[lang] = sums.get(lang, 0) + steps[(own == lang) & (n > 0)].sum(axis=0)
             if len(sums) > most:
                 raise ValueError(f"more than {most} languages")
         if sums:
-            yield pd.DataFrame({"lang": list(sums), "vector": [v.tolist() for v in sums.values()]})
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.int64()))], names=["lang", "vector"])
 
-    parts = rows.where("lang IS NOT NULL AND text IS NOT NULL").mapInPandas(run, "lang string, vector array<long>")
+    parts = rows.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text").mapInArrow(run, "lang string, vector array<long>")
     found = parts.select("lang", F.posexplode("vector").alias("k", "v")).groupBy("lang", "k").agg(F.sum("v").alias("v"))
     found = found.groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "v"))), lambda x: x["v"]).alias("vector"))
     got = sorted((r["lang"], r["vector"]) for r in found.limit(most + 1).collect())
@@ -108,23 +105,15 @@ def identify(docs: DataFrame, languages: list[str], vectors: np.ndarray, text_co
     unit = vectors / np.where(length > 0, length, 1)[:, None]
     names = np.array([*languages, "und"], object)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            best, top = [], []
-            for held in _held(f[text_col].tolist()):
-                v, n = bundles(held, unit.shape[1])
-                if not len(languages):
-                    best += [-1] * len(held)
-                    top += [0.0] * len(held)
-                    continue
-                cosine = (v @ unit.T) / np.maximum(np.sqrt((v**2).sum(axis=1)), 1e-300)[:, None]
-                ok = n > 0
-                best += np.where(ok, cosine.argmax(axis=1), -1).tolist()
-                top += np.where(ok, np.clip(cosine.max(axis=1), 0, 1), 0.0).tolist()
-            yield f.assign(**{pred: names[np.array(best, int)], score: top})
-
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in docs.dtypes), f"{pred} string, {score} double"])
-    return docs.mapInPandas(run, schema)
+    def run(texts: list[str]) -> list:
+        v, n = bundles(texts, unit.shape[1])
+        best, top = np.full(len(texts), -1), np.zeros(len(texts))
+        if len(languages):
+            cosine = (v @ unit.T) / np.maximum(np.sqrt((v**2).sum(axis=1)), 1e-300)[:, None]
+            best, top = np.where(n > 0, cosine.argmax(axis=1), -1), np.where(n > 0, np.clip(cosine.max(axis=1), 0, 1), 0.0)
+        return [pa.array(names[best].tolist(), pa.string()), pa.array(top, pa.float64())]
+
+    return add_from_texts(docs, text_col, run, f"{pred} string, {score} double", docs.columns, chars=1_000_000, rows=256)
 
 
 def identify_held_out(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

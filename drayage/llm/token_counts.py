@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from drayage.llm import pieces
-from drayage.llm.lookup import NONE, Lookup
+from drayage.llm.common import add_from_texts
+from drayage.llm.last_tokens import LastTokens
 
-#: A worker remembers between one and two times this many pieces, those met last; others are worked out anew.
-REMEMBERED = 350_000
+#: A worker remembers between one and two times this many pieces, or this many characters of pieces, those met last; others
+#: are worked out anew.
+REMEMBERED, CHARACTERS = 350_000, 8_000_000
 #: Pieces up to so many bytes are worked out together as rows of one array.
 ROW_BYTES = 40
 
@@ -23,9 +24,7 @@ ROW_BYTES = 40
 class Vocabulary:
     """Merges of a tokenizer file of the `tokenizers` library (kind BPE, byte-level, without normalizer).
 
-    The last token of a prefix decides: token t ends prefix p if the prefix before t ends in token s and the pair (s, t)
-    stands when s and t are encoded together. One such t exists for each p, so count(p) = count(p - t) + 1, and no prefix
-    is ever encoded again.
+    Counts come from the last token of each prefix: count(p) = count(p - its length) + 1.
     """
 
     def __init__(self, path: str):
@@ -42,23 +41,10 @@ class Vocabulary:
             a, b = merge if isinstance(merge, list) else merge.split(" ")
             self.rank.setdefault((raw[a], raw[b]), n)
         self.special = [t["content"] for t in spec["added_tokens"]]
-        own = sorted(t for t in raw.values() if len(t) == 1 or self.encode(t) == [t])
-        self.number = {t: n for n, t in enumerate(own)}
-        self.token, self.longest = own, max(map(len, own))
-        # a trie over the tokens: (node, byte) -> node, and each node's token
-        nodes, token, steps = {b"": 0}, [-1], []
-        for t in own:
-            for k in range(1, len(t) + 1):
-                if t[:k] not in nodes:
-                    nodes[t[:k]] = len(nodes)
-                    token.append(-1)
-                    steps.append((nodes[t[: k - 1]] << 8 | t[k - 1], nodes[t[:k]]))
-            token[nodes[t]] = self.number[t]
-        self.step = Lookup(np.array([k for k, _ in steps], np.int64), np.array([v for _, v in steps], np.int32))
-        self.node_token = np.array([*token, -1], np.int32)  # the last one for no node
-        self.pairs: dict[int, bool] = {}
+        self.program = LastTokens([t for t in raw.values() if len(t) == 1 or self.encode(t) == [t]], self.encode)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.size = 0
 
     def encode(self, data: bytes) -> list[bytes]:
         """Merge by rank, for short byte strings."""
@@ -70,58 +56,21 @@ class Vocabulary:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def stands(self, pair: int) -> bool:
-        """Whether two tokens, numbered in the halves of `pair`, stay apart when encoded together."""
-        ok = self.pairs.get(pair)
-        if ok is None:
-            if len(self.pairs) > 2 * REMEMBERED:
-                self.pairs.clear()
-            s, t = self.token[pair >> 32], self.token[pair & 0xFFFFFFFF]
-            ok = self.pairs[pair] = self.encode(s + t) == [s, t]
-        return ok
-
-    def _stand(self, pairs: np.ndarray) -> np.ndarray:
-        each, at = np.unique(pairs, return_inverse=True)
-        return np.fromiter(map(self.stands, each.tolist()), bool, len(each))[at]
-
-    def prefixes(self, data: np.ndarray) -> np.ndarray:
-        """Token counts of data[:, :1], data[:, :2], ... for rows of bytes of one length, each one piece."""
-        m, n = data.shape
-        last, count = np.full((n + 1, m), -1, np.int64), np.zeros((n + 1, m), np.uint32)
-        node = np.full((n, m), len(self.node_token) - 1, np.int32)  # node[q]: where the bytes from q on have led
-        dead = len(self.node_token) - 1
-        for p in range(1, n + 1):
-            byte = data[:, p - 1].astype(np.int64)
-            node[p - 1] = 0
-            todo = np.arange(m)
-            for q in range(max(0, p - self.longest), p):
-                live = np.flatnonzero(node[q] != dead)
-                if not len(live):
-                    continue
-                to = self.step(node[q, live].astype(np.int64) << 8 | byte[live])
-                node[q, live] = np.where(to == NONE, dead, to)
-                t = self.node_token[node[q, todo]]
-                can = np.flatnonzero(t >= 0)
-                if q and len(can):
-                    can = can[self._stand(last[q, todo[can]] << 32 | t[can])]
-                if len(can):
-                    at = todo[can]
-                    last[p, at], count[p, at] = t[can], count[q, at] + 1
-                    todo = np.delete(todo, can)
-            if len(todo):
-                raise AssertionError("no last token")
-        return count[1:].T
-
     def learn(self, new: list[str]) -> None:
         """Work out the prefix counts of distinct pieces, kept as bytes of 32-bit numbers, one for each character."""
         raw = [p.encode("utf-8", "replace") for p in new]
+        self.size += sum(map(len, new))
         by_size: dict[int, list[int]] = {}
         for k, b in enumerate(raw):
-            by_size.setdefault(len(b) if len(b) <= ROW_BYTES else -k - 1, []).append(k)
-        for ks in by_size.values():
-            n = len(raw[ks[0]])
+            by_size.setdefault(min(len(b), ROW_BYTES + 1), []).append(k)
+        for n, ks in by_size.items():
+            if n > ROW_BYTES:
+                for k, (_, count) in zip(ks, self.program.strings([raw[k] for k in ks])):
+                    ends = np.flatnonzero(np.append(np.frombuffer(raw[k], np.uint8)[1:], 0) & 0xC0 != 0x80)
+                    self.known[new[k]] = count[1:][ends].tobytes()
+                continue
             rows = np.frombuffer(b"".join([raw[k] for k in ks]), np.uint8).reshape(len(ks), n)
-            counts = np.ascontiguousarray(self.prefixes(rows) if n <= ROW_BYTES else self.prefixes_long(raw[ks[0]])[None, :])
+            counts = np.ascontiguousarray(self.program.together(rows)[1][1:].T)
             flat = counts.tobytes()
             for j, k in enumerate(ks):
                 if len(new[k]) == n:
@@ -130,21 +79,10 @@ class Vocabulary:
                     ends = np.flatnonzero(np.append(rows[j, 1:], 0) & 0xC0 != 0x80)
                     self.known[new[k]] = counts[j, ends].tobytes()
 
-    def prefixes_long(self, data: bytes) -> np.ndarray:
-        """The same for one long piece."""
-        last, count, number = [-1] * (len(data) + 1), np.zeros(len(data) + 1, np.uint32), self.number
-        for p in range(1, len(data) + 1):
-            for q in range(max(0, p - self.longest), p):
-                t = number.get(data[q:p])
-                if t is not None and (not q or self.stands(last[q] << 32 | t)):
-                    last[p], count[p] = t, count[q] + 1
-                    break
-        return count[1:]
-
     def counts_of(self, found: list[str]) -> list[bytes]:
-        """The prefix counts of each piece; those met lately are remembered, in two generations that bound their number."""
-        if len(self.known) > REMEMBERED:
-            self.older, self.known = self.known, {}
+        """The prefix counts of each piece; those met lately are remembered, in two generations that bound number and size."""
+        if len(self.known) > REMEMBERED or self.size > CHARACTERS:
+            self.older, self.known, self.size = self.known, {}, 0
         new = set(found).difference(self.known)
         back = {p: self.older[p] for p in new if p in self.older}
         self.known.update(back)
@@ -223,19 +161,6 @@ def fit(counts: np.ndarray, budget: int) -> int:
     return int(ok[-1]) + 1 if len(ok) else 0
 
 
-def batches(texts: list[str], chars: int = 2_000_000, most: int = 100_000) -> Iterator[list[str]]:
-    """The texts in order, in lists of about so many characters and at most `most` texts: memory follows the longest text."""
-    held, size = [], 0
-    for t in texts:
-        held.append(t)
-        size += len(t)
-        if size >= chars or len(held) >= most:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
 def count_tokens(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, n_tokens, over_limit, fit_chars): read off the prefix counts of every whole text.
 
@@ -243,30 +168,24 @@ def count_tokens(docs: DataFrame, path: str, limit: int = 1024, id_col: str = "d
     be null or repeat; extra columns are ignored; an empty table gives no rows.
     """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        voc = vocabulary(path)
-        for f in frames:
-            n, cut = [], []
-            for held in batches([t or "" for t in f["text"]]):
-                for counts in prefix_counts(held, voc):
-                    n.append(int(counts[-1]) if len(counts) else 0)
-                    cut.append(len(counts) if not n[-1] > limit and (not len(counts) or counts.max() <= limit) else fit(counts, limit))
-            yield pd.DataFrame({"doc_id": f["doc_id"], "n_bytes": f["n_bytes"], "n_tokens": n, "fit_chars": cut})
-
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long").alias("n_bytes"), F.col(text_col).alias("text"))
-    kind = dict(rows.dtypes)["doc_id"]
-    out = rows.mapInPandas(run, f"doc_id {kind}, n_bytes long, n_tokens long, fit_chars long")
+
+    def run(texts: list[str]) -> list:
+        n, cut = [], []
+        for counts in prefix_counts(texts, vocabulary(path)):
+            n.append(int(counts[-1]) if len(counts) else 0)
+            cut.append(len(counts) if not n[-1] > limit and (not len(counts) or counts.max() <= limit) else fit(counts, limit))
+        return [pa.array(n, pa.int64()), pa.array(cut, pa.int64())]
+
+    out = add_from_texts(rows, "text", run, "n_tokens long, fit_chars long", ["doc_id", "n_bytes"])
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"), "fit_chars")
 
 
 def prefix_token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, counts array<int>): element k is the number of tokens of the first k + 1 characters. Null text: an empty array."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        voc = vocabulary(path)
-        for f in frames:
-            out = [c.astype("int32") for held in batches([t or "" for t in f["text"]]) for c in prefix_counts(held, voc)]
-            yield pd.DataFrame({"doc_id": f["doc_id"], "counts": out})
+    def run(texts: list[str]) -> list:
+        return [pa.array([c.astype("int32") for c in prefix_counts(texts, vocabulary(path))], pa.list_(pa.int32()))]
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.mapInPandas(run, f"doc_id {dict(rows.dtypes)['doc_id']}, counts array<int>")
+    return add_from_texts(rows, "text", run, "counts array<int>", ["doc_id"])
