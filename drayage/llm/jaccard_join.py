@@ -27,6 +27,8 @@ FREQUENT = 65_536
 COUNTED, LOCAL = 1_000_000, 4
 #: The index list of a frequent shingle is dealt to one task for about so many of its entries.
 DEALT = 4096
+#: Index lists of up to so many entries are looked through by the task that sorts them.
+LONG = 512
 #: A task remembers so many set digests, to pass over equal sets; forgetting some costs a few repeated rows.
 SEEN = 200_000
 #: 64-bit words of a set's parity bitmap, and of the folded one that index entries carry.
@@ -136,43 +138,71 @@ def _prefixes(rows: DataFrame, width: int, share: tuple[int, int], frequent: np.
     return rows.select("text").mapInArrow(run, "token long, part int, node binary, n int, pos int")
 
 
-def _shared(entries: DataFrame) -> DataFrame:
-    """The distinct entries of lists that have at least two nodes, or that are in parts: one shuffle, one sort, one reading."""
+def _judged(token: np.ndarray, piece: np.ndarray, node: np.ndarray, n: np.ndarray, pos: np.ndarray, share: tuple[int, int]) -> np.ndarray:
+    """Rows of whole lists, ordered by size, that have a partner in their list as far as sizes and positions tell; repeats go."""
+    p, q = share
+    same = np.zeros(len(token), bool)
+    same[1:] = (token[1:] == token[:-1]) & (piece[1:] == piece[:-1])
+    again = np.zeros(len(token), bool)
+    again[1:] = same[1:] & (node[1:] == node[:-1]).all(axis=1)
+    rows = np.flatnonzero(~again)
+    if not len(rows):
+        return rows
+    n, rest, list_of = n[rows].astype(np.int64), (n - pos)[rows].astype(np.int64), np.cumsum(~same[rows])
+    keep = piece[rows] >= 0
+    at, off = np.flatnonzero(~keep), 1
+    while len(at):
+        at = at[at + off < len(rows)]
+        other = at + off
+        at = at[(list_of[at] == list_of[other]) & (n[at] * q >= n[other] * p)]
+        other = at + off
+        both = (n[at] + n[other]) * p
+        hit = (rest[at] * (p + q) >= both) & (rest[other] * (p + q) >= both)
+        keep[at[hit]] = keep[other[hit]] = True
+        off += 1
+    return rows[keep]
+
+
+def _shared(entries: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """The entries that may have a partner in their list: one shuffle, one sort, one reading.
+
+    Lists of up to LONG entries are judged whole; of longer ones, and of those in parts, every entry goes on.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, waiting = None, None  # the row before, and that row itself while it is alone in its list
+        held, running = None, None  # the last list as far as it was read; the list that is too long to be judged
+
+        def judge(b: pa.RecordBatch) -> pa.RecordBatch:
+            at = _judged(*(b.column(c).to_numpy() for c in ("token", "part")), _numbers(b.column("node")), *(b.column(c).to_numpy() for c in ("n", "pos")), share)
+            return b.take(pa.array(at))
+
         for b in batches:
-            token, piece, node = b.column("token").to_numpy(), b.column("part").to_numpy(), _numbers(b.column("node"))
-            if not len(token):
-                continue
-            same = np.zeros(len(token), bool)
-            same[1:] = (token[1:] == token[:-1]) & (piece[1:] == piece[:-1])
-            again = np.zeros(len(token), bool)
-            again[1:] = same[1:] & (node[1:] == node[:-1]).all(axis=1)
-            if last is not None:
-                same[0] = (token[0], piece[0]) == last[:2]
-                again[0] = same[0] and tuple(node[0].tolist()) == last[2]
-            new = np.flatnonzero(~again)
-            last = (token[-1], piece[-1], tuple(node[-1].tolist()))
-            if not len(new):
+            if not b.num_rows:
                 continue
-            same, whole = same[new], piece[new] < 0
-            begin = np.flatnonzero(~same)
-            run_of = np.cumsum(~same) - (0 if same[0] else 1)
-            size = np.bincount(run_of)
-            keep = (size[run_of] > 1) | ~whole
-            if same[0]:
-                keep[run_of == 0] = True
-                if waiting is not None:
-                    yield waiting
-            waiting = None
-            if len(begin) and begin[-1] == len(new) - 1 and whole[-1]:
-                waiting = b.slice(int(new[-1]), 1)
-                keep[-1] = False
-            if keep.any():
-                yield b.take(pa.array(new[keep]))
-
-    dealt = entries.repartition("token", "part").sortWithinPartitions("token", "part", "node")
+            if held is not None:
+                b, held = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0], None
+            token, piece = b.column("token").to_numpy(), b.column("part").to_numpy()
+            begin = 0
+            if running is not None:
+                on = (token == running[0]) & (piece == running[1])
+                begin = len(on) if on.all() else int(np.argmin(on))
+                yield b.slice(0, begin)
+                if begin == len(on):
+                    continue
+                running = None
+            on = np.append(False, (token == token[-1]) & (piece == piece[-1]))
+            end = len(token) - int(np.argmin(on[::-1]))
+            if end > begin:
+                yield judge(b.slice(begin, end - begin))
+            if len(token) - end > LONG or piece[-1] >= 0:
+                running = (token[-1], piece[-1])
+                yield b.slice(end)
+            else:
+                held = b.slice(end)
+        if held is not None:
+            yield judge(held)
+
+    dealt = entries.repartition("token", "part").sortWithinPartitions("token", "part", "n", "node")
     return dealt.mapInArrow(run, entries.schema)
 
 
@@ -224,7 +254,7 @@ class _Join:
         self.nodes = s.cut(
             docs.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("id"), F.min("row").alias("row"), *[F.min(c).alias(c) for c in ("n", *BITS)]), "shingle-nodes"
         )
-        self.lists = s.cut(_shared(_prefixes(self.rows, self.width, self.share, frequent, met)), "index-lists")
+        self.lists = s.cut(_shared(_prefixes(self.rows, self.width, self.share, frequent, met), self.share), "index-lists")
 
     def led(self, labels: DataFrame | None, seed: int) -> DataFrame:
         """Pairs (a, b) of a set and, of the leaders of its blocks that are in another component, the one with the nearest bitmap."""
@@ -233,12 +263,13 @@ class _Join:
             e = e.withColumn("component", F.col("node"))
         else:
             e = s.cut(e.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled-lists")
-        one = F.struct("node", "n", "pos", "component")
+        one = F.struct("node", "n", "pos", *([] if labels is None else ["component"]))
         leaders = e.groupBy("token", "part", "block").agg(
-            *[F.min(F.struct(F.xxhash64(F.lit(LEADERS * seed + k), "node").alias("h"), one.alias("one"))).alias(f"l{k}") for k in range(LEADERS)], F.count(F.lit(1)).alias("entries")
+            *[F.min(F.struct(F.xxhash64(F.lit(LEADERS * seed + k), "node").alias("h"), one.alias("one"))).alias(f"l{k}") for k in range(LEADERS)]
         )
         leaders = leaders.select("token", "part", "block", F.explode(F.array_distinct(F.array(*[f"l{k}.one" for k in range(LEADERS)]))).alias("l"))
-        leaders = leaders.select("token", "part", F.col("block").alias("to"), "l.*").toDF("token", "part", "to", "leader", "m", "at", "other")
+        other = "l.node" if labels is None else "l.component"
+        leaders = leaders.select("token", "part", F.col("block").alias("to"), F.col("l.node").alias("leader"), F.col("l.n").alias("m"), F.col("l.pos").alias("at"), F.col(other).alias("other"))
         here = F.filter(F.array("block", F.col("block") - 1), lambda x: x >= 0)
         met = e.withColumn("to", F.explode(here)).join(leaders, ["token", "part", "to"]).where("component != other")
         p, q = self.share
