@@ -28,6 +28,15 @@ def number(c: str, kind: str = "double") -> Column:
     return F.col(c).try_cast(kind)
 
 
+def lenient_timestamp(c: str, formats: tuple[str, ...] = ()) -> Column:
+    """A text as a timestamp, by the usual form or the first given format that fits; null where none does."""
+    return F.coalesce(F.try_to_timestamp(F.col(c)), *(F.try_to_timestamp(F.col(c), F.lit(f)) for f in formats))
+
+
+def lenient_date(c: str, formats: tuple[str, ...] = ()) -> Column:
+    return F.to_date(lenient_timestamp(c, formats))
+
+
 def epoch_date(c: str) -> Column:
     return F.to_date(F.timestamp_seconds(F.col(c).try_cast("long")))
 

@@ -8,9 +8,19 @@ from pyspark.sql.window import Window
 
 
 def rolling_median(df: DataFrame, keys: list[str], day: str, value: str, days: int = 30, out: str = "baseline", accuracy: int = 10_000) -> DataFrame:
-    """Median of `value` over the `days` days before each row's day, within its keys. Parallel over keys."""
-    w = Window.partitionBy(*keys).orderBy(F.unix_date(day)).rangeBetween(-days, -1)
-    return df.withColumn(out, F.percentile_approx(value, F.lit(0.5), F.lit(accuracy)).over(w))
+    """Median of `value` over the `days` days before each row's day, within its keys.
+
+    Days are cut into blocks of `days`. A row goes to its own block and to the next one, as history, so the range window runs
+    within a key's block: parallel over keys and time, with two copies of a row, and the same result. Rows without a day have
+    no baseline.
+    """
+    number = F.unix_date(day)
+    block = F.floor(number / days)
+    blocks = F.when(block.isNull(), F.array(block)).otherwise(F.array(block, block + 1))
+    sent = df.withColumn("__block", F.explode(blocks)).withColumn("__own", F.col("__block").eqNullSafe(block))
+    w = Window.partitionBy(*keys, "__block").orderBy(number).rangeBetween(-days, -1)
+    sent = sent.withColumn(out, F.when(F.col(day).isNotNull(), F.percentile_approx(value, F.lit(0.5), F.lit(accuracy)).over(w)))
+    return sent.where("__own").drop("__block", "__own")
 
 
 def rolling_median_fanout(df: DataFrame, keys: list[str], day: str, value: str, days: int = 30, out: str = "baseline", accuracy: int = 10_000) -> DataFrame:

@@ -22,7 +22,8 @@ SPARK = {
         "p_brand as model", "upper(p_type) as fuel_type", "1990 + p_size as mfg_year"], None),
     "assignment": ("orders", [
         f"{_vin('o_custkey % 120')} as vin", f"{_driver('o_orderkey % 300')} as driver_id", "cast(o_orderdate as date) as start_date",
-        "o_totalprice / 1000 as daily_rate", "o_orderpriority as region", "o_orderkey as ingestion_seq"], None),
+        "case when o_orderkey % 11 <> 0 then date_add(cast(o_orderdate as date), cast(o_orderkey % 45 - 2 as int)) end as end_date",
+        "o_totalprice / 1000 as daily_rate", "case when o_orderkey % 53 = 0 then ' ' else o_orderpriority end as region", "o_orderkey as ingestion_seq"], None),
     "fuel": ("lineitem", [
         "concat(l_orderkey, '-', l_linenumber) as transaction_id", f"{_vin('l_suppkey')} as vin",
         "case when l_linenumber = 7 and l_quantity < 3 then 0.0D else l_quantity end as fuel_liters",
@@ -58,7 +59,8 @@ DUCKDB = {
           else 'V' || lpad(cast(cast(floor(p_partkey * 0.75) as bigint) as varchar), 7, '0') end vin,
           p_brand model, upper(p_type) fuel_type, 1990 + p_size mfg_year from part""",
     "assignment": """select 'V' || lpad(cast(o_custkey % 120 as varchar), 7, '0') vin, 'D' || lpad(cast(o_orderkey % 300 as varchar), 5, '0') driver_id,
-          cast(o_orderdate as date) start_date, o_totalprice / 1000 daily_rate, o_orderpriority region, o_orderkey ingestion_seq from orders""",
+          cast(o_orderdate as date) start_date, case when o_orderkey % 11 <> 0 then cast(o_orderdate as date) + cast(o_orderkey % 45 - 2 as int) end end_date,
+          o_totalprice / 1000 daily_rate, case when o_orderkey % 53 = 0 then ' ' else o_orderpriority end region, o_orderkey ingestion_seq from orders""",
     "fuel": """select l_orderkey || '-' || l_linenumber transaction_id, 'V' || lpad(cast(l_suppkey as varchar), 7, '0') vin,
           case when l_linenumber = 7 and l_quantity < 3 then 0.0::double else l_quantity end fuel_liters,
           ((cast(l_shipdate as date) - date '1995-01-01') * 100 + floor(l_extendedprice / 1000))::double odometer_reading,

@@ -9,6 +9,11 @@ from drayage.functions.values import blank, key
 from drayage.operators import dedup, geo, history, odometer, quality, rolling, strikes
 
 
+def latest_batch(df: DataFrame, batch: str = "ingestion_date") -> DataFrame:
+    """Rows of the newest ingestion: a join with one aggregated row, without a round trip to the driver."""
+    return df.join(F.broadcast(df.agg(F.max(batch).alias("__newest"))), F.col(batch) == F.col("__newest")).drop("__newest")
+
+
 def registry_labelled(raw: DataFrame, as_of: str) -> DataFrame:
     """Rules, then conflicts: vins registered in one year under two models are all quarantined."""
     r = raw.withColumn("vin", key("vin")).withColumn("model", F.trim("model")).withColumn("fuel_type", key("fuel_type")).withColumn("mfg_year", F.col("mfg_year").try_cast("int"))
@@ -25,8 +30,11 @@ def registry_clean(labelled: DataFrame) -> DataFrame:
 
 
 def assignment_labelled(raw: DataFrame, registry: DataFrame) -> DataFrame:
+    """Keys, region, a positive rate and dates in order, then the registry. A feed without end_date has open assignments."""
     a = raw.withColumn("vin", key("vin")).withColumn("driver_id", key("driver_id")).withColumn("region", F.trim("region"))
-    ok = ~blank("vin") & ~blank("driver_id") & (F.col("daily_rate") > 0) & F.col("start_date").isNotNull()
+    ok = ~blank("vin") & ~blank("driver_id") & ~blank("region") & (F.col("daily_rate") > 0) & F.col("start_date").isNotNull()
+    if "end_date" in raw.columns:
+        ok = ok & (F.col("end_date").isNull() | (F.col("end_date") >= F.col("start_date")))
     a = quality.label(a, [("INVALID_ASSIGNMENT_RECORD", ~F.coalesce(ok, F.lit(False)))])
     known = registry.select("vin").distinct().withColumn("__known", F.lit(True))
     return quality.relabel(a.join(known, "vin", "left"), "UNKNOWN_VIN", F.col("__known").isNull()).drop("__known")
@@ -43,13 +51,17 @@ def assignment_clean(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def fuel_labelled(raw: DataFrame, as_of: str, ties: list[str]) -> DataFrame:
     """The cascade: each rule sees the rows that earlier rules left. Groups with repeated id and time, or with the same
-    vehicle, time and litres, lose all members."""
+    vehicle, time and litres, lose all members. Rows with null keys go around the windows, where they would all meet."""
     f = raw.withColumn("vin", key("vin"))
     f = quality.label(f, [
         ("Negative or zero fuel", F.col("fuel_liters") <= 0),
         ("Null keys", F.col("transaction_id").isNull() | F.col("vin").isNull() | F.col("timestamp").isNull()),
     ])
+    keyless = F.col("transaction_id").isNull() | F.col("vin").isNull() | F.col("timestamp").isNull()
+    around, f = f.where(keyless), f.where(~keyless)
     clean = F.col("error_reason").isNull()
+    # dealt by transaction once: the two rules on it need no other shuffle
+    f = f.repartition("transaction_id")
     f = quality.relabel(f, "Duplicate txn+timestamp", dedup.group_size(["transaction_id", "timestamp"], clean) > 1)
     # newest first among those still clean; a labelled row sorts last
     order = [F.when(clean, 0).otherwise(1), F.desc("timestamp"), *[F.col(c) for c in ties]]
@@ -57,7 +69,7 @@ def fuel_labelled(raw: DataFrame, as_of: str, ties: list[str]) -> DataFrame:
     f = quality.relabel(f, "Future timestamp", F.col("timestamp") > F.lit(as_of).cast("timestamp"))
     f = quality.relabel(f, "Odometer rollback", F.col("odometer_reading") < odometer.running_max(["vin"], ["timestamp", "transaction_id"], "odometer_reading", clean))
     f = quality.relabel(f, "Soft duplicate", dedup.group_size(["vin", "timestamp", "fuel_liters"], clean) > 1)
-    return quality.relabel(f, "Null non-key", F.col("fuel_liters").isNull() | F.col("odometer_reading").isNull())
+    return quality.relabel(f, "Null non-key", F.col("fuel_liters").isNull() | F.col("odometer_reading").isNull()).unionByName(around)
 
 
 def fuel_distance(clean: DataFrame) -> DataFrame:
@@ -71,7 +83,13 @@ def maintenance_labelled(raw: DataFrame) -> DataFrame:
     return quality.relabel(m, "Duplicate Maintenance Record", place > 1)
 
 
+def asset_history(assignments: DataFrame) -> DataFrame:
+    """The gold history: every assignment of a vehicle with its dates and status."""
+    return assignments.select("vin", "driver_id", "start_date", "end_date", "daily_rate", "region", "status")
+
+
 def fleet_snapshot(asset_history: DataFrame, registry: DataFrame) -> DataFrame:
+    """Active vehicles of each model."""
     active = asset_history.where("status = 'IN-TRANSIT'").select("vin").join(registry.select("vin", "model"), "vin")
     return active.groupBy("model").agg(F.count(F.lit(1)).alias("no_of_active_vehicles"))
 
@@ -111,7 +129,8 @@ def trips(clean: DataFrame, assignments: DataFrame) -> DataFrame:
     day = clean.withColumn("__day", F.to_date("event_timestamp"))
     j = history.interval_join(day, hist, {"vin": "vin"}, "__day", how="left").drop("__day")
     kind = F.when(F.col("start_date").isNull(), "GHOST_TRIP").when(F.col("assigned_driver") != F.col("driver_id"), "SHADOW_ASSIGNMENT").otherwise("VALID")
-    return j.withColumn("trip_type", kind)
+    reason = F.when(F.col("trip_type") == "GHOST_TRIP", "No assignment found").when(F.col("trip_type") == "SHADOW_ASSIGNMENT", "Driver mismatch")
+    return j.withColumn("trip_type", kind).withColumn("audit_reason", reason)
 
 
 def violations(clean: DataFrame, zones: DataFrame, limit: int = 110, cell: float = 5.0) -> DataFrame:
@@ -130,6 +149,14 @@ def incidents(found: DataFrame, assignments: DataFrame, existing: DataFrame | No
         new = strikes.before_suspension(new, standing)
     hist = assignments.select("vin", "driver_id", "start_date", "end_date", F.col("daily_rate").alias("base_rate"))
     day = new.withColumn("__day", F.to_date("incident_ts"))
+    # sessions without an assignment have no rate: unassigned() has them
     rated = history.interval_join(day, hist, {"vin": "vin", "driver_id": "driver_id"}, "__day").drop("__day", "start_date", "end_date")
     prior = None if existing is None else strikes.prior_counts(existing, rated)
     return strikes.penalties(strikes.number_strikes(rated, prior)).drop("start_ts", "end_ts")
+
+
+def unassigned(found: DataFrame, assignments: DataFrame) -> DataFrame:
+    """Sessions of a driver and vehicle that no assignment covers: they are numbered nowhere and go to an archive."""
+    new = strikes.incident_ids(found).withColumn("__day", F.to_date("incident_ts"))
+    hist = assignments.select("vin", "driver_id", "start_date", "end_date")
+    return history.interval_join(new, hist, {"vin": "vin", "driver_id": "driver_id"}, "__day", how="left").where("start_date IS NULL").drop("__day", "start_date", "end_date")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drayage.functions.values import ROW_HASH_KEYS, row_hash, surrogate_id
+from drayage.functions.values import epoch_date, lenient_date, lenient_timestamp, row_hash, surrogate_id
 from drayage.operators import dedup, history, merge, quality, rolling, strikes
 from drayage.plans import jobs
 from drayage.plans.adapters import AS_OF, DUCKDB, fleet
@@ -74,7 +74,7 @@ REGISTRY = f"""registry_lab as (select *, (vin is null or trim(vin) = '' or trim
   registry as (select vin, model, fuel_type, mfg_year from (select r.*, row_number() over (partition by vin order by mfg_year desc, model, fuel_type) n
     from registry_lab r where not bad and (vin, mfg_year) not in (select vin, mfg_year from clash)) where n = 1)"""
 ASSIGN = """best as (select * from (select a.*, row_number() over (partition by vin, start_date order by daily_rate desc, ingestion_seq desc) n
-    from assignment_raw a where daily_rate > 0 and vin in (select vin from registry)) where n = 1),
+    from assignment_raw a where daily_rate > 0 and trim(region) <> '' and (end_date is null or end_date >= start_date) and vin in (select vin from registry)) where n = 1),
   ranked as (select * exclude (n), row_number() over (partition by driver_id, start_date order by daily_rate desc, ingestion_seq desc) m from best),
   hist as (select vin, driver_id, start_date, lead(start_date) over (partition by vin order by start_date) end_date, daily_rate, region, ingestion_seq from ranked where m = 1)"""
 FUEL = f"""f1 as (select *, case when fuel_liters <= 0 then 'Negative or zero fuel' end e from fuel_raw),
@@ -215,12 +215,59 @@ def assignment_scd2(t: Tables) -> DataFrame:
     return t.assignment()[0].select("vin", "driver_id", "start_date", "end_date", "daily_rate", "region", "status")
 
 
-@query(ALL_BATCH + "select vin, driver_id, start_date, 'UNKNOWN_VIN' error_reason from assignment_raw where daily_rate > 0 and vin not in (select vin from registry)")
+@query(ALL_BATCH + "select vin, driver_id, start_date, 'UNKNOWN_VIN' error_reason from assignment_raw where daily_rate > 0 and trim(region) <> '' and (end_date is null or end_date >= start_date) and vin not in (select vin from registry)")
 def assignment_unknown_vin(t: Tables) -> DataFrame:
     lab = jobs.assignment_labelled(t.raw("assignment"), t.registry())
     return lab.where("error_reason = 'UNKNOWN_VIN'").select("vin", "driver_id", "start_date", "error_reason")
 
 
+@query(ALL_BATCH + "select vin, driver_id, start_date, end_date, trim(region) region from assignment_raw where not (daily_rate > 0 and trim(region) <> '' and (end_date is null or end_date >= start_date))")
+def assignment_invalid(t: Tables) -> DataFrame:
+    lab = jobs.assignment_labelled(t.raw("assignment"), t.registry())
+    return lab.where("error_reason = 'INVALID_ASSIGNMENT_RECORD'").select("vin", "driver_id", "start_date", "end_date", "region")
+
+
+@query(ALL_BATCH + "select vin, driver_id, start_date, end_date, daily_rate, region, case when end_date is null then 'IN-TRANSIT' else 'ARCHIVED' end status from hist")
+def asset_history(t: Tables) -> DataFrame:
+    """Gold history after two runs: the second merges all assignments over those that start before 1996."""
+    full = jobs.asset_history(t.assignment()[0])
+    return merge.upsert(full.where("start_date < '1996-01-01'"), full, ["vin", "start_date"])
+
+
+@query("select vin, model, mfg_year from (select *, max(ingestion_date) over () newest from (select concat('V', p_partkey) vin, p_brand model, p_size mfg_year, date '2024-01-01' + cast(p_partkey % 5 as int) ingestion_date from part)) where ingestion_date = newest")
+def registry_latest_batch(t: Tables) -> DataFrame:
+    rows = t.table("part").selectExpr("concat('V', p_partkey) vin", "p_brand model", "p_size mfg_year", "date_add(date'2024-01-01', cast(p_partkey % 5 as int)) ingestion_date")
+    return jobs.latest_batch(rows).select("vin", "model", "mfg_year")
+
+
+@query(ALL_BATCH + "select vin, model, fuel_type, mfg_year from registry_lab except select vin, model, fuel_type, mfg_year from registry_lab where bad")
+def registry_difference(t: Tables) -> DataFrame:
+    """Rows that are in the table and not among the rejected ones, each once: the complement of the rule, deduplicated."""
+    lab = jobs.registry_labelled(t.raw("registry"), AS_OF)
+    kept = lab.where("error_reason IS NULL OR error_reason != 'INVALID_REGISTRY_RECORD'")
+    return kept.select("vin", "model", "fuel_type", "mfg_year").dropDuplicates()
+
+
+@query("select o_orderkey, try_cast(d as date) as \"day\", try_cast(x as timestamp) moment from (select o_orderkey, case when o_orderkey % 7 = 0 then 'n/a' when o_orderkey % 11 = 0 then '1996-02-31' else strftime(o_orderdate, '%Y-%m-%d') end d, case when o_orderkey % 13 = 0 then '' else strftime(o_orderdate, '%Y-%m-%d 07:30:00') end x from orders)")
+def lenient_dates(t: Tables) -> DataFrame:
+    """Dates and times that arrive as text, slashes among them; what is no date is null and stops nothing."""
+    o = t.table("orders").selectExpr(
+        "o_orderkey", "case when o_orderkey % 7 = 0 then 'n/a' when o_orderkey % 11 = 0 then '1996-02-31' when o_orderkey % 3 = 0 then date_format(o_orderdate, 'dd/MM/yyyy') else date_format(o_orderdate, 'yyyy-MM-dd') end d",
+        "case when o_orderkey % 13 = 0 then '' else concat(date_format(o_orderdate, 'yyyy-MM-dd'), ' 07:30:00') end x",
+    )
+    return o.select("o_orderkey", lenient_date("d", ("dd/MM/yyyy",)).alias("day"), lenient_timestamp("x").alias("moment"))
+
+
+@query("select event_id, cast(to_timestamp(epoch(ts)) at time zone 'UTC' as date) \"day\" from events")
+def epoch_dates(t: Tables) -> DataFrame:
+    return t.table("events").select("event_id", F.col("ts").cast("timestamp").cast("long").cast("string").alias("s")).select("event_id", epoch_date("s").alias("day"))
+
+
+@query(ALL_BATCH + "select model, count(*) no_of_active_vehicles from hist join registry using (vin) where end_date is null group by 1 order by 2 desc, 1 limit 5")
+def fleet_top5(t: Tables) -> DataFrame:
+    return jobs.fleet_snapshot(t.assignment()[0], t.registry()).orderBy(F.desc("no_of_active_vehicles"), "model").limit(5)
+
+
 @query(ALL_BATCH + "select vin, service_date, upper(trim(service_type)) service_type, year(service_date) service_year, month(service_date) service_month, max(ingestion_seq) ingestion_seq from maintenance_raw group by all")
 def maintenance_clean(t: Tables) -> DataFrame:
     m = t.maintenance().withColumn("service_year", F.year("service_date").cast("long")).withColumn("service_month", F.month("service_date").cast("long"))
@@ -243,6 +290,50 @@ def trip_classification(t: Tables) -> DataFrame:
     return jobs.trips(t.telemetry(), t.raw("telemetry_assignment")).select("event_id", "trip_type")
 
 
+@query(ALL_TELE + """select event_id, case when a.vin is null then 'No assignment found' else 'Driver mismatch' end audit_reason
+  from tele t left join telemetry_assignment_raw a on a.vin = t.vin and a.start_date <= cast(event_timestamp as date) and (a.end_date is null or cast(event_timestamp as date) < a.end_date)
+  where e is null and (a.vin is null or a.driver_id <> t.driver_id)""")
+def trip_audit(t: Tables) -> DataFrame:
+    return jobs.trips(t.telemetry(), t.raw("telemetry_assignment")).where("trip_type != 'VALID'").select("event_id", "audit_reason")
+
+
+@query("""select case when vin is null or driver_id is null then 'NULL_KEY' else 'OTHER' end kind, count(*) n from (
+  select case when event_id % 50 <> 7 then user_id end vin, case when event_id % 70 <> 9 then user_id end driver_id from events) group by 1""")
+def telemetry_null_keys(t: Tables) -> DataFrame:
+    raw = t.raw("telemetry").withColumn("vin", F.when(F.col("event_id") % 50 != 7, F.col("vin"))).withColumn("driver_id", F.when(F.col("event_id") % 70 != 9, F.col("driver_id")))
+    kind = F.when(F.col("error_reason") == "NULL_KEY", "NULL_KEY").otherwise("OTHER")
+    return jobs.telemetry_labelled(raw).groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+_KEYLESS = """with f as (select l_orderkey, l_linenumber, case when l_linenumber % 3 <> 0 then l_orderkey || '-' || l_linenumber end transaction_id, case when l_orderkey % 4 <> 0 then 'V' || l_suppkey end vin, l_quantity from lineitem)
+  select l_orderkey, l_linenumber from f where transaction_id is null or vin is null"""
+
+
+@query(_KEYLESS)
+def fuel_null_keys(t: Tables) -> DataFrame:
+    """Fuel rows without a key: labelled without meeting in a window."""
+    raw = t.table("lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "case when l_linenumber % 3 <> 0 then concat(l_orderkey, '-', l_linenumber) end transaction_id", "case when l_orderkey % 4 <> 0 then concat('V', l_suppkey) end vin",
+        "l_quantity as fuel_liters", "cast(l_shipdate as timestamp) as timestamp", "l_extendedprice as odometer_reading",
+    )
+    return jobs.fuel_labelled(raw, FUEL_AS_OF, ["vin"]).where("error_reason = 'Null keys'").select("l_orderkey", "l_linenumber")
+
+
+@query(ALL_TELE + """, susp as (select driver_id, min(start_date + 4) since from telemetry_assignment_raw where cast(substr(driver_id, 2) as int) % 5 = 0 group by 1)
+  select sess.driver_id, sess.vin, start_ts from sess left join susp using (driver_id) where since is null or start_ts < since""")
+def before_suspension(t: Tables) -> DataFrame:
+    """Sessions of drivers who are not suspended, or before they were; every fifth driver is, twice."""
+    a = t.raw("telemetry_assignment").where("cast(substr(driver_id, 2) as int) % 5 = 0").withColumn("status", F.lit("SUSPENDED"))
+    standing = a.select("driver_id", "status", F.date_add("start_date", 4).alias("suspension_date")).unionByName(a.select("driver_id", "status", F.date_add("start_date", 9).alias("suspension_date")))
+    return strikes.before_suspension(strikes.incident_ids(t.sessions()), standing).select("driver_id", "vin", "start_ts")
+
+
+@query(ALL_TELE + """select s.driver_id, s.vin, start_ts from sess s left join telemetry_assignment_raw a
+  on a.driver_id = s.driver_id and a.vin = s.vin and a.start_date <= cast(start_ts as date) and (a.end_date is null or cast(start_ts as date) < a.end_date) where a.vin is null""")
+def unassigned_sessions(t: Tables) -> DataFrame:
+    return jobs.unassigned(t.sessions(), t.raw("telemetry_assignment")).select("driver_id", "vin", "start_ts")
+
+
 @query(ALL_TELE + "select event_id, breached_zone_name from viol where is_zone_breach")
 def zone_breach(t: Tables) -> DataFrame:
     return t.violations().where("is_zone_breach").select("event_id", "breached_zone_name")
@@ -354,6 +445,24 @@ def latest_change(t: Tables) -> DataFrame:
     return merge.latest_changes(once.unionByName(twice), ["o_orderkey"]).select(*columns)
 
 
+@query(_DIFF + "select o_orderkey, o_totalprice from c where _change_type in ('insert', 'update_postimage')")
+def export_delta(t: Tables) -> DataFrame:
+    """What a database is told after version 1: of the changes of version 2, the newest of each key."""
+    old, new = _sides(t)
+    columns = ["o_orderkey", "o_totalprice"]
+    feed = merge.snapshot_diff(old.select(*columns).limit(0), old.select(*columns), ["o_orderkey"], 1).unionByName(merge.snapshot_diff(old.select(*columns), new.select(*columns), ["o_orderkey"], 2))
+    return merge.latest_changes(feed.where("_commit_version >= 2"), ["o_orderkey"]).select(*columns)
+
+
+@query(_DIFF + "select max(v) newest, count(*) filter (where v = 9) waiting from (select case when o_orderkey % 2 = 0 then 9 else 7 end v from c)")
+def feed_position(t: Tables) -> DataFrame:
+    """The newest version of a change feed, where the next export begins after, and how many rows it has."""
+    old, new = _sides(t)
+    feed = merge.snapshot_diff(old.select("o_orderkey", "o_totalprice"), new.select("o_orderkey", "o_totalprice"), ["o_orderkey"], 7)
+    feed = feed.withColumn("_commit_version", F.when(F.col("o_orderkey") % 2 == 0, 9).otherwise(F.col("_commit_version")))
+    return feed.agg(F.max("_commit_version").alias("newest"), F.count_if(F.col("_commit_version") == 9).alias("waiting"))
+
+
 @query("select c_custkey, md5(c_name || '||' || c_nationkey || '||' || c_mktsegment) _row_hash from customer where c_custkey % 4 <> 0")
 def row_hash_append(t: Tables) -> DataFrame:
     """Rows of the feed (each sent twice) whose fingerprint the table does not have yet."""
@@ -378,6 +487,3 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
-
-
-__all__ = ["ROW_HASH_KEYS", "Tables", "oracle_sql", "queries"]

@@ -4,36 +4,49 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from drayage.functions.values import ROW_HASH_KEYS, row_hash
 
+#: The columns that each feed must have, in the order in which a reason names those that are missing.
 REQUIRED = {
     "registry": ["vin", "model", "mfg_year", "fuel_type"],
     "assignment": ["vin", "driver_id", "start_timestamp", "end_timestamp", "daily_rate", "region"],
-    "fuel": ["transaction_id", "vin", "fuel_liters", "timestamp", "odometer_reading"],
+    "fuel": ["transaction_id", "vin", "fuel_liters", "odometer_reading", "timestamp"],
     "maintenance": ["vin", "service_date", "service_type"],
 }
 MANIFEST = "file_name string, file_path string, file_checksum string, file_status string, processed_at timestamp"
 
 
+def _lines(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, start, line_no, value): the lines of all CSV files of a folder, whatever their size; line numbers grow within a split."""
+    lines = spark.read.option("pathGlobFilter", "*.csv").text(folder)
+    return lines.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line_no"), F.regexp_replace("value", r"\r$", "").alias("value"))
+
+
 def landing_files(spark: SparkSession, folder: str, required: list[str]) -> DataFrame:
-    """(path, name, checksum, header, reason) of every CSV file; reason is null for a valid header. Runs on the executors."""
-    f = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folder)
-    first = F.regexp_replace(F.substring_index(F.try_validate_utf8(F.col("content").cast("string")), "\n", 1), r"\r$", "")
+    """(path, name, checksum, first, header, reason) of every CSV file; reason is null for a valid header.
+
+    Files are read as lines, by split, and summed up: no file is held whole. The checksum covers number, length and hashes
+    of the lines, so files of the same lines count as the same content.
+    """
+    hashed = F.xxhash64("value")
+    f = _lines(spark, folder).groupBy("path").agg(
+        F.min_by("value", F.when(F.col("start") == 0, F.col("line_no"))).alias("first"),
+        F.sha2(F.concat_ws("-", F.count(F.lit(1)), F.sum(F.length("value")), F.sum(hashed.cast("decimal(20,0)")), F.bit_xor(hashed), F.bit_xor(F.xxhash64(F.lit(1), "value"))), 256).alias("checksum"),
+    )
+    f = f.withColumn("first", F.try_validate_utf8("first")).withColumn("name", F.element_at(F.split("path", "/"), -1))
     names = F.transform(F.split("first", ","), lambda c: F.lower(F.trim(F.regexp_replace(c, '^[ "]+|[ "]+$', ""))))
-    f = f.select("path", F.element_at(F.split("path", "/"), -1).alias("name"), F.sha2("content", 256).alias("checksum"), "length", first.alias("first"))
     f = f.withColumn("header", names).withColumn("missing", F.array_except(F.array(*map(F.lit, required)), "header"))
-    reason = F.when((F.col("length") == 0) | (F.trim("first") == ""), "EMPTY_FILE").when(F.col("first").isNull(), F.concat(F.lit("UNREADABLE_FILE:"), "name"))
+    reason = F.when(F.trim("first") == "", "EMPTY_FILE").when(F.col("first").isNull(), F.concat(F.lit("UNREADABLE_FILE:"), "name"))
     reason = reason.when(F.size("missing") > 0, F.concat(F.lit("MISSING_REQUIRED_COLUMNS:"), F.array_join("missing", ",")))
-    f = f.select("path", "name", "checksum", "header", reason.alias("reason"))
+    f = f.select("path", "name", "checksum", "first", "header", reason.alias("reason"))
     # Spark's file sources leave out files without a byte; the folder's listing has them
     fs = spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     empty = [s.getPath() for s in fs.listStatus(spark._jvm.org.apache.hadoop.fs.Path(folder)) if s.isFile() and s.getLen() == 0 and s.getPath().getName().endswith(".csv")]
     if not empty:
         return f
     rows = spark.createDataFrame([(str(x.toString()), x.getName()) for x in empty], "path string, name string")
-    none = rows.select("path", "name", F.sha2(F.lit(b""), 256).alias("checksum"), F.array().cast("array<string>").alias("header"), F.lit("EMPTY_FILE").alias("reason"))
+    none = rows.select("path", "name", F.sha2(F.lit(b""), 256).alias("checksum"), F.lit("").alias("first"), F.array().cast("array<string>").alias("header"), F.lit("EMPTY_FILE").alias("reason"))
     return f.unionByName(none)
 
 
@@ -51,26 +64,30 @@ def manifest_rows(files: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def read_csv(spark: SparkSession, files: DataFrame, as_of: Column) -> DataFrame | None:
+def read_csv(spark: SparkSession, folder: str, files: DataFrame, as_of: Column) -> DataFrame | None:
     """All valid files as one frame of strings with normalised names, tagged with file and ingestion time.
 
-    Files of one header layout are one scan; layouts join by name. Layouts, not files, come to the driver, with their paths.
+    One scan for all files and header layouts: each line meets its file's header by path. Only the distinct column names come
+    to the driver. A quoted field may hold commas, but no line end.
     """
-    layouts = files.where("reason IS NULL").groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
-    out = None
-    for layout in sorted(layouts, key=lambda r: r["header"]):
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in layout["header"]])
-        part = spark.read.schema(schema).option("header", True).option("enforceSchema", True).csv(layout["paths"])
-        part = part.withColumn("source_file", F.col("_metadata.file_name"))
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    if out is None:
+    valid = files.where("reason IS NULL")
+    names = [r["c"] for r in valid.select(F.explode("header").alias("c")).distinct().orderBy("c").collect()]
+    if not names:
         return None
+    widest = valid.agg(F.max(F.size("header"))).first()[0]
+    lines = _lines(spark, folder).join(valid.select("path", "name", "first", "header"), "path").where("value != first AND trim(value) != ''")
+    cells = F.from_csv("value", ", ".join(f"c{k} string" for k in range(widest)))
+    lines = lines.withColumn("cells", cells).withColumn("cells", F.array(*[F.col(f"cells.c{k}") for k in range(widest)]))
+    at = lambda c: F.get("cells", F.nullif(F.array_position("header", c), F.lit(0)).cast("int") - 1)
+    out = lines.select(*[at(c).alias(c) for c in names], F.col("name").alias("source_file"))
     return out.withColumn("ingestion_time", as_of.cast("timestamp")).withColumn("ingestion_date", as_of.cast("date"))
 
 
 def fresh_rows(rows: DataFrame, feed: str, today: DataFrame | None) -> DataFrame:
-    """Rows with a fingerprint that neither this batch (first by file) nor today's partition has."""
-    rows = rows.withColumn("_row_hash", row_hash(ROW_HASH_KEYS[feed])).dropDuplicates(["_row_hash"])
+    """Rows with a fingerprint that neither this batch (first by file, then by the other columns) nor today's partition has."""
+    rows = rows.withColumn("_row_hash", row_hash(ROW_HASH_KEYS[feed]))
+    whole = F.struct("source_file", *[c for c in rows.columns if c not in ("source_file", "_row_hash")])
+    rows = rows.groupBy("_row_hash").agg(F.min(whole).alias("r")).select("r.*", "_row_hash").select(*rows.columns)
     return rows if today is None else rows.join(today.select("_row_hash"), "_row_hash", "left_anti")
 
 
@@ -81,7 +98,7 @@ def ingest(spark: SparkSession, feed: str, folder: str, bronze: str, manifest: s
     at = F.lit(as_of)
     old = spark.read.schema(MANIFEST).parquet(manifest) if table_exists(spark, manifest) else spark.createDataFrame([], MANIFEST)
     files = unseen(landing_files(spark, folder, REQUIRED[feed]), old).persist()
-    rows = read_csv(spark, files, at)
+    rows = read_csv(spark, folder, files, at)
     if rows is not None:
         today = spark.read.parquet(bronze).where(F.col("ingestion_date") == at.cast("date")) if table_exists(spark, bronze) else None
         fresh_rows(rows, feed, today).write.mode("append").partitionBy("ingestion_date").parquet(bronze)

@@ -1,4 +1,6 @@
-"""Tables as snapshot folders: a merge writes a new one, readers take the newest complete one."""
+"""Tables of two kinds. Merged tables are snapshot folders: a merge writes a new one, readers take the newest complete one.
+Event tables only grow: rows lie in folders by day (or month) and epoch, a replayed epoch replaces its own folders, and readers
+take all of them."""
 
 from __future__ import annotations
 
@@ -32,11 +34,91 @@ def read_table(spark: SparkSession, path: str, below: int | None = None) -> Data
     return spark.read.parquet(f"{path}/v={have[-1]}") if have else None
 
 
-def write_snapshot(df: DataFrame, path: str, version: int, partition: list[str] | None = None) -> None:
-    """Write version `version` in full; writing it again replaces it, so a replayed batch changes nothing."""
-    w = df.write.mode("overwrite")
+def empty(spark: SparkSession, schema: str) -> DataFrame:
+    """A typed frame without rows, for a table that is not there yet."""
+    return spark.createDataFrame([], schema)
+
+
+def write_snapshot(df: DataFrame, path: str, version: int, partition: list[str] | None = None, hashed: list[str] | None = None, keep: int | None = None) -> None:
+    """Write version `version` in full; writing it again replaces it, so a replayed batch changes nothing.
+
+    hashed: deal rows by these keys first, so that a key's rows are in one file. keep: delete all but the newest versions.
+    """
+    w = (df.repartition(*hashed) if hashed else df).write.mode("overwrite")
     # without a row a partitioned write leaves no file, hence no schema
     (w.partitionBy(*partition) if partition and not df.isEmpty() else w).parquet(f"{path}/v={version}")
+    if keep:
+        expire(df.sparkSession, path, keep)
+
+
+def expire(spark: SparkSession, path: str, keep: int) -> None:
+    """Delete all complete snapshots but the newest `keep`."""
+    for v in versions(spark, path)[:-keep]:
+        fs, p = _fs(spark, f"{path}/v={v}")
+        fs.delete(p, True)
+
+
+def publish(df: DataFrame, path: str, version: int, keys: list[str], cluster: list[str] | None = None, keep: int | None = 10) -> None:
+    """A new snapshot, clustered for readers that skip, and what it changed against the one before, under changes/epoch=version."""
+    from drayage.operators.merge import snapshot_diff
+
+    spark = df.sparkSession
+    old = read_table(spark, path, below=version)
+    write_snapshot(clustered(df, cluster) if cluster else df, path, version)
+    new = read_table(spark, path)
+    if old is None:
+        changes = new.withColumn("_change_type", F.lit("insert")).withColumn("_commit_version", F.lit(version).cast("long"))
+    else:
+        changes = snapshot_diff(old, new, keys, version)
+    changes.write.mode("overwrite").parquet(f"{path}/changes/epoch={version}")
+    if keep:
+        expire(spark, path, keep)
+
+
+def read_changes(spark: SparkSession, path: str, start: int = 0) -> DataFrame | None:
+    """Change rows of version `start` and later; folders of earlier ones are not read."""
+    if not table_exists(spark, f"{path}/changes"):
+        return None
+    return spark.read.parquet(f"{path}/changes").where(F.col("epoch") >= start).drop("epoch")
+
+
+def write_epoch(df: DataFrame, path: str, epoch: int, by: str) -> None:
+    """Add an epoch's rows to an event table, in folders by `by` and epoch. Only folders of this epoch are replaced."""
+    w = df.withColumn("epoch", F.lit(epoch).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    w.partitionBy(by, "epoch").parquet(path)
+
+
+def read_epochs(spark: SparkSession, path: str, by: str, values: list[str] | None = None, below: int | None = None) -> DataFrame | None:
+    """An event table, or its folders of the given values of `by`, of epochs before `below`. None where there is none.
+
+    Values select folders, so what is read, and the plan, do not grow with the epochs of other days.
+    """
+    if not table_exists(spark, path):
+        return None
+    df = spark.read.option("basePath", path).parquet(path)
+    if values is not None:
+        df = df.where(F.col(by).cast("string").isin(values)) if values else df.limit(0)
+    if below is not None:
+        df = df.where(F.col("epoch") < below)
+    return df.withColumn(by, F.col(by).cast("string"))
+
+
+def compact(spark: SparkSession, path: str, by: str, value: str, cluster: list[str]) -> None:
+    """Rewrite a day's (or month's) epochs as one folder, clustered, under epoch -1, which comes before all others.
+
+    A replayed epoch finds its rows there and adds none. The new files are complete in a hidden folder before the old ones go; a run that was cut off there is finished by the next.
+    """
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    fs, day = _fs(spark, f"{path}/{by}={value}")
+    done = jvm_path(f"{path}/_compacted-{by}={value}")
+    if not fs.exists(jvm_path(done, "_SUCCESS")):
+        if len([x for x in fs.listStatus(day) if x.getPath().getName().startswith("epoch=")]) < 2:
+            return
+        clustered(spark.read.parquet(day.toString()).drop("epoch"), cluster).write.mode("overwrite").parquet(done.toString())
+    epochs = [x.getPath() for x in fs.listStatus(day) if x.getPath().getName().startswith("epoch=")]
+    for x in epochs:
+        fs.delete(x, True)
+    fs.rename(done, jvm_path(day, "epoch=-1"))
 
 
 def require_nonempty(df: DataFrame | None, name: str) -> DataFrame:

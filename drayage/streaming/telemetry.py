@@ -12,8 +12,9 @@ from drayage.functions.values import surrogate_id
 from drayage.operators import merge, quality, strikes
 from drayage.plans import jobs
 from drayage.sources import jdbc
-from drayage.sources.tables import archive, read_table, require_nonempty, table_exists, versions, write_snapshot
+from drayage.sources.tables import archive, publish, read_epochs, read_table, require_nonempty, versions, write_epoch, write_snapshot
 
+#: The fields of a broker message's payload and of the zone file.
 PAYLOAD = "driver_id string, lat double, long double, speed bigint, vin string"
 ZONES = "zone_name string, min_lat double, max_lat double, min_long double, max_long double"
 
@@ -53,7 +54,11 @@ def each_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint:
 
 
 def silver_batch(batch: DataFrame, epoch: int, silver: str, archives: str, zones: str, assignments: str, limit: int = 110, cell: float = 5.0) -> None:
-    """One micro-batch: dedup, label, classify trips, find breaches, insert new events. Replaying an epoch changes nothing."""
+    """One micro-batch: dedup, label, classify trips, find breaches, add new events by date and epoch.
+
+    Replaying an epoch replaces its own folders. Events that earlier epochs have are found by one anti join with the batch's
+    dates, whatever the number of epochs.
+    """
     spark = batch.sparkSession
     t = batch.withColumn("event_timestamp", F.timestamp_seconds("kafka_timestamp"))
     for c in ("lat", "long"):
@@ -70,42 +75,65 @@ def silver_batch(batch: DataFrame, epoch: int, silver: str, archives: str, zones
         archive(trips.where("trip_type != 'VALID'"), f"{archives}/invalid", str(epoch), ["trip_type"])
         valid = trips.where("trip_type = 'VALID'").select(*clean.columns)
         found = jobs.violations(valid, boxes, limit, cell).drop("value_str", "topic", "partition", "offset", "kafka_timestamp", "ingestion_timestamp", "ingestion_date")
-        have = [spark.read.parquet(f"{silver}/v={v}").select("event_id", "event_date") for v in versions(spark, silver) if v < epoch]
-        for old in have:
-            found = found.join(old, ["event_id", "event_date"], "left_anti")
-        write_snapshot(found, silver, epoch)
+        dates = [r[0] for r in labelled.select("event_date").where("event_date IS NOT NULL").distinct().collect()]
+        held = read_epochs(spark, silver, "event_date", dates, below=epoch)
+        if held is not None:
+            found = found.join(held.select("event_id", "event_date"), ["event_id", "event_date"], "left_anti")
+        write_epoch(found, silver, epoch, "event_date")
     finally:
         labelled.unpersist()
 
 
+def silver_stream(spark: SparkSession, silver: str, schema: str, files: int = 20) -> DataFrame:
+    """The silver table as a stream: files are read once, in the order in which epochs wrote them."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(silver)
+
+
 def session_stream(silver: DataFrame, gap: str = "5 minutes", late: str = "10 minutes") -> DataFrame:
     """Violations of a stream as sessions, emitted once the watermark has passed their end; later rows are dropped."""
     return strikes.sessions(silver.where("is_violation").withWatermark("event_timestamp", late), gap)
 
 
 def incident_batch(batch: DataFrame, epoch: int, gold: str, assignments: str) -> None:
-    """Closed sessions of a batch as incidents: a new snapshot of all, and a change file for this epoch.
+    """Closed sessions of a batch as incidents, added by month and epoch, and a change file for this epoch.
 
-    Strike numbers follow arrival: a month's later batch goes on where the table stood below this epoch.
+    Strike numbers follow arrival: a month's later batch goes on where the table stood below this epoch. Only the months of
+    the batch are read. Sessions that no assignment covers go to an archive. Replaying an epoch replaces what it wrote; an
+    assignment is ended once.
     """
     spark = batch.sparkSession
     history = require_nonempty(read_table(spark, assignments), "asset history")
-    existing = read_table(spark, f"{gold}/incidents", below=epoch)
+    # the batch is worked out once: what follows reads the written sessions
+    batch.write.mode("overwrite").parquet(f"{gold}/sessions/epoch={epoch}")
+    batch = spark.read.schema(batch.schema).parquet(f"{gold}/sessions/epoch={epoch}")
+    months = [r[0] for r in batch.select(F.date_format("start_ts", "yyyy-MM")).distinct().collect()]
+    existing = read_epochs(spark, f"{gold}/incidents", "month_year", months, below=epoch)
     standing = read_table(spark, f"{gold}/standing")
     new = jobs.incidents(batch, history, existing, standing).withColumn("incident_created_ts", F.col("incident_ts")).persist()
     try:
-        write_snapshot(new if existing is None else merge.insert_only(existing, new, ["strike_id"]), f"{gold}/incidents", epoch, ["month_year"])
+        write_epoch(new, f"{gold}/incidents", epoch, "month_year")
         new.withColumn("_change_type", F.lit("insert")).withColumn("_commit_version", F.lit(epoch).cast("long")).write.mode("overwrite").parquet(f"{gold}/changes/epoch={epoch}")
+        archive(jobs.unassigned(batch, history), f"{gold}/unassigned", str(epoch))
         ended = new.where("status_after_strike = 'SUSPENDED'").select("driver_id", "vin", F.to_date("incident_ts").alias("suspended_date"))
-        if not ended.isEmpty():
+        later = (F.col("end_date").isNull()) | (F.col("end_date") > F.col("suspended_date"))
+        if not history.join(ended, ["driver_id", "vin"]).where(later).isEmpty():
             from drayage.operators.history import end_open_rows
 
-            latest = versions(spark, assignments)[-1]
-            write_snapshot(end_open_rows(history, ended, ["driver_id", "vin"]), assignments, latest + 1)
+            write_snapshot(end_open_rows(history, ended, ["driver_id", "vin"]), assignments, versions(spark, assignments)[-1] + 1)
     finally:
         new.unpersist()
 
 
+def incident_changes(spark: SparkSession, gold: str, schema: str, files: int = 20) -> DataFrame:
+    """The incidents' change files as a stream, from the first on."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{gold}/changes")
+
+
+def safety_status_stream(changes: DataFrame, url: str, table: str, properties: dict[str, str], checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Change rows of a stream to a database table, batch by batch; a batch that fails is undone and comes again."""
+    return each_batch(changes, lambda batch, epoch: safety_status_batch(batch, epoch, url, table, properties), checkpoint, every)
+
+
 def safety_status_batch(batch: DataFrame, epoch: int, url: str, table: str, properties: dict[str, str]) -> None:
     """Change rows of a batch, the newest of each driver, vehicle and month, upserted by JDBC."""
     from drayage.operators.dedup import keep_first
@@ -121,7 +149,7 @@ def safety_status_batch(batch: DataFrame, epoch: int, url: str, table: str, prop
 
 def write_standing(spark: SparkSession, gold: str, month: str, version: int, report: str | None = None) -> DataFrame:
     """The month's standings merged where strikes or status changed, and the text report."""
-    incidents = require_nonempty(read_table(spark, f"{gold}/incidents"), "incidents").where(F.col("month_year") == month)
+    incidents = require_nonempty(read_epochs(spark, f"{gold}/incidents", "month_year", [month]), f"incidents of {month}")
     new = require_nonempty(strikes.standings(incidents), f"incidents of {month}")
     old = read_table(spark, f"{gold}/standing", below=version)
     if old is not None:
@@ -129,10 +157,8 @@ def write_standing(spark: SparkSession, gold: str, month: str, version: int, rep
         merged = merge.merge_rows(old, new, ["driver_id", "month_year"], when=when)
     else:
         merged = new
-    write_snapshot(merged, f"{gold}/standing", version, ["month_year"])
+    publish(merged, f"{gold}/standing", version, ["driver_id", "month_year"])
     if report:
         strikes.report_lines(new).orderBy("driver_id").select("value").coalesce(1).write.mode("overwrite").text(report)
     return new
 
-
-__all__ = [n for n in dir() if not n.startswith("_")] + ["table_exists"]

@@ -111,18 +111,135 @@ def test_telemetry_stream_end_to_end(spark, folder):
     assert b.count() == 7 and b.where("driver_id IS NULL").count() == 1
     for _ in range(2):  # a replayed epoch changes nothing
         telemetry.silver_batch(b, 1, f"{folder}/silver", f"{folder}/arch", f"{folder}/zones.json", f"{folder}/assets")
-    silver = tables.read_table(spark, f"{folder}/silver")
+    silver = tables.read_epochs(spark, f"{folder}/silver", "event_date")
     assert silver.count() == 4 and silver.where("is_violation").count() == 3
     assert {r.error_reason: r["count"] for r in spark.read.parquet(f"{folder}/arch/errors").groupBy("error_reason").count().collect()} == {"NULL_KEY": 1, "NEGATIVE_SPEED_ERROR": 1}
     assert spark.read.parquet(f"{folder}/arch/invalid").select("trip_type").first()[0] == "GHOST_TRIP"
-    live = spark.readStream.schema(silver.schema).parquet(f"{folder}/silver/v=1")
+    live = telemetry.silver_stream(spark, f"{folder}/silver", ", ".join(f"{c} {k}" for c, k in silver.dtypes))
     telemetry.each_batch(telemetry.session_stream(live), lambda d, e: telemetry.incident_batch(d, e + 1, f"{folder}/gold", f"{folder}/assets"), f"{folder}/c2").awaitTermination(180)
-    found = tables.read_table(spark, f"{folder}/gold/incidents").orderBy("incident_ts").collect()
+    incidents = tables.read_epochs(spark, f"{folder}/gold/incidents", "month_year")
+    found = incidents.orderBy("incident_ts").collect()
     assert [(r.strike_number, r.max_speed, r.deduction_amount, r.adjusted_rate) for r in found][:1] == [(1, 130, 5.0, 95.0)]
     telemetry.write_standing(spark, f"{folder}/gold", "2024-05", 1, f"{folder}/report")
     assert "Driver ID: D1" in "\n".join(r.value for r in spark.read.text(f"{folder}/report").collect())
     url, props = f"jdbc:derby:{folder}/db;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-    changes = spark.read.parquet(f"{folder}/gold/changes").drop("epoch")
     jdbc.overwrite(spark.createDataFrame([("D0", "V0", 1.0, 1, "x", 1.0, "ACTIVE", dt.date(2024, 1, 1), "2024-01")], "driver_id string, vin string, base_rate double, strike_count int, current_strike_type string, current_adjusted_rate double, status string, incident_day date, month string"), url, "s", props, ["driver_id", "vin", "month"])
-    telemetry.safety_status_batch(changes, 1, url, "s", props)
+    changes = spark.read.parquet(f"{folder}/gold/changes").drop("epoch")
+    feed = telemetry.incident_changes(spark, f"{folder}/gold", ", ".join(f"{c} {k}" for c, k in changes.dtypes))
+    telemetry.safety_status_stream(feed, url, "s", props, f"{folder}/c3").awaitTermination(180)
     assert spark.read.jdbc(url, "s", properties=props).count() == 2
+
+
+def minute(spark, rows):
+    """A bronze batch of (epoch second, vin, speed)."""
+    cols = "driver_id string, lat double, long double, speed bigint, vin string, kafka_timestamp bigint, value_str string, topic string, partition int, offset long, ingestion_timestamp bigint, ingestion_date date"
+    return spark.createDataFrame([("D1", 1.0, 2.0, speed, vin, at, "x", "t", 0, 0, at, dt.date(2024, 5, 1)) for at, vin, speed in rows], cols)
+
+
+@pytest.fixture
+def fleet_folder(spark, folder):
+    tables.write_snapshot(spark.createDataFrame([("V1", "D1", dt.date(2024, 1, 1), None, 100.0)], "vin string, driver_id string, start_date date, end_date date, daily_rate double"), f"{folder}/assets", 1)
+    put(f"{folder}/zones.json", json.dumps([{"zone_name": "Z", "min_lat": 50.0, "max_lat": 51.0, "min_long": 1.0, "max_long": 3.0}]))
+    return folder
+
+
+def test_silver_keeps_every_epoch_and_replays(spark, fleet_folder):
+    at, day = 1_714_521_600, 86_400
+    batches = [[(at, "V1", 120), (at + 5, "V1", 10)], [(at + 5, "V1", 10), (at + 60, "V1", 130)], [(at + day, "V1", 20), (at, "V1", 120)]]
+    run = lambda k: telemetry.silver_batch(minute(spark, batches[k]), k + 1, f"{fleet_folder}/silver", f"{fleet_folder}/arch", f"{fleet_folder}/zones.json", f"{fleet_folder}/assets")
+    rows = lambda: sorted((r.event_date, r.speed, r.epoch) for r in tables.read_epochs(spark, f"{fleet_folder}/silver", "event_date").collect())
+    for k in range(3):
+        run(k)
+    want = [("2024-05-01", 10, 1), ("2024-05-01", 120, 1), ("2024-05-01", 130, 2), ("2024-05-02", 20, 3)]
+    assert rows() == want
+    run(1)
+    assert rows() == want
+    # only the folders of the asked day are read, and the plan does not know of epochs
+    one = tables.read_epochs(spark, f"{fleet_folder}/silver", "event_date", ["2024-05-02"], below=9)
+    assert [r.speed for r in one.collect()] == [20]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and plan.count("Scan parquet") == 1
+    tables.compact(spark, f"{fleet_folder}/silver", "event_date", "2024-05-01", ["vin", "event_timestamp"])
+    assert [(d, s) for d, s, _ in rows()] == [(d, s) for d, s, _ in want]
+    tables.compact(spark, f"{fleet_folder}/silver", "event_date", "2024-05-01", ["vin", "event_timestamp"])
+    run(1)
+    assert [(d, s) for d, s, _ in rows()] == [(d, s) for d, s, _ in want]
+
+
+def test_incidents_go_on_by_month_and_end_assignments_once(spark, fleet_folder):
+    def sessions(k, n):
+        rows = [("D1", "V1", dt.datetime(2024, 5, 1 + k, h), dt.datetime(2024, 5, 1 + k, h, 5), 120, None, "OVERSPEEDING") for h in range(n)] + [("D7", "V7", dt.datetime(2024, 5, 1 + k), dt.datetime(2024, 5, 1 + k, 0, 5), 120, None, "OVERSPEEDING")]
+        return spark.createDataFrame(rows, "driver_id string, vin string, start_ts timestamp, end_ts timestamp, max_speed long, zone_name string, strike_type string")
+
+    gold, assets = f"{fleet_folder}/gold", f"{fleet_folder}/assets"
+    rows = lambda: sorted((r.strike_number, r.incident_ts.day, r.epoch) for r in tables.read_epochs(spark, f"{gold}/incidents", "month_year").collect())
+    telemetry.incident_batch(sessions(0, 6), 1, gold, assets)
+    telemetry.incident_batch(sessions(1, 6), 2, gold, assets)
+    want = [(k, 1, 1) for k in range(1, 7)] + [(k, 2, 2) for k in range(7, 11)]
+    assert rows() == want and tables.versions(spark, assets) == [1, 2]
+    telemetry.incident_batch(sessions(0, 6), 1, gold, assets)
+    assert rows() == want and tables.versions(spark, assets) == [1, 2]
+    assert tables.read_table(spark, assets).first().end_date == dt.date(2024, 5, 2)
+    assert {r.driver_id for r in spark.read.parquet(f"{gold}/unassigned").collect()} == {"D7"}
+
+
+def test_a_late_row_is_dropped_after_the_watermark(spark, folder):
+    schema = "driver_id string, vin string, event_timestamp timestamp, is_violation boolean, speed long, breached_zone_name string, strike_type string"
+    at = dt.datetime(2024, 5, 1)
+    for k, minutes in enumerate(([0, 2], [60], [90], [1], [150])):  # the fourth file comes late; the watermark of the batch before counts
+        rows = [("D1", "V1", at + dt.timedelta(minutes=m), True, 120 + k, None, "OVERSPEEDING") for m in minutes]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    got = []
+    stream = telemetry.session_stream(telemetry.file_source(spark, f"{folder}/in", schema, files=1))
+    telemetry.each_batch(stream, lambda d, e: got.extend(d.collect()), f"{folder}/c").awaitTermination(180)
+    assert [(r.start_ts, r.max_speed) for r in sorted(got, key=lambda r: r.start_ts)] == [(at, 120), (at + dt.timedelta(hours=1), 121), (at + dt.timedelta(minutes=90), 122)]
+
+
+def test_gold_and_exports(spark, folder):
+    from drayage.plans import gold
+
+    cols = "vin string, driver_id string, start_date date, end_date date, daily_rate double, region string, status string"
+    first = spark.createDataFrame([("V1", "D1", dt.date(2024, 1, 1), None, 9.0, "N", "IN-TRANSIT"), ("V2", "D2", dt.date(2024, 1, 1), None, 9.0, "N", "IN-TRANSIT")], cols)
+    second = spark.createDataFrame([("V1", "D1", dt.date(2024, 1, 1), dt.date(2024, 2, 1), 9.0, "N", "ARCHIVED"), ("V1", "D3", dt.date(2024, 2, 1), None, 8.0, "N", "IN-TRANSIT")], cols)
+    registry = spark.createDataFrame([("V1", "M"), ("V2", "M")], "vin string, model string")
+    url, props = f"jdbc:derby:{folder}/db;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    export = lambda: gold.export_changes(spark, f"{folder}/asset_history", gold.ASSET_HISTORY, f"{folder}/positions", url, props)
+    assert export() is None
+    gold.vehicle_gold(spark, first, registry, folder, 1)
+    jdbc.overwrite(first.limit(0), url, gold.ASSET_HISTORY[0], props, ["vin"])
+    assert export() == 1 and export() is None
+    gold.vehicle_gold(spark, second, registry, folder, 2)
+    assert {r.vin: r._change_type for r in tables.read_changes(spark, f"{folder}/asset_history", 2).where("end_date IS NULL AND start_date = '2024-02-01'").collect()} == {"V1": "insert"}
+    assert export() == 2 and tables.load_position(spark, f"{folder}/positions", "asset_version") == 3
+    held = spark.read.jdbc(url, gold.ASSET_HISTORY[0], properties=props)
+    assert sorted(map(tuple, held.collect()), key=str) == sorted(map(tuple, tables.read_table(spark, f"{folder}/asset_history").collect()), key=str) and held.count() == 3
+    assert gold.export_snapshot(spark, f"{folder}/fleet_snapshot", "fleet", url, props) and not gold.export_snapshot(spark, f"{folder}/none", "fleet", url, props)
+    assert [tuple(r) for r in spark.read.jdbc(url, "fleet", properties=props).collect()] == [("M", 1)]
+    for v in range(3, 15):
+        tables.write_snapshot(first, f"{folder}/kept", v, hashed=["vin"], keep=3)
+    assert tables.versions(spark, f"{folder}/kept") == [12, 13, 14]
+    assert tables.empty(spark, "a string, b int").dtypes == [("a", "string"), ("b", "int")]
+
+
+@pytest.mark.parametrize("feed", sorted(landing.REQUIRED))
+def test_every_feed_lands(spark, folder, feed):
+    import os
+
+    os.makedirs(f"{folder}/in")
+    columns = landing.REQUIRED[feed]
+    put(f"{folder}/in/good.csv", ",".join(columns).upper() + "\n" + ",".join(f'"{c}, 1"' for c in columns) + "\n")
+    put(f"{folder}/in/bad.csv", ",".join(columns[:-2]) + "\n1,2\n")
+    found = {r.file_name: r.file_status for r in landing.ingest(spark, feed, f"{folder}/in", f"{folder}/bronze", f"{folder}/manifest", "2024-05-01").collect()}
+    assert found == {"good.csv": "PROCESSED", "bad.csv": "REJECTED:MISSING_REQUIRED_COLUMNS:" + ",".join(columns[-2:])}
+    assert [r[columns[0]] for r in spark.read.parquet(f"{folder}/bronze").collect()] == [f"{columns[0]}, 1"]
+
+
+def test_rolling_median_blocks(spark):
+    from drayage.operators import rolling
+
+    d = spark.range(400).selectExpr("id % 3 as k", "date_add(date'2023-11-20', cast(id * 7 % 131 as int)) as day", "cast(id * 37 % 101 as double) as v").unionByName(spark.createDataFrame([(1, None, 5.0)], "k long, day date, v double"))
+    rows = d.collect()
+    for r in rolling.rolling_median(d, ["k"], "day", "v", 30, "m").collect():
+        before = sorted(x.v for x in rows if r.day and x.day and x.k == r.k and 1 <= (r.day - x.day).days <= 30)
+        assert r.m == (before[(len(before) - 1) // 2] if before else None)
+    assert rolling.rolling_median(d, ["k"], "day", "v").count() == len(rows)
