@@ -81,17 +81,21 @@ def standings(incidents: DataFrame, limit: int = 10) -> DataFrame:
     return monthly.withColumn("suspension_date", F.when(F.col("status") == "SUSPENDED", F.to_date("created_ts")))
 
 
+#: The text of the report.
+REPORT = """Monthly Driver rate deduction report:
+Report Includes:
+Driver ID: %s
+Total strikes for the month: %s
+Total rate deductions: %s
+Final payable daily rate: %s
+Suspension status: %s
+Suspension date: %s
+------------------------------------
+"""
+
+
 def report_lines(standing: DataFrame) -> DataFrame:
     """One text block for each driver."""
-    # fixed text of the report
-    pairs = [
-        ("Driver ID: ", F.col("driver_id")),
-        ("Total strikes for the month: ", F.col("current_strikes").cast("string")),
-        ("Total rate deductions: ", F.col("total_deductions").cast("string")),
-        ("Final payable daily rate: ", F.col("final_payable_rate").cast("string")),
-        ("Suspension status: ", F.col("status")),
-        ("Suspension date: ", F.coalesce(F.col("suspension_date").cast("string"), F.lit("N/A"))),
-    ]
-    head = "Monthly Driver rate deduction report:\nReport Includes:\n"
-    body = [F.concat(F.lit(name), value, F.lit("\n")) for name, value in pairs]
-    return standing.select("driver_id", F.concat(F.lit(head), *body, F.lit("-" * 36 + "\n")).alias("value"))
+    names = ["driver_id", "current_strikes", "total_deductions", "final_payable_rate", "status"]
+    values = [*(F.col(c).cast("string") for c in names), F.coalesce(F.col("suspension_date").cast("string"), F.lit("N/A"))]
+    return standing.select("driver_id", F.format_string(REPORT, *values).alias("value"))

@@ -138,6 +138,7 @@ def safety_status_batch(batch: DataFrame, epoch: int, url: str, table: str, prop
     """Change rows of a batch, the newest of each driver, vehicle and month, upserted by JDBC."""
     from drayage.operators.dedup import keep_first
 
+    # fixed values: the columns of the database table
     rows = batch.where(F.col("_change_type").isin("insert", "update_postimage")).select(
         "driver_id", "vin", "base_rate", F.col("strike_number").alias("strike_count"), F.col("strike_type").alias("current_strike_type"),
         F.col("adjusted_rate").alias("current_adjusted_rate"), F.col("status_after_strike").alias("status"), F.to_date("incident_ts").alias("incident_day"),
