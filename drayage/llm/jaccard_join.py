@@ -29,6 +29,8 @@ COUNTED, LOCAL = 1_000_000, 4
 DEALT = 4096
 #: Index lists of up to so many entries are looked through by the task that sorts them.
 LONG = 512
+#: Bins of partners' sizes; all of them. Three bins' counts share one number, in so many bits each.
+BINS, EVERY, COUNT_BITS = 9, 2**9 - 1, 21
 #: A task remembers so many set digests, to pass over equal sets; forgetting some costs a few repeated rows.
 SEEN = 200_000
 #: 64-bit words of a set's parity bitmap, and of the folded one that index entries carry.
@@ -138,43 +140,77 @@ def _prefixes(rows: DataFrame, width: int, share: tuple[int, int], frequent: np.
     return rows.select("text").mapInArrow(run, "token long, part int, node binary, n int, pos int")
 
 
-def _judged(token: np.ndarray, piece: np.ndarray, node: np.ndarray, n: np.ndarray, pos: np.ndarray, share: tuple[int, int]) -> np.ndarray:
-    """Rows of whole lists, ordered by size, that have a partner in their list as far as sizes and positions tell; repeats go."""
+def _judged(token: np.ndarray, piece: np.ndarray, node: np.ndarray, n: np.ndarray, pos: np.ndarray, share: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of whole lists, ordered by size: the rows that have a partner of a fitting size, and the bins of their partners' sizes.
+
+    `met` counts every partner, `near` those whose positions and own leave enough shingles for a link. Repeats go.
+    """
     p, q = share
     same = np.zeros(len(token), bool)
     same[1:] = (token[1:] == token[:-1]) & (piece[1:] == piece[:-1])
     again = np.zeros(len(token), bool)
     again[1:] = same[1:] & (node[1:] == node[:-1]).all(axis=1)
     rows = np.flatnonzero(~again)
-    if not len(rows):
-        return rows
     n, rest, list_of = n[rows].astype(np.int64), (n - pos)[rows].astype(np.int64), np.cumsum(~same[rows])
-    keep = piece[rows] >= 0
-    at, off = np.flatnonzero(~keep), 1
+    met = np.where(piece[rows] >= 0, EVERY, 0).astype(np.int16)
+    near = met.copy()
+    at, off = np.flatnonzero(met == 0), 1
     while len(at):
         at = at[at + off < len(rows)]
         other = at + off
         at = at[(list_of[at] == list_of[other]) & (n[at] * q >= n[other] * p)]
         other = at + off
+        small, large = _bins(n[other] / n[at], share), _bins(n[at] / n[other], share)
+        met[at] |= small
+        met[other] |= large
         both = (n[at] + n[other]) * p
         hit = (rest[at] * (p + q) >= both) & (rest[other] * (p + q) >= both)
-        keep[at[hit]] = keep[other[hit]] = True
+        near[at[hit]] |= small[hit]
+        near[other[hit]] |= large[hit]
         off += 1
-    return rows[keep]
+    return rows[met != 0], met[met != 0], near[met != 0]
+
+
+def _bins(ratio: np.ndarray, share: tuple[int, int]) -> np.ndarray:
+    """The bit of the bin of a partner's size over the own size, between share and 1 / share."""
+    place = (np.log(ratio) / np.log(share[1] / share[0]) + 1) * (BINS / 2)
+    return (1 << np.clip(np.floor(place), 0, BINS - 1).astype(np.int64)).astype(np.int16)
+
+
+def _needed(n: Column, share: tuple[int, int]) -> list[Column]:
+    """For each bin, the least number of prefix shingles that a set of n shingles has in common with a linked set of that size.
+
+    In the order of shingles one prefix ends first; beyond its end that set has no more than its other shingles to offer, so
+    a link's intersection is at most the shingles that both prefixes hold and the larger rest, which is below share * size.
+    """
+    p, q = share
+    out = []
+    for k in range(BINS):
+        lo, hi = ((q / p) ** (2 * x / BINS - 1) for x in (k, k + 1))
+        worst = min((p / (p + q)) * (1 + r) - (p / q) * max(1.0, r) for r in (lo, hi))
+        out.append(n * float(worst) - 1e-6 * (n + 1))
+    return out
 
 
 def _shared(entries: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """The entries that may have a partner in their list: one shuffle, one sort, one reading.
+    """The entries that have a partner in their list, with the bins of _judged(): one shuffle, one sort, one reading.
 
-    Lists of up to LONG entries are judged whole; of longer ones, and of those in parts, every entry goes on.
+    Lists of up to LONG entries are judged whole; in longer ones, and in those in parts, every entry counts for every bin.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, running = None, None  # the last list as far as it was read; the list that is too long to be judged
 
+        def with_bins(b: pa.RecordBatch, met: np.ndarray, near: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*b.columns, pa.array(met), pa.array(near)], names=[*b.schema.names, "met", "near"])
+
         def judge(b: pa.RecordBatch) -> pa.RecordBatch:
-            at = _judged(*(b.column(c).to_numpy() for c in ("token", "part")), _numbers(b.column("node")), *(b.column(c).to_numpy() for c in ("n", "pos")), share)
-            return b.take(pa.array(at))
+            at, met, near = _judged(*(b.column(c).to_numpy() for c in ("token", "part")), _numbers(b.column("node")), *(b.column(c).to_numpy() for c in ("n", "pos")), share)
+            return with_bins(b.take(pa.array(at)), met, near)
+
+        def all_of(b: pa.RecordBatch) -> pa.RecordBatch:
+            every = np.full(b.num_rows, EVERY, np.int16)
+            return with_bins(b, every, every)
 
         for b in batches:
             if not b.num_rows:
@@ -186,7 +222,7 @@ def _shared(entries: DataFrame, share: tuple[int, int]) -> DataFrame:
             if running is not None:
                 on = (token == running[0]) & (piece == running[1])
                 begin = len(on) if on.all() else int(np.argmin(on))
-                yield b.slice(0, begin)
+                yield all_of(b.slice(0, begin))
                 if begin == len(on):
                     continue
                 running = None
@@ -196,14 +232,14 @@ def _shared(entries: DataFrame, share: tuple[int, int]) -> DataFrame:
                 yield judge(b.slice(begin, end - begin))
             if len(token) - end > LONG or piece[-1] >= 0:
                 running = (token[-1], piece[-1])
-                yield b.slice(end)
+                yield all_of(b.slice(end))
             else:
                 held = b.slice(end)
         if held is not None:
             yield judge(held)
 
     dealt = entries.repartition("token", "part").sortWithinPartitions("token", "part", "n", "node")
-    return dealt.mapInArrow(run, entries.schema)
+    return dealt.mapInArrow(run, "token long, part int, node binary, n int, pos int, met short, near short")
 
 
 def sifted(rows: DataFrame, key: Column, wanted: DataFrame) -> DataFrame:
@@ -254,7 +290,18 @@ class _Join:
         self.nodes = s.cut(
             docs.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("id"), F.min("row").alias("row"), *[F.min(c).alias(c) for c in ("n", *BITS)]), "shingle-nodes"
         )
-        self.lists = s.cut(_shared(_prefixes(self.rows, self.width, self.share, frequent, met), self.share), "index-lists")
+        shared = s.cut(_shared(_prefixes(self.rows, self.width, self.share, frequent, met), self.share), "shared-entries")
+        # sets that have too few shingles in common with all sets of a size together have no link with any of them
+        bit = lambda k: F.shiftright("met", k).bitwiseAND(F.lit(1)).cast("long")
+        packed = [F.sum(sum((F.shiftleft(bit(3 * j + i), COUNT_BITS * i) for i in range(3)), F.lit(0))).alias(f"c{j}") for j in range(BINS // 3)]
+        sums = shared.groupBy("node").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("entries"), *packed)
+        count = lambda k: F.shiftright(f"c{k // 3}", COUNT_BITS * (k % 3)).bitwiseAND(F.lit(2**COUNT_BITS - 1))
+        open_ = sum((F.when(count(k) >= need, 1 << k).otherwise(0) for k, need in enumerate(_needed(F.col("n"), self.share))), F.lit(0))
+        alive = F.when(F.col("entries") < 2**COUNT_BITS, open_).otherwise(EVERY)  # beyond that counts would run into one another
+        sums = s.cut(sums.select("node", alive.alias("alive")).where("alive != 0"), "open-bins")
+        kept = shared.where("near != 0").join(sums, "node").where(F.col("near").cast("int").bitwiseAND(F.col("alive")) != 0)
+        self.lists = s.cut(kept.select("token", "part", "node", "n", "pos"), "index-lists")
+        s.drop(shared, sums)
 
     def led(self, labels: DataFrame | None, seed: int) -> DataFrame:
         """Pairs (a, b) of a set and, of the leaders of its blocks that are in another component, the one with the nearest bitmap."""

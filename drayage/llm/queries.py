@@ -67,5 +67,30 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in every}
 
 
+#: Exact search: integer inner products are exact in double precision here.
+TOP_K = """with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) q from embeddings
+    where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+  pairs as (select a.vec_id query_id, b.vec_id, list_dot_product(a.q, b.q)::bigint score from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
+  ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int rank from pairs)
+  select query_id, rank, vec_id, score from ranked where rank <= 5"""
+#: All pairs of a label, for vectors that the hashing finds all links of.
+LINKS = """with recursive v as (select vec_id, label, embedding::double[] e from embeddings where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+  l as (select a.vec_id a, b.vec_id b from v a join v b on a.label = b.label and a.vec_id <> b.vec_id where list_cosine_similarity(a.e, b.e) >= 0.98),
+  r as (select vec_id id, vec_id c from embeddings union select l.b, r.c from r join l on l.a = r.id),
+  m as (select id, min(c) component_id from r group by 1), n as (select a, count(*) n from l group by 1)
+  select vec_id, coalesce(n, 0) n_links, component_id, vec_id = component_id kept from embeddings join m on m.id = vec_id left join n on n.a = vec_id"""
+#: All pairs that share a shingle.
+JACCARD = r"""with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') w from documents),
+  s as (select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) end) s from w),
+  n as (select doc_id, count(*) n from s group by 1),
+  c as (select x.doc_id a, y.doc_id b, count(*) c from s x join s y on x.s = y.s and x.doc_id <> y.doc_id group by 1, 2),
+  l as (select a, b from c join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 85 * (x.n + y.n - c)),
+  r as (select doc_id id, doc_id c from documents union select l.b, r.c from r join l on l.a = r.id)
+  select id doc_id, coalesce(any_value(n), 0) n_shingles, min(c) component_id from r left join n on n.doc_id = id group by id"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB text for what SQL can express; tests/llm holds the others against brute force, libraries and held-out rows."""
+    return {"op5_mtree_top_k": TOP_K, "op6_cross_polytope_dedup": LINKS, "op10_shingle_jaccard_join": JACCARD}

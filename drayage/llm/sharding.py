@@ -75,7 +75,7 @@ def numbered(df: DataFrame, counts_of: DataFrame, group: str, part: str, order:
 
 
 def shard_rows(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: str = "text", parts: int = 1024) -> DataFrame:
-    """Shard, slot and grown shard of every row: (id, size, text_crc32, law, shard, slot, grown_shard, region part).
+    """Shard, slot and grown shard of every row: (doc_id, size, text_crc32, law, shard, slot, grown_shard).
 
     Law `key`: id and shard count alone decide; with one more shard, rows move only into it (grown_shard). Slots run from 0
     without a gap in each shard, ordered by a hash part of the id, the id, size and checksum. Null ids share one key; null

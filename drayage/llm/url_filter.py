@@ -13,6 +13,9 @@ SYMBOLS = "abcdefghijklmnopqrstuvwxyz0/:.-_?=&#%~+@!"
 START = len(SYMBOLS) + 1
 SIZE = START + 1
 STEPS = 2**20
+#: Where the numbers of contexts begin, downwards.
+ONE = -1 - SIZE**2 - SIZE
+TWO = ONE - SIZE
 
 #: (verdict, host, path prefix)
 RULES = [
@@ -73,7 +76,9 @@ def ratios(labelled: DataFrame, weight: float = 4.0) -> DataFrame:
 
     labelled(url, accepted): an order-2 estimate is the count plus `weight` times the order-1 estimate, over the context's
     count plus `weight`; order 1 rests on order 0 in the same way, and that on equal chances. Gram -1 - (b * SIZE + c) is the
-    order-1 value for contexts that neither has, and -1 - SIZE ** 2 - c the order-0 value. At most SIZE ** 3 + SIZE ** 2 + SIZE rows.
+    order-1 value and -1 - SIZE ** 2 - c the order-0 value; below these are what a context adds where the symbol after it is
+    new, log of the rejected side's count plus weight over the accepted side's: ONE - b and TWO - (a * SIZE + b).
+    At most SIZE ** 3 + 2 * SIZE ** 2 + 2 * SIZE rows.
     """
     grams = labelled.select("accepted", F.explode(trigrams(F.col("url"))).alias("g"))
     three = cut(grams.groupBy("accepted", "g").agg(F.count(F.lit(1)).cast("double").alias("n")), "url-grams")
@@ -94,22 +99,31 @@ def ratios(labelled: DataFrame, weight: float = 4.0) -> DataFrame:
     top = sides.crossJoin(seen).join(three, ["accepted", "g"], "left").fillna(0.0, ["n"])
     top = top.select("accepted", "g", "n", F.floor(F.col("g") / SIZE**2).alias("a"), b.alias("b"), c.alias("c")).join(two, ["accepted", "b", "c"])
     top = top.select("accepted", "g", ((F.col("n") + weight * F.col("p1")) / (total + weight)).alias("p"))
+    # contexts: counts of the symbols that follow
+    def added(keys: Column) -> DataFrame:
+        of = lambda side: F.sum(F.when(F.col("accepted") == side, F.col("n")).otherwise(0.0)) + weight
+        return three.groupBy(keys.alias("g")).agg((F.log(of(False)) - F.log(of(True))).alias("ratio"))
+
+    new = added(F.lit(ONE) - b).unionByName(added(F.lit(TWO) - F.floor(F.col("g") / SIZE)))
     every = top.unionByName(two.select("accepted", (-1 - F.col("b") * SIZE - F.col("c")).alias("g"), F.col("p1").alias("p")))
     every = every.unionByName(zero.select("accepted", (-1 - SIZE**2 - F.col("c")).alias("g"), F.col("p0").alias("p")))
-    return every.groupBy("g").agg(F.sum(F.when(F.col("accepted"), F.log("p")).otherwise(-F.log("p"))).alias("ratio"))
+    return every.groupBy("g").agg(F.sum(F.when(F.col("accepted"), F.log("p")).otherwise(-F.log("p"))).alias("ratio")).unionByName(new)
 
 
 def table_of(ratio: DataFrame) -> Column:
-    """The ratios as one binary literal: 4 bytes at position g have gram g's ratio, else what the shorter context says.
+    """The ratios as one binary literal: 4 bytes at position g have gram g's ratio, else its context's part and the shorter one's.
 
     SIZE ** 3 numbers, whatever the input, in steps of 1 / STEPS above -2 ** 31 / STEPS, so that sums do not depend on order.
     """
     got = {int(r["g"]): float(r["ratio"]) for r in ratio.collect()}
     flat = []
     for g in range(SIZE**3):
-        bc, c = g % SIZE**2, g % SIZE
+        ab, bc, b, c = g // SIZE, g % SIZE**2, g % SIZE**2 // SIZE, g % SIZE
         value = got.get(g)
-        flat.append(value if value is not None else got.get(-1 - bc, got.get(-1 - SIZE**2 - c, 0.0)))
+        if value is None:
+            one = got.get(-1 - bc)
+            value = got.get(TWO - ab, 0.0) + (got.get(ONE - b, 0.0) + got.get(-1 - SIZE**2 - c, 0.0) if one is None else one)
+        flat.append(value)
     return F.lit(b"".join((round(x * STEPS) + 2**31).to_bytes(4, "big") for x in flat))
 
 

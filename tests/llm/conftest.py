@@ -1,14 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from drayage.llm.common import ship
-
-
-@pytest.fixture(autouse=True)
-def shipped(spark):
-    ship(spark)
-
-
 LONG = "word " * 3000 + "x" * 5000
 
 

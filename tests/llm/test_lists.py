@@ -20,8 +20,9 @@ def test_entries_with_a_possible_partner_stay(spark):
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
     try:
         for p, q in ((85, 100), (80, 100)):
-            got = {(r.token, bytes(r.node)) for r in jaccard_join._shared(d, (p, q)).collect()}
-            want = set()
+            rows_of = jaccard_join._shared(d, (p, q)).collect()
+            got, meets = {(r.token, bytes(r.node)) for r in rows_of if r.near}, {(r.token, bytes(r.node)) for r in rows_of if r.met}
+            want, fits = set(), set()
             lists = {}
             for r in set(rows):
                 lists.setdefault(r[0], []).append(r)
@@ -30,7 +31,9 @@ def test_entries_with_a_possible_partner_stay(spark):
                     reach = lambda x, y: (x[3] - x[4]) * (p + q) >= (x[3] + y[3]) * p
                     if a[1] >= 0 or len(members) > jaccard_join.LONG or any(a[2] != b[2] and min(a[3], b[3]) * q >= max(a[3], b[3]) * p and reach(a, b) and reach(b, a) for b in members):
                         want.add((token, a[2]))
-            assert got == want
+                    if a[1] >= 0 or len(members) > jaccard_join.LONG or any(a[2] != b[2] and min(a[3], b[3]) * q >= max(a[3], b[3]) * p for b in members):
+                        fits.add((token, a[2]))
+            assert got == want and meets == fits
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
 
@@ -39,3 +42,25 @@ def test_binary_round_trip():
     x = np.arange(10, dtype=np.uint64).reshape(5, 2)
     a = jaccard_join._binary(x)
     assert (jaccard_join._numbers(a) == x).all() and (jaccard_join._numbers(a.slice(2, 2)) == x[2:4]).all() and isinstance(a, pa.Array)
+
+
+def test_needed_shingles_are_never_more_than_links_have():
+    """Random linked sets: the shingles that both prefixes hold reach the bound of the bin of their sizes, both ways."""
+    rng = np.random.default_rng(8)
+    for p, q in ((85, 100), (80, 100)):
+        for _ in range(3000):
+            n, union = int(rng.integers(1, 300)), 0
+            common = int(rng.integers(0, n + 1))
+            m = common + int(rng.integers(0, n // 4 + 2))
+            if not m or q * common < p * (n + m - common):
+                continue
+            union = n + m - common
+            order = rng.permutation(union)  # shingles 0..common are shared, then a's, then b's
+            a, b = sorted(order[: n]), sorted([*order[:common], *order[n:]])
+            pre = lambda s: set(s[: len(s) - -(-len(s) * p // q) + 1])
+            held = len(pre(a) & pre(b))
+            for x, y in ((n, m), (m, n)):
+                k = int(np.log2(jaccard_join._bins(np.array([y / x]), (p, q))[0]))
+                lo, hi = ((q / p) ** (2 * z / jaccard_join.BINS - 1) for z in (k, k + 1))
+                worst = min((p / (p + q)) * (1 + r) - (p / q) * max(1.0, r) for r in (lo, hi))
+                assert held >= x * worst - 1e-6 * (x + 1)
