@@ -54,8 +54,9 @@ def test_top_k_equals_brute_force(spark):
             if i % every == 0:
                 best = sorted((-int(q @ x), j) for j, x in rows if j != i)[:5]
                 want += [(i, n + 1, j, -s) for n, (s, j) in enumerate(best)]
-        got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in exact_topk.top_k(d, 5, every, nodes=16).collect())
-        assert got == sorted(want)
+        for nodes in (16, 256):
+            got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in exact_topk.top_k(d, 5, every, nodes=nodes).collect())
+            assert got == sorted(want)
     assert exact_topk.top_k(odd_vectors(spark).limit(0)).count() == 0
     assert exact_topk.top_k(odd_vectors(spark).where("vec_id = 100")).count() == 0
 
@@ -137,3 +138,31 @@ def test_url_ratios_equal_brute_force(spark):
     for u, _ in data:
         want = sum(math.log(p(True, *g)) - math.log(p(False, *g)) for g in grams(u)) / len(u)
         assert abs(got[u] - want) < 1e-5
+
+
+def test_the_tree_avoids_most_inner_products_where_vectors_cluster(spark):
+    rng = np.random.default_rng(6)
+    centers = rng.normal(size=(40, 16)) * 4
+    rows = [(k, (centers[k % 40] + rng.normal(size=16) * 0.05).tolist()) for k in range(4000)]
+    d = exact_topk.whole_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), 256, "vec_id", "embedding")
+    routing, pages = exact_topk.build(d, 6, 256)
+    held = list(pages.toPandas().itertuples(index=False))
+    q = np.array([r.q for r in d.orderBy("vec_id").collect()][:40])
+    every = q @ np.array([r.q for r in d.collect()]).T
+    beat = np.sort(every, axis=1)[:, -6].astype(float)  # the query itself and five more
+    go, done = routing.may_reach(q, beat)
+    assert done < 0.5 * len(q) * len(routing.vectors)  # the upper level rules out most nodes
+    for page in held:
+        some = np.flatnonzero(go[:, page.node])
+        if len(some):
+            found, n = exact_topk.best_of_page(some, q[some], beat[some], routing.vectors[page.node], page, 5, 6)
+            done += n
+            assert all(-s in every[i] for i, top in found.items() for s, _ in top)
+    assert done < 0.1 * len(q) * len(rows)
+
+
+def test_components_beyond_the_range_raise(spark):
+    import pytest
+
+    with pytest.raises(Exception, match="component beyond"):
+        exact_topk.top_k(spark.createDataFrame([(0, [1e30])], "vec_id long, embedding array<double>")).collect()
