@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from drayage.llm.common import components, cut
+from drayage.llm.common import Scratch, components, ship
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -68,7 +68,7 @@ def link_embeddings(
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept): links are pairs of one label whose cosine in double precision is `least` or more.
 
-    Equal vectors of a label are one node; a node's vectors enter their own bucket in every table and look into `probes`
+    Equal vectors of a label are one node, told apart by 128-bit digests; a node's vectors enter their own bucket in every table and look into `probes`
     buckets, so pairs come from buckets and each is verified. n_links counts other vectors linked directly, copies too;
     component_id is the smallest id that links reach, kept whether that is the row's own. Vectors that are null, zero, or
     hold a null or non-finite component, and rows without a label, link with nothing. A row without an id has a null
@@ -77,11 +77,14 @@ def link_embeddings(
     """
     v = rows.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"), F.col(label_col).alias("label"))
     v = v.withColumn("ok", usable("v") & F.col("label").isNotNull())
-    digest = F.xxhash64("label", F.transform("v", lambda x: x + 0.0))
-    each = cut(v.select("vec_id", F.when(F.col("ok"), digest).alias("node")), "vector-ids")
+    ship(rows.sparkSession)
+    s = Scratch(rows.sparkSession)
+    half = lambda seed: F.lpad(F.hex(F.xxhash64(F.lit(seed), "label", F.transform("v", lambda x: x + 0.0))), 16, "0")
+    digest = F.unhex(F.concat(half(0), half(1)))
+    each = s.cut(v.select("vec_id", F.when(F.col("ok"), digest).alias("node")), "vector-ids")
     nodes = v.where("ok").select(digest.alias("node"), "label", "v").groupBy("node").agg(F.first("label").alias("label"), F.first("v").alias("v"))
     sizes = each.where("node IS NOT NULL").groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("vec_id").alias("id"))
-    nodes = cut(nodes.join(sizes, "node"), "vector-nodes")
+    nodes = s.cut(nodes.join(sizes, "node"), "vector-nodes")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
@@ -94,10 +97,11 @@ def link_embeddings(
                 )
 
     label_type = dict(v.dtypes)["label"]
-    met = cut(nodes.select("node", "label", "v").mapInPandas(run, f"label {label_type}, bucket long, node long, home boolean"), "vector-buckets")
+    met = s.cut(nodes.select("node", "label", "v").mapInPandas(run, f"label {label_type}, bucket long, node binary, home boolean"), "vector-buckets")
     home, probe = met.where("home").select("label", "bucket", F.col("node").alias("a")), met.select("label", "bucket", F.col("node").alias("b"))
     pairs = home.join(probe, ["label", "bucket"]).where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    pairs = cut(pairs, "vector-pairs")
+    pairs = s.cut(pairs, "vector-pairs")
+    s.drop(met)
     side = nodes.select("node", "v", "size")
     both = pairs.join(side.alias("x"), F.col("a") == F.col("x.node")).select("a", "b", F.col("v").alias("va"), F.col("size").alias("sa"))
     both = both.join(side.alias("y"), F.col("b") == F.col("y.node")).select("a", "b", "va", "sa", F.col("v").alias("vb"), F.col("size").alias("sb"))
@@ -108,13 +112,17 @@ def link_embeddings(
             cosine = (whole[: len(f)] * whole[len(f) :]).sum(axis=1)
             yield f.loc[cosine >= least, ["a", "b", "sa", "sb"]]
 
-    links = cut(both.mapInPandas(verify, "a long, b long, sa long, sb long"), "vector-links")
+    links = s.cut(both.mapInPandas(verify, "a binary, b binary, sa long, sb long"), "vector-links")
+    s.drop(pairs)
     degree = links.select(F.col("a").alias("node"), F.col("sb").alias("s")).union(links.select("b", "sa")).groupBy("node").agg(F.sum("s").alias("near"))
-    labels = components(links)
+    labels = components(links, s)
     smallest = labels.join(nodes.select("node", "id"), "node").groupBy("component").agg(F.min("id").alias("smallest"))
-    smallest = labels.join(cut(smallest, "component-ids"), "component").select("node", "smallest")
+    smallest = labels.join(s.cut(smallest, "component-ids"), "component").select("node", "smallest")
     info = nodes.select("node", "id", "size").join(degree, "node", "left").join(smallest, "node", "left")
-    info = cut(info.select("node", (F.col("size") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"), F.coalesce("smallest", "id").alias("smallest")), "vector-info")
+    info = s.cut(info.select("node", (F.col("size") - 1 + F.coalesce("near", F.lit(0))).alias("n_links"), F.coalesce("smallest", "id").alias("smallest")), "vector-info")
     out = each.join(info, "node", "left")
     own = F.when(F.col("vec_id").isNotNull(), F.coalesce("smallest", "vec_id"))
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), own.alias("component_id"), F.coalesce(F.col("vec_id") == own, F.lit(False)).alias("kept"))
+    out = out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), own.alias("component_id"), F.coalesce(F.col("vec_id") == own, F.lit(False)).alias("kept"))
+    out = s.cut(out, "vector-components")
+    s.keep_only(out)
+    return out

@@ -166,3 +166,19 @@ def test_components_beyond_the_range_raise(spark):
 
     with pytest.raises(Exception, match="component beyond"):
         exact_topk.top_k(spark.createDataFrame([(0, [1e30])], "vec_id long, embedding array<double>")).collect()
+
+
+def test_a_hub_of_many_links_counts_them_all(spark):
+    """One vector near 300 others that are not near each other's far side, ids above 2^53, and copies of it."""
+    rng = np.random.default_rng(9)
+    hub = rng.normal(size=32)
+    hub /= np.linalg.norm(hub)
+    rows = [(2**53 + 1, hub.tolist(), 1)] * 3
+    for k in range(300):
+        off = rng.normal(size=32)
+        off -= off @ hub * hub
+        rows.append((2**53 + 3 + 2 * k, (0.985 * hub + math.sqrt(1 - 0.985**2) * off / np.linalg.norm(off)).tolist(), 1))
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = embedding_dedup.link_embeddings(d).collect()
+    assert {r.component_id for r in got} == {2**53 + 1}
+    assert [r.n_links for r in got if r.vec_id == 2**53 + 1] == [302] * 3 and all(r.n_links >= 3 for r in got)
