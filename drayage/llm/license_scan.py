@@ -161,7 +161,8 @@ def _signature(shingles: Column) -> Column:
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float = 0.8, width: int = WIDTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, license, containment, first_word, n_windows): templates of whose shingles a window holds `least` or more.
 
-    Without `templates`, the fixed set: TEMPLATES, NOTICES, and the headers and whole texts of texts(); a license has several.
+    first_word is the number, among the document's words, of the first one of a template's shingle in such a window; n_windows
+    how many windows hold the template. Without `templates`, the fixed set: TEMPLATES, NOTICES, and the headers and whole texts of texts(); a license has several.
     Words are runs of letters and digits in lower case; templates need `width` words or more. A null or empty text matches
     nothing; rows with one id are reported together, null ids too; extra columns are ignored; an empty table gives no rows.
     """
@@ -174,7 +175,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
     if not templates:
         met = met.unionByName(_whole(rows, texts(), least, width))
     found = met.groupBy("doc_id", "license").agg(
-        F.max("containment").alias("containment"), F.min("at").cast("long").alias("first_word"), F.count_distinct("at").alias("n_windows")
+        F.max("containment").alias("containment"), F.min("word").cast("long").alias("first_word"), F.count_distinct("at").alias("n_windows")
     )
     if templates:
         return found
@@ -187,7 +188,7 @@ def _words(text: str) -> Column:
 
 
 def _notices(rows: DataFrame, notices: list[tuple[str, str]], least: float, width: int) -> DataFrame:
-    """(doc_id, license, containment, at) of the windows that hold a notice, by MinHash bands."""
+    """(doc_id, license, containment, at, word) of the windows that hold a notice, by MinHash bands."""
     spark = rows.sparkSession
     t = spark.createDataFrame([(n, words_of(x), len(words_of(x))) for n, x in notices], "license string, words array<string>, length int")
     t = t.withColumn("have", _shingles(F.col("words"), width))
@@ -207,16 +208,17 @@ def _notices(rows: DataFrame, notices: list[tuple[str, str]], least: float, widt
     lengths = sorted({len(words_of(x)) for _, x in notices})
     found = F.transform(F.array(words), lambda ws: F.flatten(F.array(*[windows(ws, n) for n in lengths])))[0]
     w = rows.select("doc_id", F.explode(found).alias("w")).select("doc_id", "w.*")
-    w = w.select("doc_id", "length", "at", _shingles(F.col("words"), width).alias("has")).where(F.size("has") > 0)
-    w = w.select("doc_id", "length", "at", "has", F.explode(_signature(F.col("has"))).alias("b")).select("doc_id", "length", "at", "has", "b.*")
+    w = w.select("doc_id", "length", "at", "words", _shingles(F.col("words"), width).alias("has")).where(F.size("has") > 0)
+    w = w.select("doc_id", "length", "at", "words", "has", F.explode(_signature(F.col("has"))).alias("b")).select("doc_id", "length", "at", "words", "has", "b.*")
     # templates times BANDS rows, a fixed size
     met = w.join(F.broadcast(bands), ["length", "band", "least"])
     met = met.withColumn("containment", F.size(F.array_intersect("have", "has")) / F.size("have")).where(F.col("containment") >= least)
-    return met.select("doc_id", "license", "containment", F.col("at").cast("long").alias("at"))
+    known = F.filter(F.sequence(F.lit(0), F.size("words") - width), lambda i: F.array_contains("have", F.xxhash64(F.array_join(F.slice("words", i + 1, width), " "))))
+    return met.select("doc_id", "license", "containment", F.col("at").cast("long").alias("at"), (F.col("at") + F.get(known, 0)).cast("long").alias("word"))
 
 
 def _whole(rows: DataFrame, known: list[tuple[str, str, list[str], list[str]]], least: float, width: int) -> DataFrame:
-    """(doc_id, license, containment, at) of the windows that hold a header or a whole text, by an index of all shingles."""
+    """(doc_id, license, containment, at, word) of the windows that hold a header or a whole text, by an index of all shingles."""
     data = []
     for k, (name, text, needs, bars) in enumerate(known):
         for part, t in enumerate([text, *needs, *bars]):
@@ -234,16 +236,18 @@ def _whole(rows: DataFrame, known: list[tuple[str, str, list[str], list[str]]],
     step, span = F.greatest(F.lit(1), F.floor(F.col("length") / 4)), F.col("length") + F.floor(F.col("length") / 2)
     first = F.greatest(F.lit(0), F.ceil((F.col("pos") + width - span) / step)).cast("long")
     starts = F.sequence(first, F.floor(F.col("pos") / step).cast("long"))
-    held = hits.select("doc_id", "row", "whole", "part", "shingle", F.explode(F.transform(starts, lambda x: x * step)).alias("at"))
-    held = held.distinct().groupBy("doc_id", "row", "whole", "part", "at").agg(F.count(F.lit(1)).alias("n"))
+    held = hits.select("doc_id", "row", "whole", "part", "shingle", "pos", F.explode(F.transform(starts, lambda x: x * step)).alias("at"))
+    held = held.groupBy("doc_id", "row", "whole", "part", "at", "shingle").agg(F.min("pos").alias("pos"))
+    held = held.groupBy("doc_id", "row", "whole", "part", "at").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("pos"))
     # parts and phrases of the fixed texts, a fixed size
     share = held.join(F.broadcast(sizes), ["whole", "part"]).withColumn("share", F.col("n") / F.col("size"))
     enough = F.col("share") >= least
     body, phrase = F.col("part") == 0, F.col("part") > 0
     share = share.groupBy("doc_id", "row", "whole", "license", "needs", "at").agg(
         F.max(F.when(body, F.col("share"))).alias("containment"),
+        F.min(F.when(body, F.col("pos"))).alias("word"),
         F.sum((phrase & (F.col("part") <= F.col("needs")) & enough).cast("int")).alias("given"),
         F.sum((phrase & (F.col("part") > F.col("needs")) & enough).cast("int")).alias("barred"),
     )
     share = share.where((F.col("containment") >= least) & (F.col("given") == F.col("needs")) & (F.col("barred") == 0))
-    return share.select("doc_id", "license", "containment", F.col("at").cast("long").alias("at"))
+    return share.select("doc_id", "license", "containment", F.col("at").cast("long").alias("at"), F.col("word").cast("long").alias("word"))

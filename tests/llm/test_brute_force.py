@@ -259,6 +259,10 @@ def test_license_scan_equals_plain_containment(spark, docs):
     runs = lambda w: {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
     for r in got:
         assert any(n == r.license and len(runs(w) & runs(text[r.doc_id])) >= 0.8 * len(runs(w)) for n, w in every)
+    # the first of a template's shingles stands where it is said to
+    for r in got:
+        firsts = [min((k for k in range(len(text[r.doc_id]) - 4) if tuple(text[r.doc_id][k : k + 5]) in runs(w)), default=None) for n, w in every if n == r.license]
+        assert r.first_word in firsts
     assert license_scan.scan(docs.limit(0)).count() == 0
     assert {r.doc_id for r in license_scan.scan(docs.unionByName(docs)).collect()} == {12}
 
