@@ -243,3 +243,48 @@ def test_rolling_median_blocks(spark):
         before = sorted(x.v for x in rows if r.day and x.day and x.k == r.k and 1 <= (r.day - x.day).days <= 30)
         assert r.m == (before[(len(before) - 1) // 2] if before else None)
     assert rolling.rolling_median(d, ["k"], "day", "v").count() == len(rows)
+
+
+def test_feeds_go_from_landing_to_gold_and_a_second_day_merges(spark, folder):
+    import os
+
+    from drayage.plans import gold, silver
+
+    at = lambda day: int(dt.datetime(2024, 1, day, tzinfo=dt.timezone.utc).timestamp())
+
+    def land(feed, day, text):
+        os.makedirs(f"{folder}/in/{feed}", exist_ok=True)
+        put(f"{folder}/in/{feed}/{day}.csv", text)
+        landing.ingest(spark, feed, f"{folder}/in/{feed}", f"{folder}/bronze/{feed}", f"{folder}/manifest/{feed}", f"2024-06-{day:02d}")
+
+    def run(v):
+        b, s, a = f"{folder}/bronze", f"{folder}/silver", f"{folder}/archive"
+        silver.registry(spark, f"{b}/registry", f"{s}/registry", a, v, "2024-12-31")
+        silver.assignment(spark, f"{b}/assignment", f"{s}/registry", f"{s}/assignment", a, v)
+        silver.fuel(spark, f"{b}/fuel", f"{s}/fuel", a, v, "2024-12-31")
+        silver.maintenance(spark, f"{b}/maintenance", f"{s}/maintenance", a, v)
+        gold.vehicle_gold(spark, tables.read_table(spark, f"{s}/assignment"), tables.read_table(spark, f"{s}/registry"), f"{folder}/gold", v)
+        silver.fuel_audit(spark, f"{s}/fuel", f"{s}/registry", f"{folder}/gold/asset_history", f"{s}/maintenance", f"{folder}/gold/audit", v)
+
+    land("registry", 1, "vin,model,mfg_year,fuel_type\nv0000001,M,2020,diesel\nV0000002,M,2030,diesel\nV0000003,N,2021,petrol\n")
+    land("assignment", 1, f"vin,driver_id,start_timestamp,end_timestamp,daily_rate,region\nV0000001,d1,{at(1)},,100,N\nV0000003,D3,{at(1)},{at(1) - 90000},100,N\nV0000009,D9,{at(1)},,100,N\nV0000001,D2,{at(9)},,x,N\n")
+    land("fuel", 1, "transaction_id,vin,fuel_liters,odometer_reading,timestamp\nt1,V0000001,10,100,2024-01-02 08:00:00\nt2,V0000001,10,200,2024-01-03 08:00:00\nt3,V0000001,-1,300,2024-01-04 08:00:00\nt4,V0000001,5,400,soon\nt5,V0000001,10,320,2024-01-04 08:00:00\n")
+    land("maintenance", 1, "vin,service_date,service_type\nV0000001,2024-01-04,oil\nV0000001,2024-01-04,oil \nV0000001,never,oil\n")
+    run(1)
+    held = lambda name: sorted(map(tuple, tables.read_table(spark, f"{folder}/silver/{name}").collect()), key=str)
+    assert held("registry") == [("V0000001", "M", 2020, "DIESEL"), ("V0000003", "N", 2021, "PETROL")]
+    assert [(r[0], r[1], r[6]) for r in held("assignment")] == [("V0000001", "D1", "IN-TRANSIT")]
+    assert {r.error_reason for r in spark.read.parquet(f"{folder}/archive/assignment").collect()} == {"INVALID_ASSIGNMENT_RECORD", "UNKNOWN_VIN"}
+    assert {r.error_reason for r in spark.read.parquet(f"{folder}/archive/fuel").collect()} == {"Negative or zero fuel", "Null keys"}
+    assert [r.distance for r in tables.read_table(spark, f"{folder}/silver/fuel/distance").orderBy("timestamp").collect()] == [100.0, 120.0]
+    assert len(held("maintenance")) == 1
+    audit = tables.read_table(spark, f"{folder}/gold/audit").collect()
+    assert [(r.audit_date.isoformat(), r.km_per_liter, r.status) for r in audit] == [("2024-01-03", 10.0, "INSUFFICIENT_DATA")]
+    land("registry", 2, "vin,model,mfg_year,fuel_type\nV0000001,M2,2022,diesel\n")
+    land("assignment", 2, f"vin,driver_id,start_timestamp,end_timestamp,daily_rate,region\nV0000001,D5,{at(20)},,90,S\n")
+    run(2)
+    assert held("registry") == [("V0000001", "M2", 2022, "DIESEL"), ("V0000003", "N", 2021, "PETROL")]
+    assert [(r[1], str(r[3]), r[6]) for r in held("assignment")] == [("D1", "2024-01-20", "ARCHIVED"), ("D5", "None", "IN-TRANSIT")]
+    changed = tables.read_changes(spark, f"{folder}/silver/registry", 2).collect()
+    assert sorted((r.vin, r._change_type) for r in changed) == [("V0000001", "update_postimage"), ("V0000001", "update_preimage")]
+    assert [tuple(r) for r in tables.read_table(spark, f"{folder}/gold/fleet_snapshot").collect()] == [("M2", 1)]
