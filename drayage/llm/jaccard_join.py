@@ -11,7 +11,6 @@ on the full sets.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -33,14 +32,14 @@ LONG = 512
 BINS, EVERY, COUNT_BITS = 9, 2**9 - 1, 21
 #: A task remembers so many set digests, to pass over equal sets; forgetting some costs a few repeated rows.
 SEEN = 200_000
-#: 64-bit words of a set's parity bitmap, and of the folded one that index entries carry.
-WORDS, FOLDED = 16, 4
+#: 64-bit words of a set's parity bitmap.
+WORDS = 16
 ROUNDS = 2
 #: Leaders of a block of an index list.
 LEADERS = 3
 #: Bits of the table by which most texts that are not wanted are passed over. Its words are the rows of a broadcast: 2**18 at most.
 SIFT_BITS = 24
-BITS, FOLDS = [f"b{k}" for k in range(WORDS)], [f"f{k}" for k in range(FOLDED)]
+BITS = [f"b{k}" for k in range(WORDS)]
 
 
 def _binary(words: np.ndarray) -> pa.Array:
@@ -252,17 +251,17 @@ def sifted(rows: DataFrame, key: Column, wanted: DataFrame) -> DataFrame:
     return own.withColumn("__maybe", F.coalesce(hit, F.lit(False))).drop("__slot", "__at", "__word", "__bits")
 
 
-def _apart(a: str, b: str, words: list[str]) -> Column:
+def _apart(a: str, b: str) -> Column:
     """Bits in which two parity bitmaps differ."""
-    return sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in words), F.lit(0))
+    return sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in BITS), F.lit(0))
 
 
-def _may_link(a: str, b: str, share: tuple[int, int], words: list[str]) -> Column:
+def _may_link(a: str, b: str, share: tuple[int, int]) -> Column:
     """Bounds on two profiles: size, and the bits in which their parities differ, each of which a differing shingle must explain."""
     p, q = share
     small, large = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
     # i >= p/q * (n + m - i), so n + m - 2i <= (q - p) / (q + p) * (n + m)
-    return (small * q >= large * p) & (_apart(a, b, words) * (q + p) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (q - p))
+    return (small * q >= large * p) & (_apart(a, b) * (q + p) <= (F.col(f"{a}.n") + F.col(f"{b}.n")) * (q - p))
 
 
 class _Join:
@@ -324,8 +323,8 @@ class _Join:
         met = s.cut(met.select(F.col("node").alias("me"), "leader").distinct(), "led")
         short = self.nodes.select("node", "n", *BITS)
         both = met.join(short.alias("x"), F.col("me") == F.col("x.node")).select(F.struct("x.*").alias("x"), "leader")
-        both = both.join(short.alias("y"), F.col("leader") == F.col("y.node")).where(_may_link("x", "y", self.share, BITS))
-        best = both.groupBy(F.col("x.node").alias("node")).agg(F.min(F.struct(_apart("x", "y", BITS).alias("apart"), "leader"))["leader"].alias("leader"))
+        both = both.join(short.alias("y"), F.col("leader") == F.col("y.node")).where(_may_link("x", "y", self.share))
+        best = both.groupBy(F.col("x.node").alias("node")).agg(F.min(F.struct(_apart("x", "y").alias("apart"), "leader"))["leader"].alias("leader"))
         pairs = s.cut(best.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct(), "leader-pairs")
         s.drop(met, e)
         return pairs
@@ -335,8 +334,7 @@ class _Join:
         s, share = self.s, self.share
         e = s.cut(self.lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled-lists")
         several = e.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi").select("token")
-        folds = [reduce(Column.bitwiseXOR, [F.col(f"b{j}") for j in range(k, WORDS, FOLDED)]).alias(f"f{k}") for k in range(FOLDED)]
-        e2 = s.cut(e.join(several, "token").withColumn("block", self.block()).join(self.nodes.select("node", *folds), "node"), "open-entries")
+        e2 = s.cut(e.join(several, "token").withColumn("block", self.block()).join(self.nodes.select("node", *BITS), "node"), "open-entries")
         s.drop(e)
         n, pos = F.col("n"), F.col("pos")
         # the smaller set's entry looks into its own block and the next, and skips those that its position rules out
@@ -351,15 +349,10 @@ class _Join:
             & (F.col("l.component") != F.col("r.component"))
             & ((F.col("l.n") < F.col("r.n")) | ((F.col("l.n") == F.col("r.n")) & (F.col("l.node") < F.col("r.node"))))
             & (after * (share[0] + share[1]) >= (F.col("l.n") + F.col("r.n")) * share[0])
-            & _may_link("l", "r", share, FOLDS),
+            & _may_link("l", "r", share),
         )
-        met = s.cut(met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "open-pairs")
+        pairs = s.cut(met.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "open-pairs")
         s.drop(e2)
-        short = self.nodes.select("node", "n", *BITS)
-        both = met.join(short.alias("x"), F.col("a") == F.col("x.node")).select(F.struct("x.*").alias("x"), "b")
-        both = both.join(short.alias("y"), F.col("b") == F.col("y.node")).where(_may_link("x", "y", share, BITS))
-        pairs = s.cut(both.select(F.col("x.node").alias("a"), "b"), "open-pairs")
-        s.drop(met)
         return pairs
 
     def verified(self, pairs: DataFrame) -> DataFrame:
