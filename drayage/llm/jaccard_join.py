@@ -375,12 +375,12 @@ class _Join:
 
         maybe = sifted(self.rows.select("row", "text"), F.col("row"), wanted.select("key")).where("__maybe").select("row", "text")
         sets = maybe.mapInArrow(run, "node binary, shingles array<long>").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
-        sets = s.cut(sets, "wanted-sets")
+        # both sides of the pairs read the same shuffled sets
         both = pairs.join(sets.alias("x"), F.col("a") == F.col("x.node")).select("a", "b", F.col("shingles").alias("sa"))
         both = both.join(sets.alias("y"), F.col("b") == F.col("y.node")).select("a", "b", "sa", F.col("shingles").alias("sb"))
         common = F.size(F.array_intersect("sa", "sb")).cast("long")
         links = s.cut(both.where(common * (share[0] + share[1]) >= (F.size("sa") + F.size("sb")) * share[0]).select("a", "b"), "links")
-        s.drop(wanted, sets)
+        s.drop(wanted)
         return links
 
     def components(self) -> DataFrame:
