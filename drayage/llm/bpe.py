@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache, reduce
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from drayage.llm import pieces
-from drayage.llm.common import add_from_texts, ship
+from drayage.llm.common import add_from_texts, ship, worker_cache
 from drayage.llm.last_tokens import LastTokens
 from drayage.llm.lookup import NONE, Lookup
 
@@ -152,7 +152,7 @@ class Ranks:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-@lru_cache(maxsize=4)
+@worker_cache
 def ranks(path: str) -> Ranks:
     return Ranks(path)
 

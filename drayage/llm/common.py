@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import pyarrow as pa
@@ -18,6 +20,24 @@ ARROW = "spark.sql.execution.arrow"
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _shipped: set[str] = set()
+_owner, _caches = "", []
+
+
+def worker_cache(f: Callable) -> Callable:
+    """lru_cache for what an operator keeps in a worker between tasks, until another operator's tasks come there."""
+    cached = lru_cache(maxsize=2)(f)
+    _caches.append(cached.cache_clear)
+    return cached
+
+
+def claim(owner: str) -> None:
+    """Workers outlive a stage: an operator that begins in one lets go of what others have kept."""
+    global _owner
+    if owner != _owner:
+        for clear in _caches:
+            clear()
+        gc.collect()
+        _owner = owner
 
 
 def ship(spark: SparkSession) -> None:
@@ -114,7 +134,7 @@ def text_slices(batches: Iterable[pa.RecordBatch], text_col: str, chars: int, ro
             yield batch.slice(a, b - a), texts[a:b]
 
 
-def add_from_texts(df: DataFrame, text_col: str, fn: Callable[[list[str]], list], new: str, keep: list[str], chars: int = 2_000_000, rows: int = 100_000) -> DataFrame:
+def add_from_texts(df: DataFrame, text_col: str, fn: Callable[[list[str]], list], new: str, keep: list[str], chars: int = 1_000_000, rows: int = 100_000) -> DataFrame:
     """The columns `keep` and the columns `new` (a schema), which fn makes from lists of whole texts.
 
     The kept columns go through Arrow as they are and never through a float: ids beside a null id stay exact.
@@ -122,9 +142,10 @@ def add_from_texts(df: DataFrame, text_col: str, fn: Callable[[list[str]], list]
     ship(df.sparkSession)
     fields = T.StructType.fromDDL(new).fields
     schema = T.StructType([*(df.schema[c] for c in keep), *fields])
-    names = [f.name for f in fields]
+    names, owner = [f.name for f in fields], fn.__module__
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim(owner)
         for part, texts in text_slices(batches, text_col, chars, rows):
             made = [x if isinstance(x, pa.Array) else pa.array(x) for x in fn(texts)]
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *made], names=[*keep, *names])

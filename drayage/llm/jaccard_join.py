@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drayage.llm.common import Scratch, components, ship, text_slices
+from drayage.llm.common import Scratch, claim, components, ship, text_slices
 from drayage.llm.shingles import mixed, shingle_sets
 
 #: At most so many frequent shingles are told to the workers, to order them last; the order never changes the result.
@@ -67,6 +67,7 @@ def _nodes(doc: np.ndarray, h: np.ndarray, texts: int) -> tuple[np.ndarray, np.n
 
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """(rows, text number in them, shingle hash)."""
+    claim(__name__)
     for part, texts in text_slices(batches, "text", 500_000, 1024):
         yield part, *shingle_sets(texts, width)
 
@@ -198,6 +199,7 @@ def _shared(entries: DataFrame, share: tuple[int, int]) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim(__name__)
         held, running = None, None  # the last list as far as it was read; the list that is too long to be judged
 
         def with_bins(b: pa.RecordBatch, met: np.ndarray, near: np.ndarray) -> pa.RecordBatch:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from drayage.llm import pieces
-from drayage.llm.common import add_from_texts, ship, text_slices
+from drayage.llm.common import add_from_texts, claim, ship, text_slices
 
 DIMENSIONS = 1024
 #: A document's direction enters its language's prototype in steps of this size, so sums do not depend on their order.
@@ -68,6 +68,7 @@ def prototypes(rows: DataFrame, most: int = 1000, dimensions: int = DIMENSIONS)
     ship(rows.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim(__name__)
         sums: dict[str, np.ndarray] = {}
         for part, texts in text_slices(batches, "text", 1_000_000, 256):
             vectors, n = bundles(texts, dimensions)

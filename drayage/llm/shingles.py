@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 
+from drayage.llm.common import worker_cache
+
 BASE = 0x9E3779B97F4A7C15 | 1
 #: A-Z to lower case, every other white space to a space.
 FOLD = bytes((b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b) for b in range(256))
@@ -19,7 +20,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@lru_cache(maxsize=2)
+@worker_cache
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     out = []
     for base in (BASE, pow(BASE, -1, 2**64)):

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from drayage.llm import pieces
-from drayage.llm.common import add_from_texts
+from drayage.llm.common import add_from_texts, worker_cache
 from drayage.llm.last_tokens import LastTokens
 
 #: A worker remembers between one and two times this many pieces, or this many characters of pieces, those met last; others
@@ -90,7 +89,7 @@ class Vocabulary:
         return list(map(self.known.__getitem__, found))
 
 
-@lru_cache(maxsize=4)
+@worker_cache
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
