@@ -64,7 +64,8 @@ def schedule(q: DataFrame, chunk: int = 65536) -> DataFrame:
     starts = placed.groupBy("rank", "part").agg(F.count(F.lit(1)).alias("n")).withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
     within = Window.partitionBy("rank", "part").orderBy("slot")
     numbered = placed.withColumn("at", F.row_number().over(within) - 1)
-    return numbered.join(starts.select("rank", "part", "start"), ["rank", "part"]).select("slot", "rank", (F.col("start") + F.col("at")).alias("nth"))
+    # Spark takes the exploded points for as small as the quotas they come from, and would broadcast them
+    return numbered.hint("merge").join(starts.select("rank", "part", "start"), ["rank", "part"]).select("slot", "rank", (F.col("start") + F.col("at")).alias("nth"))
 
 
 def order_key(id_col: Column, digest: Column) -> Column:
@@ -107,14 +108,14 @@ def mixed(docs: DataFrame, block: int = 256, cap: float = 3.0, id_col: str = "do
     drawn = drawn.where("lo < hi").withColumn("nth", F.explode(F.sequence(F.floor(F.col("lo") / block), F.floor((F.col("hi") - 1) / block))))
     first, last = F.greatest("lo", F.col("nth") * block), F.least("hi", (F.col("nth") + 1) * block)
     parts = drawn.select("rank", "nth", "row", "doc_id", (last - first).alias("words"), (first - F.col("lo")).alias("skip"))
-    pieces = schedule(q).join(parts, ["rank", "nth"]).select("slot", "row", "doc_id", "words", "skip")
+    pieces = schedule(q).hint("merge").join(parts, ["rank", "nth"]).select("slot", "row", "doc_id", "words", "skip")
     return rows, pieces
 
 
 def _taken(docs: DataFrame, block: int, cap: float, scratch: Scratch, **cols) -> DataFrame:
     rows, pieces = mixed(docs, block, cap, scratch=scratch, **cols)
     taken = pieces.groupBy("row").agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"), F.count(F.lit(1)).alias("n_pieces"))
-    return rows.join(taken, "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long")).withColumn("n_pieces", F.coalesce("n_pieces", F.lit(0)).cast("long"))
+    return rows.join(taken.hint("merge"), "row", "left").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long")).withColumn("n_pieces", F.coalesce("n_pieces", F.lit(0)).cast("long"))
 
 
 def mix_documents(docs: DataFrame, block: int = 256, cap: float = 3.0, **cols) -> DataFrame:
