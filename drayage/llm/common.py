@@ -37,6 +37,7 @@ def claim(owner: str) -> None:
         for clear in _caches:
             clear()
         gc.collect()
+        pa.default_memory_pool().release_unused()
         _owner = owner
 
 

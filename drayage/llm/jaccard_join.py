@@ -68,7 +68,7 @@ def _nodes(doc: np.ndarray, h: np.ndarray, texts: int) -> tuple[np.ndarray, np.n
 def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """(rows, text number in them, shingle hash)."""
     claim(__name__)
-    for part, texts in text_slices(batches, "text", 500_000, 1024):
+    for part, texts in text_slices(batches, "text", 200_000, 256):
         yield part, *shingle_sets(texts, width)
 
 

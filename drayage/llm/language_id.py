@@ -17,7 +17,7 @@ DIMENSIONS = 1024
 #: A document's direction enters its language's prototype in steps of this size, so sums do not depend on their order.
 STEPS = 2**20
 #: Distinct trigrams turned into vectors at a time.
-BLOCK = 8192
+BLOCK = 4096
 
 
 def letter_vectors(letters: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray:
@@ -70,7 +70,7 @@ def prototypes(rows: DataFrame, most: int = 1000, dimensions: int = DIMENSIONS)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim(__name__)
         sums: dict[str, np.ndarray] = {}
-        for part, texts in text_slices(batches, "text", 1_000_000, 256):
+        for part, texts in text_slices(batches, "text", 500_000, 256):
             vectors, n = bundles(texts, dimensions)
             length = np.sqrt((vectors**2).sum(axis=1))
             steps = np.rint(vectors / np.where(length > 0, length, 1)[:, None] * STEPS).astype(np.int64)
@@ -114,7 +114,7 @@ def identify(docs: DataFrame, languages: list[str], vectors: np.ndarray, text_co
             best, top = np.where(n > 0, cosine.argmax(axis=1), -1), np.where(n > 0, np.clip(cosine.max(axis=1), 0, 1), 0.0)
         return [pa.array(names[best].tolist(), pa.string()), pa.array(top, pa.float64())]
 
-    return add_from_texts(docs, text_col, run, f"{pred} string, {score} double", docs.columns, chars=1_000_000, rows=256)
+    return add_from_texts(docs, text_col, run, f"{pred} string, {score} double", docs.columns, chars=500_000, rows=256)
 
 
 def identify_held_out(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

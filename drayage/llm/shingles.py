@@ -11,7 +11,7 @@ from drayage.llm.common import worker_cache
 BASE = 0x9E3779B97F4A7C15 | 1
 #: A-Z to lower case, every other white space to a space.
 FOLD = bytes((b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b) for b in range(256))
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -37,7 +37,7 @@ def _hash_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     inside[1:-1] = b != 32
     edge = np.diff(inside)
     start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    size = 1 << max(20, (len(b)).bit_length())
+    size = 1 << max(18, (len(b)).bit_length())
     power, back = _powers(size)
     sums = np.zeros(len(b) + 1, np.uint64)
     np.cumsum((b.astype(np.uint64) + np.uint64(1)) * power[: len(b)], out=sums[1:])
