@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from drayage.llm import bpe, embedding_dedup, exact_topk, jaccard_join, language_id, license_scan, mixing, sharding, token_counts, url_filter
+from drayage.llm import bpe, embedding_dedup, exact_topk, fingerprints, jaccard_join, language_id, license_scan, mixing, sharding, token_counts, url_filter
 from drayage.llm.common import table
 
 
@@ -51,6 +51,10 @@ def op10_shingle_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), width=4, share=(85, 100))
 
 
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"), samples=32)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_hash_tree_shards,
@@ -63,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_hyperdimensional_language_id,
         op9_byte_bpe_round_trip,
         op10_shingle_jaccard_join,
+        op13_document_fingerprints,
     )
     return {f.__name__: f for f in every}
 
