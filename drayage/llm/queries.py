@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from drayage.llm import bpe, embedding_dedup, exact_topk, fingerprints, jaccard_join, language_id, license_scan, mixing, sharding, token_counts, url_filter
+from drayage.llm import bpe, embedding_dedup, exact_topk, fingerprints, hard_negatives, jaccard_join, language_id, license_scan, mixing, sharding, token_counts, url_filter
 from drayage.llm.common import table
 
 
@@ -51,6 +52,11 @@ def op10_shingle_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), width=4, share=(85, 100))
 
 
+def op12_slot_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), every=100, positives=5, k=5, share=(80, 100), label=label)
+
+
 def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"), samples=32)
 
@@ -67,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_hyperdimensional_language_id,
         op9_byte_bpe_round_trip,
         op10_shingle_jaccard_join,
+        op12_slot_hard_negatives,
         op13_document_fingerprints,
     )
     return {f.__name__: f for f in every}
@@ -78,6 +85,15 @@ TOP_K = """with v as (select vec_id, list_transform(embedding, lambda x: floor(2
   pairs as (select a.vec_id query_id, b.vec_id, list_dot_product(a.q, b.q)::bigint score from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
   ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int rank from pairs)
   select query_id, rank, vec_id, score from ranked where rank <= 5"""
+#: All pairs of an anchor.
+NEGATIVES = """with v as (select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end label, list_transform(embedding, lambda x: floor(256 * x::double)) q
+    from embeddings where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+  s as (select a.vec_id a, b.vec_id b, a.label = b.label same, list_dot_product(a.q, b.q)::bigint score from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+  p as (select * from (select *, row_number() over (partition by a order by score desc, b) n from s where same) where n <= 5),
+  c as (select p.a anchor_id, p.b positive_id, p.score positive_score, s.b negative_id, s.score negative_score,
+    row_number() over (partition by p.a, p.b order by s.score desc, s.b)::int rank
+    from p join s on s.a = p.a and not s.same and 80 * p.score <= 100 * s.score and s.score <= p.score)
+  select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from c where rank <= 5"""
 #: All pairs of a label, for vectors that the hashing finds all links of.
 LINKS = """with recursive v as (select vec_id, label, embedding::double[] e from embeddings where label is not null and embedding is not null
     and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
@@ -98,4 +114,4 @@ JACCARD = r"""with recursive w as (select doc_id, regexp_extract_all(translate(c
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB text for what SQL can express; tests/llm holds the others against brute force, libraries and held-out rows."""
-    return {"op5_mtree_top_k": TOP_K, "op6_cross_polytope_dedup": LINKS, "op10_shingle_jaccard_join": JACCARD}
+    return {"op5_mtree_top_k": TOP_K, "op6_cross_polytope_dedup": LINKS, "op10_shingle_jaccard_join": JACCARD, "op12_slot_hard_negatives": NEGATIVES}
