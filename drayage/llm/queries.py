@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drayage.llm import bpe, embedding_dedup, exact_topk, fingerprints, hard_negatives, jaccard_join, language_id, license_scan, mixing, sharding, token_counts, url_filter
+from drayage.llm import bpe, embedding_dedup, exact_topk, fingerprints, hard_negatives, jaccard_join, language_id, license_scan, mixing, ranked_search, sharding, token_counts, url_filter
 from drayage.llm.common import table
 
 
@@ -52,6 +52,10 @@ def op10_shingle_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"), width=4, share=(85, 100))
 
 
+def op11_signature_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 def op12_slot_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), every=100, positives=5, k=5, share=(80, 100), label=label)
@@ -73,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_hyperdimensional_language_id,
         op9_byte_bpe_round_trip,
         op10_shingle_jaccard_join,
+        op11_signature_ranked_search,
         op12_slot_hard_negatives,
         op13_document_fingerprints,
     )
@@ -85,6 +90,16 @@ TOP_K = """with v as (select vec_id, list_transform(embedding, lambda x: floor(2
   pairs as (select a.vec_id query_id, b.vec_id, list_dot_product(a.q, b.q)::bigint score from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
   ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::int rank from pairs)
   select query_id, rank, vec_id, score from ranked where rank <= 5"""
+#: All documents that share a term with an item.
+RANKED = r"""with d as (select row_number() over () r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') t from documents),
+  f as (select r, t, count(*) tf from (select r, unnest(t) t from d) group by 1, 2),
+  n as (select count(*) filter (where len(t) > 0) n_docs, sum(len(t))::bigint total from d),
+  w as (select t, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)))::bigint w from f, n group by t, n_docs),
+  i as (select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) t from benchmark),
+  s as (select item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(d.t) * n_docs) // total))))::bigint score
+    from i join w using (t) join f using (t) join d using (r), n group by 1, 2, 3),
+  k as (select *, row_number() over (partition by item_id order by score desc, doc_id nulls last)::int rank from s where score > 0)
+  select item_id, rank, doc_id, score from k where rank <= 50"""
 #: All pairs of an anchor.
 NEGATIVES = """with v as (select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end label, list_transform(embedding, lambda x: floor(256 * x::double)) q
     from embeddings where vec_id is not null and label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
@@ -114,4 +129,4 @@ JACCARD = r"""with recursive w as (select doc_id, regexp_extract_all(translate(c
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB text for what SQL can express; tests/llm holds the others against brute force, libraries and held-out rows."""
-    return {"op5_mtree_top_k": TOP_K, "op6_cross_polytope_dedup": LINKS, "op10_shingle_jaccard_join": JACCARD, "op12_slot_hard_negatives": NEGATIVES}
+    return {"op5_mtree_top_k": TOP_K, "op6_cross_polytope_dedup": LINKS, "op10_shingle_jaccard_join": JACCARD, "op11_signature_ranked_search": RANKED, "op12_slot_hard_negatives": NEGATIVES}

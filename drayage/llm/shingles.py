@@ -55,9 +55,9 @@ def _segments(data: bytes) -> Iterator[tuple[int, bytes]]:
         at = end
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all words of all texts in order, number of words of each text)."""
-    raw = [t.encode("utf-8", "replace").translate(FOLD) for t in texts]
+def word_hashes(texts: list[str], fold: bytes = FOLD) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of all words of all texts in order, number of words of each text); `fold` makes a space of what is no word."""
+    raw = [t.encode("utf-8", "replace").translate(fold) for t in texts]
     ends = np.cumsum([len(r) + 1 for r in raw])
     where, found = [], []
     for at, part in _segments(b" ".join(raw)):
