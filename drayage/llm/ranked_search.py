@@ -161,7 +161,7 @@ class Batch:
         value[1:] = 1_000_000_000 * occurs // (1000 * occurs + 20 * self.measure(sizes))
         level = self.levels(np.frombuffer(bitmaps, np.uint8).reshape(width, -1), width, len(sizes))
         weighted = value[level, np.arange(len(sizes))] * self.weights[:, None]
-        return np.array([weighted[own].sum(axis=0) for own in self.has])
+        return np.array([weighted[own].sum(axis=0) for own in self.has], np.int64).reshape(len(self.has), len(sizes))
 
     def scores(self, text: bytes, items: list[int]) -> list[int]:
         """The exact score of a text for some items (places in this batch)."""
