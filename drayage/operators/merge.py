@@ -40,10 +40,53 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: list[str], update: li
     return both.select(*out)
 
 
+def with_changes(
+    target: DataFrame | None, source: DataFrame, keys: list[str], update: list[str] | None = None, when: Column | None = None, put: dict[str, Column] | None = None, whole: bool = False
+) -> DataFrame:
+    """The merged rows, with _change_type null, and what the merge changed, as rows of one frame: insert, delete, update_preimage
+    and update_postimage. One full outer join gives both.
+
+    Matched rows take the `update` columns (all by default) where `when` holds; put: columns that take an expression instead.
+    In both, target columns are t.name and source columns s.name. whole: target rows without a match are deleted. Columns that
+    only one side has are null on the other.
+    """
+    added = [] if target is None else [c for c in source.columns if c not in target.columns]
+    columns = list(source.columns) if target is None else [*target.columns, *added]
+    if target is None:
+        row = F.struct(*[F.col(c) for c in columns])
+        kinds = F.array(F.struct(F.lit(None).cast("string").alias("k"), row.alias("r")), F.struct(F.lit("insert").alias("k"), row.alias("r")))
+        return source.select(F.explode(kinds).alias("x")).select("x.r.*", F.col("x.k").alias("_change_type"))
+    kinds = dict(target.dtypes) | dict(source.dtypes)
+    fill = lambda df: df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in columns], F.lit(True).alias("__in"))
+    t, s = fill(target).alias("t"), fill(source).alias("s")
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & (F.col(f"t.{k}") == F.col(f"s.{k}"))
+    new, old = F.col("t.__in").isNull(), F.col("s.__in").isNull()
+    changed = ~old & (F.lit(True) if when is None else F.coalesce(when, F.lit(False)))
+    after = []
+    for c in columns:
+        mine, given = F.col(f"t.{c}"), F.col(f"s.{c}")
+        takes = c not in keys and c in source.columns and (update is None or c in update)
+        value = (put or {}).get(c, given) if takes or c in (put or {}) else mine
+        after.append(F.when(new, given).when(changed, value).otherwise(mine).cast(kinds[c]).alias(c))
+    before = F.when(~new, F.struct(*[F.col(f"t.{c}").alias(c) for c in columns]))
+    both = t.join(s, cond, "full_outer").select(before.alias("b"), F.when(~old | ~F.lit(whole), F.struct(*after)).alias("a"))
+    row = lambda kind, r: F.struct(F.lit(kind).cast("string").alias("k"), F.col(r).alias("r"))
+    out = (
+        F.when(F.col("b").isNull(), F.array(row(None, "a"), row("insert", "a")))
+        .when(F.col("a").isNull(), F.array(row("delete", "b")))
+        .when(F.col("b").eqNullSafe(F.col("a")), F.array(row(None, "a")))
+        .otherwise(F.array(row(None, "a"), row("update_preimage", "b"), row("update_postimage", "a")))
+    )
+    return both.select(F.explode(out).alias("x")).select("x.r.*", F.col("x.k").alias("_change_type"))
+
+
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: list[str], version: int) -> DataFrame:
     """Rows that were inserted, deleted or changed (before and after), as a change feed would list them."""
     columns = new.columns
-    o = old.select(*columns).withColumn("__row", F.struct(*columns)).alias("o")
+    kinds = dict(new.dtypes)
+    o = old.select(*[(F.col(c) if c in old.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in columns]).withColumn("__row", F.struct(*columns)).alias("o")
     n = new.withColumn("__row", F.struct(*columns)).alias("n")
     cond = F.lit(True)
     for k in keys:

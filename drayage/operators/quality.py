@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -27,3 +27,9 @@ def split(df: DataFrame, out: str = "error_reason") -> tuple[DataFrame, DataFram
 def counters(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """One row with the number of rows that meet each condition, in one pass."""
     return df.agg(F.count(F.lit(1)).alias("total"), *[F.count_if(cond).alias(name) for name, cond in rules.items()])
+
+
+def observed(df: DataFrame, name: str, rules: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """The same counters without a pass of their own: they are there when the next write of the returned frame has ended."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("total"), *[F.count_if(F.coalesce(cond, F.lit(False))).alias(n) for n, cond in rules.items()]), seen

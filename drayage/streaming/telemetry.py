@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from drayage.functions.values import surrogate_id
-from drayage.operators import merge, quality, strikes
+from drayage.operators import quality, strikes
+from drayage.plans import gold as gold_jobs
 from drayage.plans import jobs
 from drayage.sources import jdbc
-from drayage.sources.tables import archive, publish, read_epochs, read_table, require_nonempty, versions, write_epoch, write_snapshot
+from drayage.sources.tables import archive, merge_table, read_epochs, read_table, require_nonempty, write_epoch
 
 #: The fields of a broker message's payload and of the zone file.
 PAYLOAD = "driver_id string, lat double, long double, speed bigint, vin string"
@@ -43,8 +44,8 @@ def flatten(messages: DataFrame, as_of: F.Column | None = None) -> DataFrame:
     return m.select("value_str", "topic", "partition", "offset", "kafka_timestamp", "payload.*").withColumn("ingestion_timestamp", now.cast("long")).withColumn("ingestion_date", now.cast("date"))
 
 
-def append_stream(df: DataFrame, out: str, checkpoint: str, partition: str = "ingestion_date", every: str | None = None) -> StreamingQuery:
-    w = df.writeStream.format("parquet").partitionBy(partition).option("path", out).option("checkpointLocation", checkpoint)
+def append_stream(df: DataFrame, out: str, checkpoint: str, partition: str = "ingestion_date", every: str | None = None, rows_a_file: int = 1_000_000) -> StreamingQuery:
+    w = df.writeStream.format("parquet").partitionBy(partition).option("maxRecordsPerFile", rows_a_file).option("path", out).option("checkpointLocation", checkpoint)
     return (w.trigger(processingTime=every) if every else w.trigger(availableNow=True)).start()
 
 
@@ -53,17 +54,39 @@ def each_batch(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint:
     return (w.trigger(processingTime=every) if every else w.trigger(availableNow=True)).start()
 
 
+def moments(bronze: DataFrame) -> tuple[DataFrame, list[str]]:
+    """(events with event_timestamp and the columns that tell copies apart, their names): vehicle, moment and place to six decimals.
+
+    A message that lacks one of them is a copy of the same message only, by topic, partition and offset, so bad payloads of
+    one moment do not collapse into one.
+    """
+    t = bronze.withColumn("event_timestamp", F.timestamp_seconds("kafka_timestamp"))
+    own = {f"__{c}": F.col(c).try_cast("decimal(10,6)") for c in ("lat", "long")}
+    keyless = F.col("vin").isNull() | F.col("event_timestamp").isNull() | F.col("lat").isNull() | F.col("long").isNull()
+    message = F.when(keyless, F.concat_ws("-", "topic", "partition", "offset"))
+    return t.withColumns(own | {"__message": message}), ["vin", "event_timestamp", "__lat", "__long", "__message"]
+
+
+def once_within(bronze: DataFrame, late: str = "10 minutes") -> DataFrame:
+    """A stream of events without copies that come within `late`: recent keys are state of the stream, which survives a restart.
+
+    What gets through is what silver_batch has to look for in its table: copies that come later than that.
+    """
+    t, keys = moments(bronze)
+    # an event without a moment cannot wait in state: the clock of its arrival stands for it
+    t = t.withColumn("__seen", F.coalesce("event_timestamp", F.timestamp_seconds("ingestion_timestamp"))).withWatermark("__seen", late)
+    return t.dropDuplicatesWithinWatermark(keys).drop("__seen", "__lat", "__long", "__message", "event_timestamp")
+
+
 def silver_batch(batch: DataFrame, epoch: int, silver: str, archives: str, zones: str, assignments: str, limit: int = 110, cell: float = 5.0) -> None:
     """One micro-batch: dedup, label, classify trips, find breaches, add new events by date and epoch.
 
-    Replaying an epoch replaces its own folders. Events that earlier epochs have are found by one anti join with the batch's
-    dates, whatever the number of epochs.
+    Replaying an epoch replaces its own folders. Events that earlier epochs have are found by one anti join with the folders
+    of the batch's dates; those of other dates are not even listed.
     """
     spark = batch.sparkSession
-    t = batch.withColumn("event_timestamp", F.timestamp_seconds("kafka_timestamp"))
-    for c in ("lat", "long"):
-        t = t.withColumn(f"__{c}", F.col(c).try_cast("decimal(10,6)"))
-    t = t.dropDuplicates(["vin", "event_timestamp", "__lat", "__long"]).drop("__lat", "__long")
+    t, keys = moments(batch)
+    t = t.dropDuplicates(keys).drop("__lat", "__long", "__message")
     t = t.withColumn("event_id", surrogate_id(["driver_id", "vin", "event_timestamp", "lat", "long"])).withColumn("event_date", F.date_format("event_timestamp", "yyyy-MM-dd"))
     history = require_nonempty(read_table(spark, assignments), "asset history")
     boxes = spark.read.schema(ZONES).option("multiLine", True).json(zones)
@@ -85,8 +108,8 @@ def silver_batch(batch: DataFrame, epoch: int, silver: str, archives: str, zones
 
 
 def silver_stream(spark: SparkSession, silver: str, schema: str, files: int = 20) -> DataFrame:
-    """The silver table as a stream: files are read once, in the order in which epochs wrote them."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(silver)
+    """The silver table as a stream: files are read once, in the order in which epochs wrote them; rewritten ones are passed over."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(silver).where("epoch >= 0")
 
 
 def session_stream(silver: DataFrame, gap: str = "5 minutes", late: str = "10 minutes") -> DataFrame:
@@ -115,11 +138,7 @@ def incident_batch(batch: DataFrame, epoch: int, gold: str, assignments: str) ->
         new.withColumn("_change_type", F.lit("insert")).withColumn("_commit_version", F.lit(epoch).cast("long")).write.mode("overwrite").parquet(f"{gold}/changes/epoch={epoch}")
         archive(jobs.unassigned(batch, history), f"{gold}/unassigned", str(epoch))
         ended = new.where("status_after_strike = 'SUSPENDED'").select("driver_id", "vin", F.to_date("incident_ts").alias("suspended_date"))
-        later = (F.col("end_date").isNull()) | (F.col("end_date") > F.col("suspended_date"))
-        if not history.join(ended, ["driver_id", "vin"]).where(later).isEmpty():
-            from drayage.operators.history import end_open_rows
-
-            write_snapshot(end_open_rows(history, ended, ["driver_id", "vin"]), assignments, versions(spark, assignments)[-1] + 1)
+        gold_jobs.end_suspended(spark, history, ended, assignments, f"incidents-{epoch}")
     finally:
         new.unpersist()
 
@@ -148,18 +167,15 @@ def safety_status_batch(batch: DataFrame, epoch: int, url: str, table: str, prop
     jdbc.staged_upsert(newest, url, table, ["driver_id", "vin", "month"], properties)
 
 
-def write_standing(spark: SparkSession, gold: str, month: str, version: int, report: str | None = None) -> DataFrame:
-    """The month's standings merged where strikes or status changed, and the text report."""
+def write_standing(spark: SparkSession, gold: str, month: str, version: int, report: str | None = None, as_of: str | None = None) -> DataFrame:
+    """The month's standings merged where strikes or status changed, with updated_ts, and the text report."""
     incidents = require_nonempty(read_epochs(spark, f"{gold}/incidents", "month_year", [month]), f"incidents of {month}")
     new = require_nonempty(strikes.standings(incidents), f"incidents of {month}")
-    old = read_table(spark, f"{gold}/standing", below=version)
-    if old is not None:
-        when = (F.col("t.current_strikes") != F.col("s.current_strikes")) | (F.col("t.status") != F.col("s.status"))
-        merged = merge.merge_rows(old, new, ["driver_id", "month_year"], when=when)
-    else:
-        merged = new
-    publish(merged, f"{gold}/standing", version, ["driver_id", "month_year"])
+    new = new.withColumn("updated_ts", F.lit(as_of).cast("timestamp") if as_of else F.current_timestamp())
+    when = (F.col("t.current_strikes") != F.col("s.current_strikes")) | (F.col("t.status") != F.col("s.status"))
+    # fixed values: the columns that an update sets; created_ts stays
+    update = ["current_strikes", "total_deductions", "final_payable_rate", "status", "suspension_date", "updated_ts"]
+    merge_table(new, f"{gold}/standing", str(version), ["driver_id", "month_year"], F.col("month_year"), update, when)
     if report:
         strikes.report_lines(new).orderBy("driver_id").select("value").coalesce(1).write.mode("overwrite").text(report)
     return new
-
