@@ -7,20 +7,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def rolling_median(df: DataFrame, keys: list[str], day: str, value: str, days: int = 30, out: str = "baseline", accuracy: int = 10_000) -> DataFrame:
-    """Median of `value` over the `days` days before each row's day, within its keys.
+def rolling_median(df: DataFrame, keys: list[str], day: str, value: str, days: int = 30, out: str = "baseline") -> DataFrame:
+    """The exact lower median of `value` over the `days` days before each row's day, within its keys.
 
-    Days are cut into blocks of `days`. A row goes to its own block and to the next one, as history, so the range window runs
-    within a key's block: parallel over keys and time, with two copies of a row, and the same result. Rows without a day have
-    no baseline.
+    A key's rows of one day become one row with its values in order and the rows themselves. Days are cut into blocks of
+    `days`; a day goes to its own block and, as history without its rows, to the next one, so the window runs within a block:
+    parallel over keys and time. There the sorted arrays of the days before are put together, which a merging sort does run
+    by run, and the middle is read off: once for a day, however many rows it has. Rows without a day have no baseline; null
+    values count in none. What a task holds at once are the values of one key in `days` days.
     """
+    rest = [c for c in df.columns if c not in (*keys, day)]
+    daily = df.groupBy(*keys, day).agg(F.sort_array(F.collect_list(value)).alias("__values"), F.collect_list(F.struct(*rest)).alias("__rows"))
     number = F.unix_date(day)
     block = F.floor(number / days)
-    blocks = F.when(block.isNull(), F.array(block)).otherwise(F.array(block, block + 1))
-    sent = df.withColumn("__block", F.explode(blocks)).withColumn("__own", F.col("__block").eqNullSafe(block))
-    w = Window.partitionBy(*keys, "__block").orderBy(number).rangeBetween(-days, -1)
-    sent = sent.withColumn(out, F.when(F.col(day).isNotNull(), F.percentile_approx(value, F.lit(0.5), F.lit(accuracy)).over(w)))
-    return sent.where("__own").drop("__block", "__own")
+    own = lambda at, rows: F.struct(at.alias("block"), rows.alias("rows"))
+    none = F.lit(None).cast(daily.schema["__rows"].dataType)
+    blocks = F.when(block.isNull(), F.array(own(block, F.col("__rows")))).otherwise(F.array(own(block, F.col("__rows")), own(block + 1, none)))
+    sent = daily.select(*keys, day, "__values", F.explode(blocks).alias("__x")).select(*keys, day, "__values", "__x.block", F.col("__x.rows").alias("__rows"))
+    w = Window.partitionBy(*keys, "block").orderBy(number).rangeBetween(-days, -1)
+    merged = F.sort_array(F.flatten(F.collect_list("__values").over(w)))
+    sent = sent.withColumn("__before", merged).where("__rows IS NOT NULL")
+    median = F.when(F.col(day).isNotNull(), F.expr("try_element_at(__before, nullif(cast((size(__before) + 1) div 2 as int), 0))"))
+    return sent.select(*keys, day, median.alias(out), F.inline("__rows")).select(*df.columns, out)
 
 
 def rolling_median_fanout(df: DataFrame, keys: list[str], day: str, value: str, days: int = 30, out: str = "baseline", accuracy: int = 10_000) -> DataFrame:

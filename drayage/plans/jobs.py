@@ -51,25 +51,27 @@ def assignment_clean(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def fuel_labelled(raw: DataFrame, as_of: str, ties: list[str]) -> DataFrame:
     """The cascade: each rule sees the rows that earlier rules left. Groups with repeated id and time, or with the same
-    vehicle, time and litres, lose all members. Rows with null keys go around the windows, where they would all meet."""
+    vehicle, time and litres, lose all members."""
     f = raw.withColumn("vin", key("vin"))
     f = quality.label(f, [
         ("Negative or zero fuel", F.col("fuel_liters") <= 0),
         ("Null keys", F.col("transaction_id").isNull() | F.col("vin").isNull() | F.col("timestamp").isNull()),
     ])
     keyless = F.col("transaction_id").isNull() | F.col("vin").isNull() | F.col("timestamp").isNull()
-    around, f = f.where(keyless), f.where(~keyless)
+    # rows without keys have their label: whom they meet does not matter, so they are spread
+    f = f.withColumn("__spread", F.when(keyless, F.monotonically_increasing_id() % 4096))
     clean = F.col("error_reason").isNull()
     # dealt by transaction once: the two rules on it need no other shuffle
-    f = f.repartition("transaction_id")
-    f = quality.relabel(f, "Duplicate txn+timestamp", dedup.group_size(["transaction_id", "timestamp"], clean) > 1)
+    f = f.repartition("transaction_id", "__spread")
+    f = quality.relabel(f, "Duplicate txn+timestamp", dedup.group_size(["transaction_id", "__spread", "timestamp"], clean) > 1)
     # newest first among those still clean; a labelled row sorts last
     order = [F.when(clean, 0).otherwise(1), F.desc("timestamp"), *[F.col(c) for c in ties]]
-    f = quality.relabel(f, "Old txn", dedup.place(["transaction_id"], order) > 1)
+    f = quality.relabel(f, "Old txn", dedup.place(["transaction_id", "__spread"], order) > 1)
     f = quality.relabel(f, "Future timestamp", F.col("timestamp") > F.lit(as_of).cast("timestamp"))
-    f = quality.relabel(f, "Odometer rollback", F.col("odometer_reading") < odometer.running_max(["vin"], ["timestamp", "transaction_id"], "odometer_reading", clean))
-    f = quality.relabel(f, "Soft duplicate", dedup.group_size(["vin", "timestamp", "fuel_liters"], clean) > 1)
-    return quality.relabel(f, "Null non-key", F.col("fuel_liters").isNull() | F.col("odometer_reading").isNull()).unionByName(around)
+    f = f.repartition("vin", "__spread")
+    f = quality.relabel(f, "Odometer rollback", F.col("odometer_reading") < odometer.running_max(["vin", "__spread"], ["timestamp", "transaction_id"], "odometer_reading", clean))
+    f = quality.relabel(f, "Soft duplicate", dedup.group_size(["vin", "__spread", "timestamp", "fuel_liters"], clean) > 1)
+    return quality.relabel(f, "Null non-key", F.col("fuel_liters").isNull() | F.col("odometer_reading").isNull()).drop("__spread")
 
 
 def fuel_distance(clean: DataFrame) -> DataFrame:
@@ -123,18 +125,22 @@ def telemetry_labelled(raw: DataFrame) -> DataFrame:
     ])
 
 
-def trips(clean: DataFrame, assignments: DataFrame) -> DataFrame:
-    """VALID, GHOST_TRIP (no assignment of the vehicle then) or SHADOW_ASSIGNMENT (another driver's)."""
+def trips(clean: DataFrame, assignments: DataFrame, sweep: bool = False) -> DataFrame:
+    """VALID, GHOST_TRIP (no assignment of the vehicle then) or SHADOW_ASSIGNMENT (another driver's).
+
+    sweep: for assignments that do not overlap, without a join.
+    """
     hist = assignments.select("vin", F.col("driver_id").alias("assigned_driver"), "start_date", "end_date")
     day = clean.withColumn("__day", F.to_date("event_timestamp"))
-    j = history.interval_join(day, hist, {"vin": "vin"}, "__day", how="left").drop("__day")
+    join = history.sweep_join if sweep else history.interval_join
+    j = join(day, hist, {"vin": "vin"}, "__day", how="left").drop("__day")
     kind = F.when(F.col("start_date").isNull(), "GHOST_TRIP").when(F.col("assigned_driver") != F.col("driver_id"), "SHADOW_ASSIGNMENT").otherwise("VALID")
     reason = F.when(F.col("trip_type") == "GHOST_TRIP", "No assignment found").when(F.col("trip_type") == "SHADOW_ASSIGNMENT", "Driver mismatch")
     return j.withColumn("trip_type", kind).withColumn("audit_reason", reason)
 
 
-def violations(clean: DataFrame, zones: DataFrame, limit: int = 110, cell: float = 5.0) -> DataFrame:
-    t = geo.point_in_zone(clean, zones, "event_id", cell)
+def violations(clean: DataFrame, zones: DataFrame, limit: int = 110) -> DataFrame:
+    t = geo.point_in_zone(clean, zones, "event_id")
     t = t.withColumn("is_speeding", F.coalesce(F.col("speed") > limit, F.lit(False)))
     t = t.withColumn("is_violation", F.col("is_speeding") | F.col("is_zone_breach"))
     return t.withColumn("strike_type", strikes.strike_type())

@@ -11,6 +11,7 @@ from drayage.functions.values import epoch_date, lenient_date, lenient_timestamp
 from drayage.operators import dedup, history, merge, quality, rolling, strikes
 from drayage.plans import jobs
 from drayage.plans.adapters import AS_OF, DUCKDB, fleet
+from drayage.sources.tables import z_code
 
 FUEL_AS_OF = "1998-06-01"
 TIES = ["seq", "seq2", "seq3", "seq4"]
@@ -290,6 +291,13 @@ def trip_classification(t: Tables) -> DataFrame:
     return jobs.trips(t.telemetry(), t.raw("telemetry_assignment")).select("event_id", "trip_type")
 
 
+@query(ALL_TELE + """select event_id, case when a.vin is null then 'GHOST_TRIP' when a.driver_id <> t.driver_id then 'SHADOW_ASSIGNMENT' else 'VALID' end trip_type
+  from tele t left join telemetry_assignment_raw a on a.vin = t.vin and a.start_date <= cast(event_timestamp as date) and (a.end_date is null or cast(event_timestamp as date) < a.end_date) where e is null""")
+def trip_sweep(t: Tables) -> DataFrame:
+    """The same by a sweep over events and starts in one order, without a join."""
+    return jobs.trips(t.telemetry(), t.raw("telemetry_assignment"), sweep=True).select("event_id", "trip_type")
+
+
 @query(ALL_TELE + """select event_id, case when a.vin is null then 'No assignment found' else 'Driver mismatch' end audit_reason
   from tele t left join telemetry_assignment_raw a on a.vin = t.vin and a.start_date <= cast(event_timestamp as date) and (a.end_date is null or cast(event_timestamp as date) < a.end_date)
   where e is null and (a.vin is null or a.driver_id <> t.driver_id)""")
@@ -436,6 +444,24 @@ def snapshot_diff(t: Tables) -> DataFrame:
     return merge.snapshot_diff(old.select("o_orderkey", "o_totalprice"), new.select("o_orderkey", "o_totalprice"), ["o_orderkey"], 7)
 
 
+@query(_SIDES + """, d as (select o.o_orderkey ok, n.o_orderkey nk, o.o_totalprice op, n.o_totalprice np, (o.o_orderkey is null or n.o_totalprice > 100000) takes from old o full join new n on o.o_orderkey = n.o_orderkey)
+  select coalesce(ok, nk) o_orderkey, case when nk is not null and takes then np else op end o_totalprice, null::varchar _change_type from d
+  union all select nk, np, 'insert' from d where ok is null
+  union all select ok, op, 'update_preimage' from d where ok = nk and takes and op <> np union all select nk, np, 'update_postimage' from d where ok = nk and takes and op <> np""")
+def merge_with_changes(t: Tables) -> DataFrame:
+    """A conditional merge: the new state (without _change_type) and what it changed, from one join."""
+    old, new = _sides(t)
+    columns = ["o_orderkey", "o_totalprice"]
+    return merge.with_changes(old.select(*columns), new.select(*columns), ["o_orderkey"], when=F.col("s.o_totalprice") > 100000)
+
+
+@query("select l_orderkey, l_linenumber, (select sum((((p >> b) & 1) << (3 * b + 2)) | (((s >> b) & 1) << (3 * b + 1)) | (((d >> b) & 1) << (3 * b))) from range(8) r(b))::bigint z from (select l_orderkey, l_linenumber, l_partkey % 256 p, l_suppkey % 256 s, dayofyear(l_shipdate) % 256 d from lineitem)")
+def z_order_codes(t: Tables) -> DataFrame:
+    """Part, supplier and day interleaved bit by bit: the number that Z-ordered files are cut by."""
+    ranks = t.table("lineitem").select("l_orderkey", "l_linenumber", (F.col("l_partkey") % 256).alias("p"), (F.col("l_suppkey") % 256).alias("s"), (F.dayofyear("l_shipdate") % 256).alias("d"))
+    return ranks.select("l_orderkey", "l_linenumber", z_code(["p", "s", "d"], 8).alias("z"))
+
+
 @query(_DIFF + "select o_orderkey, o_totalprice from c where _change_type in ('insert', 'update_postimage')")
 def latest_change(t: Tables) -> DataFrame:
     old, new = _sides(t)

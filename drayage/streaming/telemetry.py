@@ -10,6 +10,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from drayage.functions.values import surrogate_id
 from drayage.operators import quality, strikes
+from drayage.operators.history import disjoint
 from drayage.plans import gold as gold_jobs
 from drayage.plans import jobs
 from drayage.sources import jdbc
@@ -78,7 +79,7 @@ def once_within(bronze: DataFrame, late: str = "10 minutes") -> DataFrame:
     return t.dropDuplicatesWithinWatermark(keys).drop("__seen", "__lat", "__long", "__message", "event_timestamp")
 
 
-def silver_batch(batch: DataFrame, epoch: int, silver: str, archives: str, zones: str, assignments: str, limit: int = 110, cell: float = 5.0) -> None:
+def silver_batch(batch: DataFrame, epoch: int, silver: str, archives: str, zones: str, assignments: str, limit: int = 110) -> None:
     """One micro-batch: dedup, label, classify trips, find breaches, add new events by date and epoch.
 
     Replaying an epoch replaces its own folders. Events that earlier epochs have are found by one anti join with the folders
@@ -94,10 +95,10 @@ def silver_batch(batch: DataFrame, epoch: int, silver: str, archives: str, zones
     try:
         clean, errors = quality.split(labelled)
         archive(errors, f"{archives}/errors", str(epoch), ["error_reason"])
-        trips = jobs.trips(clean, history)
+        trips = jobs.trips(clean, history, sweep=disjoint(history, ["vin"]))
         archive(trips.where("trip_type != 'VALID'"), f"{archives}/invalid", str(epoch), ["trip_type"])
         valid = trips.where("trip_type = 'VALID'").select(*clean.columns)
-        found = jobs.violations(valid, boxes, limit, cell).drop("value_str", "topic", "partition", "offset", "kafka_timestamp", "ingestion_timestamp", "ingestion_date")
+        found = jobs.violations(valid, boxes, limit).drop("value_str", "topic", "partition", "offset", "kafka_timestamp", "ingestion_timestamp", "ingestion_date")
         dates = [r[0] for r in labelled.select("event_date").where("event_date IS NOT NULL").distinct().collect()]
         held = read_epochs(spark, silver, "event_date", dates, below=epoch)
         if held is not None:
