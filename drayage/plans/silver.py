@@ -31,7 +31,7 @@ def _written(labelled: DataFrame, archives: str, feed: str, version: int) -> tup
     watched, counts = quality.observed(labelled, f"{feed}-{version}", rules)
     watched.write.mode("overwrite").parquet(path)
     rows = spark.read.schema(labelled.schema).parquet(path)
-    archive(quality.split(rows)[1], f"{archives}/{feed}", str(version), ["error_reason"])
+    archive(quality.split(rows)[1], f"{archives}/{feed}", str(version), "error_reason")
     return rows, dict(counts.get)
 
 
@@ -52,7 +52,7 @@ def assignment(spark: SparkSession, bronze: str, registry_silver: str, silver: s
     )
     labelled, counts = _written(jobs.assignment_labelled(raw, known), archives, "assignment", version)
     history, twice = jobs.assignment_clean(labelled)
-    archive(twice.select(*labelled.columns), f"{archives}/assignment_conflicts", str(version), ["error_reason"])
+    archive(twice.select(*labelled.columns), f"{archives}/assignment_conflicts", str(version), "error_reason")
     merge_table(jobs.asset_history(history), silver, str(version), ["vin", "start_date"], F.date_format("start_date", "yyyy-MM"))
     return counts
 

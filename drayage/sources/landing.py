@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from drayage.functions.values import ROW_HASH_KEYS, row_hash
+from drayage.sources.tables import _delete, _names, put_text, read_epochs, table_exists, write_epoch
 
 #: The columns that each feed must have, in the order in which a reason names those that are missing.
 REQUIRED = {
@@ -92,16 +93,38 @@ def fresh_rows(rows: DataFrame, feed: str, today: DataFrame | None) -> DataFrame
 
 
 def ingest(spark: SparkSession, feed: str, folder: str, bronze: str, manifest: str, as_of: str) -> DataFrame:
-    """One bronze run: scan new files, append new rows by ingestion date, append the manifest. Returns the manifest rows."""
-    from drayage.sources.tables import table_exists
+    """One bronze run: scan new files, add new rows by ingestion date and epoch, append the manifest. Returns the manifest rows.
 
-    at = F.lit(as_of)
+    What a run is about to do stands in the manifest's folder until it is done. A run that finds such a note first does that
+    run again, with its time and epoch, which replaces the rows that may be there: neither rows nor files count twice.
+    """
+    note = f"{manifest}/_running/note.txt"
+    if left := _text(spark, note):
+        at, epoch = left.split("|")
+        _run(spark, feed, folder, bronze, manifest, at, int(epoch), note)
+    epoch = 1 + max([-1, *(int(n.removeprefix("epoch=")) for n in _names(spark, f"{bronze}/ingestion_date={as_of[:10]}") if n.startswith("epoch="))])
+    return _run(spark, feed, folder, bronze, manifest, as_of, epoch, note)
+
+
+def _run(spark: SparkSession, feed: str, folder: str, bronze: str, manifest: str, as_of: str, epoch: int, note: str) -> DataFrame:
+    at, day = F.lit(as_of), as_of[:10]
     old = spark.read.schema(MANIFEST).parquet(manifest) if table_exists(spark, manifest) else spark.createDataFrame([], MANIFEST)
     files = unseen(landing_files(spark, folder, REQUIRED[feed]), old).persist()
-    rows = read_csv(spark, folder, files, at)
-    if rows is not None:
-        today = spark.read.parquet(bronze).where(F.col("ingestion_date") == at.cast("date")) if table_exists(spark, bronze) else None
-        fresh_rows(rows, feed, today).write.mode("append").partitionBy("ingestion_date").parquet(bronze)
-    found = manifest_rows(files, at)
-    found.write.mode("append").parquet(manifest)
-    return found
+    try:
+        found = manifest_rows(files, at)
+        put_text(spark, note, f"{as_of}|{epoch}")
+        rows = read_csv(spark, folder, files, at)
+        if rows is not None:
+            write_epoch(fresh_rows(rows, feed, read_epochs(spark, bronze, "ingestion_date", [day], below=epoch)), bronze, epoch, "ingestion_date")
+        told = found.collect()  # one row a file
+        spark.createDataFrame(told, MANIFEST).coalesce(1).write.mode("append").parquet(manifest)
+        _delete(spark, note)
+        return spark.createDataFrame(told, MANIFEST)
+    finally:
+        files.unpersist()
+
+
+def _text(spark: SparkSession, path: str) -> str | None:
+    """What a small file holds; None where it is not there."""
+    folder, _, name = path.rpartition("/")
+    return spark.read.text(path, wholetext=True).first()[0] if name in _names(spark, folder) else None

@@ -36,6 +36,14 @@ def _delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def _names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder; none where it is not there."""
     fs, p = _fs(spark, path)
@@ -151,8 +159,7 @@ def merge_table(
     # big parts in several files, small ones in one
     rows = rows.hint("rebalance", "rows", "part").sortWithinPartitions("rows", "part", *(sort or keys))
     rows.write.mode("overwrite").partitionBy("rows", "part").parquet(f"{path}/v={version}")
-    fs, mark = _fs(spark, f"{path}/_runs/{version}-{run}")
-    fs.create(mark, True).close()
+    put_text(spark, f"{path}/_runs/{version}-{run}", "")
     _delete(spark, incoming)
     if keep:
         expire(spark, path, keep)
@@ -219,6 +226,8 @@ def read_epochs(spark: SparkSession, path: str, by: str, values: list[str] | Non
 def compact(spark: SparkSession, path: str, by: str, value: str, cluster: list[str], below: int | None = None) -> None:
     """Rewrite a day's (or month's) epochs (before `below`) as one folder in Z-order, under a negative epoch, which comes before all.
 
+    For event tables, bronze tables (by ingestion_date) and archives (by error_reason or trip_type).
+
     The folders to replace are listed first, and their names stand in the new folder when one rename makes it visible: from
     then on readers pass over them. An epoch that lands meanwhile is not among them and stays. A run that was cut off leaves
     a hidden folder, or replaced folders, which the next run removes. A replayed epoch finds its rows there and adds none.
@@ -232,11 +241,9 @@ def compact(spark: SparkSession, path: str, by: str, value: str, cluster: list[s
     hidden = f"{day}/.compact-{uuid.uuid4().hex}"
     rows = spark.read.option("mergeSchema", True).parquet(*[f"{day}/{n}" for n in old])
     zordered(rows, cluster).write.parquet(hidden)
-    fs, names = _fs(spark, f"{hidden}/_replaces/names.txt")
-    out = fs.create(names, True)
-    out.write(bytearray("\n".join(old).encode()))
-    out.close()
+    put_text(spark, f"{hidden}/_replaces/names.txt", "\n".join(old))
     least = min(0, *(int(n.removeprefix("epoch=")) for n in _names(spark, day) if n.startswith("epoch=")))
+    fs, _ = _fs(spark, day)
     fs.rename(spark._jvm.org.apache.hadoop.fs.Path(hidden), spark._jvm.org.apache.hadoop.fs.Path(f"{day}/epoch={least - 1}"))
     _clear_replaced(spark, day)
 
@@ -308,10 +315,15 @@ def key_bucket(column: str, buckets: int = 16) -> Column:
     return F.lpad(F.pmod(F.xxhash64(column), F.lit(buckets)).cast("string"), 3, "0")
 
 
-def archive(df: DataFrame, path: str, run: str, partition: list[str] | None = None) -> None:
-    """Rejected rows of one run in a folder of its own: running it again replaces them."""
-    w = df.write.mode("overwrite")
-    (w.partitionBy(*partition) if partition else w).parquet(f"{path}/run={run}")
+def archive(df: DataFrame, path: str, run: str, by: str | None = None) -> None:
+    """Rejected rows of one run in folders of its own, by `by` where given: running it again replaces them.
+
+    Runs are numbers; an archive by a column is an event table, which compact() rewrites.
+    """
+    if by is None:
+        df.write.mode("overwrite").parquet(f"{path}/run={run}")
+    else:
+        write_epoch(df, path, int(run), by)
 
 
 def save_position(spark: SparkSession, path: str, positions: dict[str, int]) -> None:

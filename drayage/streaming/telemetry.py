@@ -94,9 +94,9 @@ def silver_batch(batch: DataFrame, epoch: int, silver: str, archives: str, zones
     labelled = jobs.telemetry_labelled(t).persist()
     try:
         clean, errors = quality.split(labelled)
-        archive(errors, f"{archives}/errors", str(epoch), ["error_reason"])
+        archive(errors, f"{archives}/errors", str(epoch), "error_reason")
         trips = jobs.trips(clean, history, sweep=disjoint(history, ["vin"]))
-        archive(trips.where("trip_type != 'VALID'"), f"{archives}/invalid", str(epoch), ["trip_type"])
+        archive(trips.where("trip_type != 'VALID'"), f"{archives}/invalid", str(epoch), "trip_type")
         valid = trips.where("trip_type = 'VALID'").select(*clean.columns)
         found = jobs.violations(valid, boxes, limit).drop("value_str", "topic", "partition", "offset", "kafka_timestamp", "ingestion_timestamp", "ingestion_date")
         dates = [r[0] for r in labelled.select("event_date").where("event_date IS NOT NULL").distinct().collect()]
@@ -154,8 +154,8 @@ def safety_status_stream(changes: DataFrame, url: str, table: str, properties: d
     return each_batch(changes, lambda batch, epoch: safety_status_batch(batch, epoch, url, table, properties), checkpoint, every)
 
 
-def safety_status_batch(batch: DataFrame, epoch: int, url: str, table: str, properties: dict[str, str]) -> None:
-    """Change rows of a batch, the newest of each driver, vehicle and month, upserted by JDBC."""
+def safety_status_batch(batch: DataFrame, epoch: int, url: str, table: str, properties: dict[str, str], stream: str = "safety_status") -> None:
+    """Change rows of a batch, the newest of each driver, vehicle and month, upserted by JDBC exactly once: see jdbc.staged_upsert."""
     from drayage.operators.dedup import keep_first
 
     # fixed values: the columns of the database table
@@ -165,7 +165,7 @@ def safety_status_batch(batch: DataFrame, epoch: int, url: str, table: str, prop
         F.col("month_year").alias("month"), "_commit_version",
     )
     newest = keep_first(rows, ["driver_id", "vin", "month"], [F.desc("_commit_version"), F.desc("strike_count")]).drop("_commit_version")
-    jdbc.staged_upsert(newest, url, table, ["driver_id", "vin", "month"], properties)
+    jdbc.staged_upsert(newest, url, table, ["driver_id", "vin", "month"], properties, epoch=(stream, epoch))
 
 
 def write_standing(spark: SparkSession, gold: str, month: str, version: int, report: str | None = None, as_of: str | None = None) -> DataFrame:

@@ -219,3 +219,60 @@ def test_a_filter_on_the_second_column_reads_few_files_of_a_z_order(spark, folde
     assert tables.read_table(spark, f"{folder}/t").count() == 40_000 and tables.read_changes(spark, f"{folder}/t", 2) is None
     odd = spark.createDataFrame([(None, None), ("a", 1.0), (None, 2.0), ("b", None)], "s string, x double")
     assert tables.zordered(odd, ["s", "x"]).count() == 4 and tables.zordered(odd.limit(0), ["s", "x"]).count() == 0
+
+
+def test_an_epoch_reaches_the_database_once(spark, folder):
+    import threading
+
+    url, props = f"jdbc:derby:{folder}/db;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    row = lambda v: spark.createDataFrame([(1, v)], "k int, v int")
+    jdbc.overwrite(row(0), url, "t", props)
+    held_now = lambda: [tuple(r) for r in spark.read.jdbc(url, "t", properties=props).collect()]
+    put = lambda v, n, stream="s": jdbc.staged_upsert(row(v), url, "t", ["k"], props, epoch=(stream, n))
+    assert put(1, 0) and put(2, 1) and not put(3, 1) and not put(4, 0) and held_now() == [(1, 2)]
+    assert put(5, 0, "other") and held_now() == [(1, 5)]
+    # two writers of one epoch at once
+    done = []
+    both = [threading.Thread(target=lambda v=v: done.append((v, put(v, 2)))) for v in (6, 7)]
+    for t in both:
+        t.start()
+    for t in both:
+        t.join(120)
+    assert sorted(x for _, x in done) == [False, True] and held_now() == [(1, next(v for v, x in done if x))]
+    # a batch that fails leaves neither rows nor its number, nor a staging table
+    with pytest.raises(Exception, match="NOPE|nope"):
+        jdbc.staged_upsert(spark.createDataFrame([(1, 9)], "k int, nope int"), url, "t", ["k"], props, epoch=("s", 3))
+    assert put(8, 3) and held_now() == [(1, 8)]
+    names = [r[0] for r in spark.read.jdbc(url, "SYS.SYSTABLES", properties=props).select("TABLENAME").collect()]
+    assert not [n for n in names if "STAGE" in n.upper()]
+
+
+def test_a_landing_run_that_died_is_done_again_and_bronze_compacts(spark, folder, monkeypatch):
+    from drayage.sources import landing
+
+    os.makedirs(f"{folder}/in")
+    put = lambda name, rows: open(f"{folder}/in/{name}.csv", "w").write("vin,model,mfg_year,fuel_type\n" + "".join(f"V{n},M,2020,D\n" for n in rows))
+    run = lambda day: landing.ingest(spark, "registry", f"{folder}/in", f"{folder}/bronze", f"{folder}/manifest", f"2024-05-0{day} 00:00:00")
+    vins = lambda: sorted(r.vin for r in tables.read_epochs(spark, f"{folder}/bronze", "ingestion_date").collect())
+    put("a", [1, 2])
+    with monkeypatch.context() as m:
+        m.setattr(landing, "manifest_rows", lambda *a: spark.createDataFrame([("x",)], "boom string"))
+        with pytest.raises(Exception):
+            run(1)
+    assert vins() == ["V1", "V2"] and not tables.table_exists(spark, f"{folder}/manifest")
+    put("b", [3])
+    run(2)
+    assert vins() == ["V1", "V2", "V3"]
+    assert {(r.file_name, r.processed_at.day) for r in spark.read.parquet(f"{folder}/manifest").collect()} == {("a.csv", 1), ("b.csv", 1)}
+    put("c", [4])
+    run(2)
+    put("d", [5, 4])
+    run(2)
+    assert vins() == ["V1", "V2", "V3", "V4", "V5"]
+    tables.compact(spark, f"{folder}/bronze", "ingestion_date", "2024-05-02", ["vin"])
+    assert os.listdir(f"{folder}/bronze/ingestion_date=2024-05-02") == ["epoch=-1"] and vins() == ["V1", "V2", "V3", "V4", "V5"]
+    errors = spark.createDataFrame([("V1", "BAD")], "vin string, error_reason string")
+    for n in (1, 2):
+        tables.archive(errors, f"{folder}/arch", str(n), "error_reason")
+    tables.compact(spark, f"{folder}/arch", "error_reason", "BAD", ["vin"])
+    assert tables.read_epochs(spark, f"{folder}/arch", "error_reason").count() == 2
