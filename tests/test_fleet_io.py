@@ -73,6 +73,34 @@ def test_interval_ends_are_half_open(spark):
     assert got == {("2023-12-31", None), ("2024-01-01", "2024-01-01"), ("2024-01-05", "2024-01-05")}
 
 
+def test_a_sweep_equals_the_interval_join(spark):
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
+    h = [("A", day(0), day(5), "x"), ("A", day(5), day(6), "y"), ("A", day(9), None, "z"), ("B", day(3), day(4), None), (None, day(0), None, "n"), ("C", None, None, "s")]
+    h = spark.createDataFrame(h, "vin string, start_date date, end_date date, note string")
+    f = [(v, day(n), n) for v in ("A", "B", "C", "D", None) for n in range(-2, 12)] + [("A", None, 99), ("A", day(5), 5)]
+    f = spark.createDataFrame(f, "vin string, day date, note2 int")
+    for how in ("inner", "left"):
+        both = [sorted(map(tuple, join(f, h, {"vin": "vin"}, "day", how=how).select("vin", "day", "note2", "start_date", "end_date", "note").collect()), key=str) for join in (history.interval_join, history.sweep_join)]
+        assert both[0] == both[1] and both[0]
+    plan = history.sweep_join(f, h, {"vin": "vin"}, "day")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    assert history.disjoint(h, ["vin"])
+    assert not history.disjoint(h.unionByName(spark.createDataFrame([("A", day(2), day(3), "w")], h.schema)), ["vin"])
+
+
+def test_zones_of_all_sizes_in_one_table(spark):
+    zones = [(f"S{n}", 10 + n * 0.001, 10.0005 + n * 0.001, 20.0, 20.0004) for n in range(200)] + [("CONTINENT", -60.0, 70.0, -120.0, 100.0), ("WORLD", -90.0, 90.0, -180.0, 180.0), ("HALF", 0.0, 90.0, 0.0, 180.0)]
+    z = spark.createDataFrame(zones, telemetry.ZONES)
+    per_zone = geo.cover(geo.sane_zones(z)).groupBy("zone_name").count().agg(F.max("count")).first()[0]
+    assert per_zone <= 9
+    pts = [(n, 10 + n * 0.0002, 20.0 + (n % 7) * 0.0001) for n in range(1100)] + [(2000 + n, -90.0 + n * 4.5, -180.0 + n * 9.0) for n in range(41)] + [(3000, None, 1.0), (3001, 91.0, 0.0)]
+    p = spark.createDataFrame(pts, "event_id int, lat double, long double")
+    got = {r.event_id: r.breached_zone_name for r in geo.point_in_zone(p, z, "event_id").collect()}
+    want = {i: min((n for n, a, b, c, d in zones if la is not None and a <= la <= b and c <= lo <= d), default=None) for i, la, lo in pts}
+    assert got == want
+    assert geo.point_in_zone(p, z.limit(0), "event_id").where("is_zone_breach").count() == 0
+
+
 def test_zone_edges_overlap_and_names(spark):
     z = spark.createDataFrame([("B", 0.0, 10.0, 0.0, 10.0), ("A", 5.0, 20.0, 5.0, 20.0), (None, -3.0, -1.0, -3.0, -1.0), ("X", 9.0, 1.0, 0.0, 1.0)], telemetry.ZONES)
     p = spark.createDataFrame([(1, 10.0, 10.0), (2, 0.0, 0.0), (3, -1.0, -3.0), (4, 30.0, 30.0)], "event_id int, lat double, long double")
@@ -257,11 +285,13 @@ def test_feeds_go_from_landing_to_gold_and_a_second_day_merges(spark, folder):
         put(f"{folder}/in/{feed}/{day}.csv", text)
         landing.ingest(spark, feed, f"{folder}/in/{feed}", f"{folder}/bronze/{feed}", f"{folder}/manifest/{feed}", f"2024-06-{day:02d}")
 
+    counts = {}
+
     def run(v):
         b, s, a = f"{folder}/bronze", f"{folder}/silver", f"{folder}/archive"
-        silver.registry(spark, f"{b}/registry", f"{s}/registry", a, v, "2024-12-31")
-        silver.assignment(spark, f"{b}/assignment", f"{s}/registry", f"{s}/assignment", a, v)
-        silver.fuel(spark, f"{b}/fuel", f"{s}/fuel", a, v, "2024-12-31")
+        counts["registry"] = silver.registry(spark, f"{b}/registry", f"{s}/registry", a, v, "2024-12-31")
+        counts["assignment"] = silver.assignment(spark, f"{b}/assignment", f"{s}/registry", f"{s}/assignment", a, v)
+        counts["fuel"] = silver.fuel(spark, f"{b}/fuel", f"{s}/fuel", a, v, "2024-12-31")
         silver.maintenance(spark, f"{b}/maintenance", f"{s}/maintenance", a, v)
         gold.vehicle_gold(spark, tables.read_table(spark, f"{s}/assignment"), tables.read_table(spark, f"{s}/registry"), f"{folder}/gold", v)
         silver.fuel_audit(spark, f"{s}/fuel", f"{s}/registry", f"{folder}/gold/asset_history", f"{s}/maintenance", f"{folder}/gold/audit", v)
@@ -271,6 +301,10 @@ def test_feeds_go_from_landing_to_gold_and_a_second_day_merges(spark, folder):
     land("fuel", 1, "transaction_id,vin,fuel_liters,odometer_reading,timestamp\nt1,V0000001,10,100,2024-01-02 08:00:00\nt2,V0000001,10,200,2024-01-03 08:00:00\nt3,V0000001,-1,300,2024-01-04 08:00:00\nt4,V0000001,5,400,soon\nt5,V0000001,10,320,2024-01-04 08:00:00\n")
     land("maintenance", 1, "vin,service_date,service_type\nV0000001,2024-01-04,oil\nV0000001,2024-01-04,oil \nV0000001,never,oil\n")
     run(1)
+    # counters come with the write of the labelled rows
+    assert (counts["registry"]["total"], counts["registry"]["clean"], counts["registry"]["INVALID_REGISTRY_RECORD"]) == (3, 2, 1)
+    assert {k: n for k, n in counts["fuel"].items() if n} == {"total": 5, "clean": 3, "Negative or zero fuel": 1, "Null keys": 1}
+    assert counts["assignment"]["UNKNOWN_VIN"] == 1
     held = lambda name: sorted(map(tuple, tables.read_table(spark, f"{folder}/silver/{name}").collect()), key=str)
     assert held("registry") == [("V0000001", "M", 2020, "DIESEL"), ("V0000003", "N", 2021, "PETROL")]
     assert [(r[0], r[1], r[6]) for r in held("assignment")] == [("V0000001", "D1", "IN-TRANSIT")]
