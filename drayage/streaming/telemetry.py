@@ -30,10 +30,15 @@ def file_source(spark: SparkSession, folder: str, schema: str, kind: str = "parq
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).format(kind).load(folder)
 
 
+def keyed_messages(lines: DataFrame, key: str = "driver_id") -> DataFrame:
+    """(key, value) of broker messages: rows as JSON, keyed so that a driver's messages keep their order in one partition."""
+    return lines.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
+
+
 def to_topic(lines: DataFrame, servers: str, topic: str, checkpoint: str, key: str = "driver_id") -> StreamingQuery:
     """Rows as JSON messages; the checkpoint makes it resumable."""
-    messages = lines.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
-    return messages.writeStream.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).option("checkpointLocation", checkpoint).start()
+    w = keyed_messages(lines, key).writeStream.format("kafka").option("kafka.bootstrap.servers", servers)
+    return w.option("topic", topic).option("checkpointLocation", checkpoint).start()
 
 
 def flatten(messages: DataFrame, as_of: F.Column | None = None) -> DataFrame:

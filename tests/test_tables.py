@@ -276,3 +276,24 @@ def test_a_landing_run_that_died_is_done_again_and_bronze_compacts(spark, folder
         tables.archive(errors, f"{folder}/arch", str(n), "error_reason")
     tables.compact(spark, f"{folder}/arch", "error_reason", "BAD", ["vin"])
     assert tables.read_epochs(spark, f"{folder}/arch", "error_reason").count() == 2
+
+
+def test_files_to_keyed_messages_to_bronze(spark, folder):
+    """The path through a broker, with a folder in its place: lines, keyed messages, typed rows, files of bounded size."""
+    os.makedirs(f"{folder}/lines")
+    rows = [{"driver_id": f"D{n % 3}", "lat": n / 2, "long": -1.0, "speed": n, "vin": f"V{n % 3}"} for n in range(50)]
+    with open(f"{folder}/lines/a.json", "w") as f:
+        f.write("\n".join(map(json.dumps, rows)))
+    messages = telemetry.keyed_messages(telemetry.file_source(spark, f"{folder}/lines", telemetry.PAYLOAD, "json"))
+    sent = messages.writeStream.format("parquet").option("path", f"{folder}/topic").option("checkpointLocation", f"{folder}/c0").trigger(availableNow=True).start()
+    sent.awaitTermination(120)
+    assert {r.key for r in spark.read.parquet(f"{folder}/topic").collect()} == {"D0", "D1", "D2"}
+    held = spark.read.parquet(f"{folder}/topic").withColumns({"topic": F.lit("t"), "partition": F.pmod(F.hash("key"), F.lit(2)), "offset": F.monotonically_increasing_id(), "timestamp": F.lit("2024-05-01 10:00:00").cast("timestamp")})
+    held.coalesce(1).write.parquet(f"{folder}/broker")
+    stream = telemetry.file_source(spark, f"{folder}/broker", "key string, value string, topic string, partition int, offset long, timestamp timestamp")
+    bronze = telemetry.flatten(stream, F.lit("2024-05-02 00:00:00").cast("timestamp"))
+    telemetry.append_stream(bronze, f"{folder}/bronze", f"{folder}/c1", rows_a_file=20).awaitTermination(120)
+    got = spark.read.parquet(f"{folder}/bronze")
+    assert sorted((r.vin, r.speed) for r in got.collect()) == sorted((r["vin"], r["speed"]) for r in rows)
+    sizes = [r["count"] for r in got.groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) <= 20 and len(sizes) == 3
