@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import shutil
 import tempfile
@@ -38,6 +39,8 @@ def claim(owner: str) -> None:
             clear()
         gc.collect()
         pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc holds on to what was freed
+            trim(0)
         _owner = owner
 
 

@@ -182,13 +182,28 @@ def _visits(queries: DataFrame, routing: Routing, first: bool) -> DataFrame:
             else:
                 go, _ = routing.may_reach(q, beat)
                 go[np.arange(len(f)), best] = False
+            size = np.sqrt((q.astype(np.float64) ** 2).sum(1))
             for node in np.flatnonzero(go.any(axis=0)).tolist():
-                ks = np.flatnonzero(go[:, node])
+                p, ks = routing.vectors[node : node + 1], np.flatnonzero(go[:, node])
+                center, reach = _dot(q[ks], p)[:, 0], _distance(q[ks], p)[:, 0]
+                # queries at a similar distance travel together, so what holds for all of a packet is close to what holds for each
+                order = np.argsort(reach, kind="stable")
                 for a in range(0, len(ks), PACKET):
-                    some = ks[a : a + PACKET]
-                    yield pd.DataFrame({"node": [node], "query_ids": [f["vec_id"].to_numpy(np.int64)[some].tobytes()], "queries": [q[some].tobytes()], "beat": [beat[some].tobytes()]})
+                    at = order[a : a + PACKET]
+                    some = ks[at]
+                    bytes_of = {"query_ids": f["vec_id"].to_numpy(np.int64)[some], "queries": q[some], "beat": beat[some]}
+                    spans = {"center": center[at].max(), "size": size[some].max(), "reach_low": reach[at].min(), "reach_high": reach[at].max(), "beat_low": beat[some].min()}
+                    yield pd.DataFrame({"node": [node]} | {k: [x.tobytes()] for k, x in bytes_of.items()} | {k: [float(x)] for k, x in spans.items()})
 
-    return queries.mapInPandas(run, "node long, query_ids binary, queries binary, beat binary")
+    return queries.mapInPandas(run, "node long, query_ids binary, queries binary, beat binary, center double, size double, reach_low double, reach_high double, beat_low double")
+
+
+def _page_may_reach() -> F.Column:
+    """Whether a page may hold a score that any query of a packet needs: _bound for the packet's spans, before either goes to Python."""
+    gap = F.greatest(F.col("reach_low") - F.col("page_far"), F.col("page_near") - F.col("reach_high"), F.lit(0.0))
+    gap = F.greatest(gap * (1 - 1e-9) - 1e-6, F.lit(0.0))
+    most = F.least(F.col("center") + F.col("size") * F.col("page_far"), (F.col("size") * F.col("size") + F.col("page_norm") - gap * gap) / 2)
+    return most + F.abs(most) * 1e-8 + 2e-3 >= F.col("beat_low")
 
 
 def best_of_page(qid: np.ndarray, q: np.ndarray, beat: np.ndarray, p: np.ndarray, page, k: int, keep: int) -> tuple[dict[int, list[tuple[int, int]]], int]:
@@ -247,7 +262,9 @@ def _search(visits: DataFrame, pages: DataFrame, routing: Routing, k: int, keep:
             if found:
                 yield pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
-    return visits.join(pages, "node").mapInPandas(run, "query_id long, vec_id long, score long")
+    met = visits.withColumnRenamed("node", "visited").join(pages, (F.col("visited") == F.col("node")) & _page_may_reach())
+    met = met.select("node", "query_ids", "queries", "beat", "page_near", "page_far", "page_norm", "vectors", "far", "norm", "ids", "count")
+    return met.mapInPandas(run, "query_id long, vec_id long, score long")
 
 
 def top_k(rows: DataFrame, k: int = 5, every: int = 50, scale: int = 256, nodes: int = 256, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
