@@ -224,4 +224,4 @@ def test_pipeline(spark):
     assert {str(r.doc_id) for r in kept.collect()} == {i for i in want if any(ch.isalpha() for ch in d.where(f"doc_id = {i}").first()["text"] or "")}
     out = corpus_pipeline.run(spark, SF)
     assert {str(r.doc_id) for r in out.collect()} <= want and out.count() > 0
-    assert "pipeline" in __import__("__spark_entry__").queries() and len(queries.queries()) == 10
+    assert "pipeline" in __import__("__spark_entry__").queries() and len(queries.queries()) == 13
