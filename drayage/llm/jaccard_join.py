@@ -306,20 +306,21 @@ class _Join:
 
     def led(self, labels: DataFrame | None, seed: int) -> DataFrame:
         """Pairs (a, b) of a set and, of the leaders of its blocks that are in another component, the one with the nearest bitmap."""
-        s, e = self.s, self.lists.withColumn("block", self.block())
-        if labels is None:
-            e = e.withColumn("component", F.col("node"))
-        else:
-            e = s.cut(e.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled-lists")
+        s, labelled = self.s, None
+        if labels is not None:
+            labelled = s.cut(self.lists.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node")), "labelled-lists")
+        lists = self.lists if labelled is None else labelled
+        # one shuffle for both: leaders are found where their list is, and meet it there. No value is null; saying so keeps both sides' scans alike
+        lists = lists.where(" AND ".join(f"{c} IS NOT NULL" for c in lists.columns)).repartition("token", "part").withColumn("block", self.block())
         one = F.struct("node", "n", "pos", *([] if labels is None else ["component"]))
-        leaders = e.groupBy("token", "part", "block").agg(
+        leaders = lists.groupBy("token", "part", "block").agg(
             *[F.min(F.struct(F.xxhash64(F.lit(LEADERS * seed + k), "node").alias("h"), one.alias("one"))).alias(f"l{k}") for k in range(LEADERS)]
         )
-        leaders = leaders.select("token", "part", "block", F.explode(F.array_distinct(F.array(*[f"l{k}.one" for k in range(LEADERS)]))).alias("l"))
-        other = "l.node" if labels is None else "l.component"
-        leaders = leaders.select("token", "part", F.col("block").alias("to"), F.col("l.node").alias("leader"), F.col("l.n").alias("m"), F.col("l.pos").alias("at"), F.col(other).alias("other"))
-        here = F.filter(F.array("block", F.col("block") - 1), lambda x: x >= 0)
-        met = e.withColumn("to", F.explode(here)).join(leaders, ["token", "part", "to"]).where("component != other")
+        leaders = leaders.select("token", "part", F.col("block").alias("to"), F.explode(F.array_distinct(F.array(*[f"l{k}.one" for k in range(LEADERS)]))).alias("l"))
+        own, other = ("node", "l.node") if labels is None else ("component", "l.component")
+        leaders = leaders.select("token", "part", "to", F.col("l.node").alias("leader"), F.col("l.n").alias("m"), F.col("l.pos").alias("at"), F.col(other).alias("other"))
+        here = (F.col("to") == F.col("block")) | (F.col("to") == F.col("block") - 1)
+        met = lists.join(leaders, ["token", "part"]).where(here & (F.col(own) != F.col("other")))
         p, q = self.share
         met = met.where((F.least("n", "m") * q >= F.greatest("n", "m") * p) & self.reaches(F.col("n"), F.col("pos"), F.col("m")) & self.reaches(F.col("m"), F.col("at"), F.col("n")))
         met = s.cut(met.select(F.col("node").alias("me"), "leader").distinct(), "led")
@@ -328,7 +329,7 @@ class _Join:
         both = both.join(short.alias("y"), F.col("leader") == F.col("y.node")).where(_may_link("x", "y", self.share))
         best = both.groupBy(F.col("x.node").alias("node")).agg(F.min(F.struct(_apart("x", "y").alias("apart"), "leader"))["leader"].alias("leader"))
         pairs = s.cut(best.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct(), "leader-pairs")
-        s.drop(met, e)
+        s.drop(met, labelled)
         return pairs
 
     def opened(self, labels: DataFrame, tried: DataFrame) -> DataFrame:
