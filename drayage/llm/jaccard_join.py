@@ -10,7 +10,7 @@ on the full sets.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,8 @@ BINS, EVERY, COUNT_BITS = 9, 2**9 - 1, 21
 SEEN = 200_000
 #: 64-bit words of a set's parity bitmap.
 WORDS = 16
+#: Pairs of sets of more than LARGE shingles are held against each other by bitmaps of WIDE words before their sets are.
+LARGE, WIDE = 512, 128
 ROUNDS = 2
 #: Leaders of a block of an index list.
 LEADERS = 3
@@ -358,11 +360,9 @@ class _Join:
         s.drop(e2)
         return pairs
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
-        """Those of the written pairs (a, b) whose full sets meet the threshold. Of each set one text is read again."""
-        s, width, share = self.s, self.width, self.share
-        wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(self.nodes.select("node", F.col("row").alias("key")), "node")
-        wanted = s.cut(wanted, "wanted-nodes")
+    def texts_of(self, wanted: DataFrame, make: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], pa.RecordBatch], schema: str) -> DataFrame:
+        """What make(doc, h, n, node) gives for the texts of wanted(node, key); each text is read again, most others are passed over."""
+        width = self.width
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[tuple[int, int]] = set()
@@ -373,17 +373,57 @@ class _Join:
                     seen.clear()
                 for part, doc, h in _sets([b.take(pa.array(some, pa.int64()))], width):
                     _, n, node = _nodes(doc, h, part.num_rows)
-                    ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays([_binary(node), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))], names=["node", "shingles"])
+                    yield make(doc, h, n, node)
 
         maybe = sifted(self.rows.select("row", "text"), F.col("row"), wanted.select("key")).where("__maybe").select("row", "text")
-        sets = maybe.mapInArrow(run, "node binary, shingles array<long>").join(wanted, "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
+        return maybe.mapInArrow(run, schema).join(wanted, "node", "left_semi")
+
+    def wanted(self, pairs: DataFrame) -> DataFrame:
+        """(node, key, n) of the sets in pairs (a, b)."""
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        return nodes.join(self.nodes.select("node", F.col("row").alias("key"), "n"), "node")
+
+    def alike(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that may link by wide bitmaps, which cost a fraction of their sets; pairs of sets of up to LARGE shingles stay."""
+        s, (p, q) = self.s, self.share
+        large = s.cut(self.wanted(pairs).where(F.col("n") > LARGE), "large-nodes")
+        if large.isEmpty():
+            s.drop(large)
+            return pairs
+
+        def bitmaps(doc: np.ndarray, h: np.ndarray, n: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+            some, wide = np.flatnonzero(n > LARGE), 64 * WIDE
+            take = n[doc] > LARGE
+            odd = np.bincount(np.searchsorted(some, doc[take]) * wide + (h[take] % np.uint64(wide)).astype(np.int64), minlength=len(some) * wide) & 1
+            bits = np.packbits(odd.astype(np.uint8)).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(some) + 1, dtype=np.int32) * WIDE), pa.array(bits))
+            return pa.RecordBatch.from_arrays([_binary(node[some]), pa.array(n[some].astype(np.int32)), lists], names=["node", "n", "wide"])
+
+        found = self.texts_of(large, bitmaps, "node binary, n int, wide array<long>").groupBy("node").agg(F.first("n").alias("n"), F.first("wide").alias("wide"))
+        both = pairs.join(found.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("wide").alias("wa")), "a", "left")
+        both = both.join(found.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("wb")), "b", "left")
+        apart = F.aggregate(F.zip_with("wa", "wb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+        out = s.cut(both.where(F.coalesce(apart * (q + p) <= (F.col("na") + F.col("nb")) * (q - p), F.lit(True))).select("a", "b"), "alike-pairs")
+        s.drop(large)
+        return out
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """Those of the written pairs (a, b) whose full sets meet the threshold. Of each set one text is read again."""
+        s, share = self.s, self.share
+        alike = self.alike(pairs)
+        wanted = s.cut(self.wanted(alike), "wanted-nodes")
+
+        def shingles(doc: np.ndarray, h: np.ndarray, n: np.ndarray, node: np.ndarray) -> pa.RecordBatch:
+            ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+            return pa.RecordBatch.from_arrays([_binary(node), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))], names=["node", "shingles"])
+
+        sets = self.texts_of(wanted, shingles, "node binary, shingles array<long>").groupBy("node").agg(F.first("shingles").alias("shingles"))
         # both sides of the pairs read the same shuffled sets
-        both = pairs.join(sets.alias("x"), F.col("a") == F.col("x.node")).select("a", "b", F.col("shingles").alias("sa"))
+        both = alike.join(sets.alias("x"), F.col("a") == F.col("x.node")).select("a", "b", F.col("shingles").alias("sa"))
         both = both.join(sets.alias("y"), F.col("b") == F.col("y.node")).select("a", "b", "sa", F.col("shingles").alias("sb"))
         common = F.size(F.array_intersect("sa", "sb")).cast("long")
         links = s.cut(both.where(common * (share[0] + share[1]) >= (F.size("sa") + F.size("sb")) * share[0]).select("a", "b"), "links")
-        s.drop(wanted)
+        s.drop(wanted, *([alike] if alike is not pairs else []))
         return links
 
     def components(self) -> DataFrame:

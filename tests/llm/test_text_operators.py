@@ -94,6 +94,35 @@ def test_jaccard_components_equal_brute_force(spark, docs):
     assert jaccard_join.jaccard_components(docs.limit(0)).count() == 0
 
 
+def test_long_sets_near_the_threshold_link_as_brute_force_has_it(spark):
+    rnd, rows = random.Random(5), []
+    for group in range(6):
+        words = [f"w{group}x{k}" for k in range(rnd.choice([480, 700, 1500, 4000]))]
+        for share in (0, 0.02, 0.05, 0.09, 0.10, 0.105, 0.11, 0.115, 0.12, 0.15, 0.3):
+            own = words[: len(words) - int(share * len(words))] + [f"v{len(rows)}y{k}" for k in range(int(share * len(words)))]
+            rows.append((len(rows), " ".join(own)))
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    for width, share in ((4, (85, 100)), (5, (80, 100))):
+        got = sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(d, width, share).collect())
+        assert got == brute_components(rows, width, *share)
+
+
+def test_wide_bitmaps_pass_every_link_and_few_others(spark):
+    common = [f"w{k}" for k in range(3000)]
+    rows = [(k, " ".join(common[: 3000 - e] + [f"v{k}y{j}" for j in range(e)])) for k, e in enumerate((0, 150, 250, 900, 1500))] + [(5, "five words are quite short"), (6, "five words are quite brief")]
+    d = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "xxhash64(text) AS row", "text")
+    join = jaccard_join._Join(d, 5, (80, 100), jaccard_join.Scratch(spark))
+    join.index()
+    ids = {bytes(r.node): r.id for r in join.nodes.collect()}
+    assert len(ids) == 7
+    pairs = spark.createDataFrame([(a, b) for a in ids for b in ids if ids[a] < ids[b]], "a binary, b binary")
+    got = {(ids[bytes(r.a)], ids[bytes(r.b)]) for r in join.alike(pairs).collect()}
+    sets = {i: shingle_set(t, 5) for i, t in rows}
+    linked = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    short = {(a, b) for a in sets for b in (5, 6) if a < b}
+    assert linked == {(0, 1), (0, 2), (1, 2)} and got == linked | short
+
+
 def test_one_of_each_group_stays(spark, docs):
     kept = jaccard_join.keep_one_of_each(docs, width=5, share=(80, 100))
     assert kept.columns == docs.columns
