@@ -39,7 +39,10 @@ def claim(owner: str) -> None:
             clear()
         gc.collect()
         pa.default_memory_pool().release_unused()
-        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc holds on to what was freed
+        libc = ctypes.CDLL(None)
+        if trim := getattr(libc, "malloc_trim", None):  # glibc holds on to what was freed
+            # a set threshold (option -3) no longer rises with what is freed: arrays of 1 MB and more go back at once
+            libc.mallopt(-3, 1 << 20)
             trim(0)
         _owner = owner
 
