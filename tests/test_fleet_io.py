@@ -273,6 +273,27 @@ def test_rolling_median_blocks(spark):
     assert rolling.rolling_median(d, ["k"], "day", "v").count() == len(rows)
 
 
+@pytest.mark.parametrize("rows", [3_000, 60_000])
+def test_fanned_out_medians_are_exact(spark, rows):
+    """As many values as make a sketch inexact; equal ones, a drift over the days, null keys, days and values among them."""
+    from drayage.operators import rolling
+
+    key, value = "case when id % 11 = 0 then null when id % 7 = 0 then 'b' else 'a' end", "case when id % 13 = 0 then null when id % 5 = 0 then 3.5 else hash(id) % 100003 / 7 + id end"
+    d = spark.range(rows).selectExpr(f"{key} as k", f"case when id % 101 <> 0 then date_add(date'2023-11-20', cast(id * 90 div {rows} as int)) end as day", f"cast({value} as double) as v", "id")
+    values = {}
+    for r in d.collect():
+        if r.day and r.v is not None:
+            values.setdefault((r.k, r.day), []).append(r.v)
+    want = {}
+    for k, day in {(r.k, r.day) for r in d.select("k", "day").distinct().collect()}:
+        before = sorted(v for (k2, x), some in values.items() if day and k2 == k and 1 <= (day - x).days <= 30 for v in some)
+        want[k, day] = before[(len(before) - 1) // 2] if before else None
+    got = rolling.rolling_median_fanout(d, ["k"], "day", "v", 30, "m")
+    assert got.columns == ["k", "day", "v", "id", "m"]
+    got = got.collect()
+    assert len(got) == rows and not [r for r in got if r.m != want[r.k, r.day]][:3]
+
+
 def test_feeds_go_from_landing_to_gold_and_a_second_day_merges(spark, folder):
     import os
 
