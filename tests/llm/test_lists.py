@@ -64,3 +64,37 @@ def test_needed_shingles_are_never_more_than_links_have():
                 lo, hi = ((q / p) ** (2 * z / jaccard_join.BINS - 1) for z in (k, k + 1))
                 worst = min((p / (p + q)) * (1 + r) - (p / q) * max(1.0, r) for r in (lo, hi))
                 assert held >= x * worst - 1e-6 * (x + 1)
+
+
+def test_entries_of_long_lists_come_once(spark):
+    """Equal sets that several tasks have entered, in a list longer than LONG and in one in parts, across Arrow batches."""
+    lists = [(1, -1, bytes([k % 256, k // 256] + [0] * 14), 100 + k % 7, k % 5) for k in range(jaccard_join.LONG + 90)]
+    lists += [(2, 3, bytes([9, k] + [0] * 14), 100, k % 5) for k in range(60)]
+    d = spark.createDataFrame(lists * 5, "token long, part int, node binary, n int, pos int").repartition(7)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        got = [(r.token, r.part, bytes(r.node), r.n, r.pos) for r in jaccard_join._shared(d, (85, 100)).collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert sorted(got) == sorted(lists)
+
+
+def test_a_group_of_near_copies_leaves_few_pairs_to_open(spark, monkeypatch):
+    """Copies with edits in common link in many ways: leaders find most of them, and what they leave is no square of the group."""
+    rng, rows = np.random.default_rng(5), []
+    for doc in range(600):
+        words = [f"w{k}" for k in range(150)]
+        for at in rng.choice(14, int(rng.integers(2, 5)), replace=False):
+            words[10 * at + 5] = f"e{at}x{rng.integers(2)}"
+        rows.append((doc, " ".join(words)))
+    opened, pairs = jaccard_join._Join.opened, []
+    monkeypatch.setattr(jaccard_join._Join, "opened", lambda self, *a: (out := opened(self, *a), pairs.append(out.count()))[0])
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()}
+    sets = [{tuple(w[k : k + 4]) for k in range(147)} for w in (t.split() for _, t in rows)]
+    least = list(range(600))
+    links = [(a, b) for a in range(600) for b in range(a) if 100 * (i := len(sets[a] & sets[b])) >= 85 * (294 - i)]
+    while any(least[a] != least[b] for a, b in links):
+        for a, b in links:
+            least[a] = least[b] = min(least[a], least[b])
+    assert got == dict(enumerate(least)) and pairs[0] < 600
