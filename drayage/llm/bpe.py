@@ -13,14 +13,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from drayage.llm import pieces
-from drayage.llm.common import add_from_texts, ship, worker_cache
+from drayage.llm.common import add_from_texts, ship, slices, worker_cache
 from drayage.llm.last_tokens import LastTokens
 from drayage.llm.lookup import NONE, Lookup
 
 #: Pieces up to so many bytes are folded together as rows of one array; longer ones are read off their last tokens.
 ROW_BYTES = 48
 #: A worker remembers between one and two times this many pieces, or this many characters of pieces.
-REMEMBERED, CHARACTERS = 150_000, 8_000_000
+REMEMBERED, CHARACTERS = 100_000, 2_000_000
+#: Texts are split into pieces about so many characters at a time, of which only distinct pieces are kept.
+SPLIT = 100_000
 
 
 class Ranks:
@@ -130,23 +132,29 @@ class Ranks:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
-        sizes = np.array([len(t) for t in texts], np.int64)
-        ends = np.cumsum(sizes)
-        whole = "".join(texts)
-        begin = pieces.starts(whole, (ends - sizes)[sizes > 0])
-        stops = np.append(begin[1:], len(whole)) if len(begin) else begin
-        found = list(map(whole.__getitem__, map(slice, begin.tolist(), stops.tolist())))
-        new = set(found).difference(self.known)
+        once: dict[str, str] = {}
+        parts = []
+        for a, b in slices(map(len, texts), SPLIT, len(texts)):
+            sizes = np.array([len(t) for t in texts[a:b]], np.int64)
+            ends = np.cumsum(sizes)
+            whole = "".join(texts[a:b])
+            begin = pieces.starts(whole, (ends - sizes)[sizes > 0])
+            stops = np.append(begin[1:], len(whole)) if len(begin) else begin
+            found = list(map(whole.__getitem__, map(slice, begin.tolist(), stops.tolist())))
+            parts.append((list(map(once.setdefault, found, found)), np.searchsorted(begin, np.append(0, ends)).tolist()))
+        new = set(once).difference(self.known)
         back = {p: self.older[p] for p in new if p in self.older}
         if len(self.known) > REMEMBERED or self.size > CHARACTERS:
             self.older, self.known, self.size = self.known, {}, 0
-            new = set(found)
+            new = set(once)
             back = {p: self.older[p] for p in new if p in self.older}
         self.known.update(back)
         self.learn([p for p in new if p not in back])
-        ids = list(map(self.known.__getitem__, found))
-        at = np.searchsorted(begin, np.append(0, ends)).tolist()
-        return [b"".join(ids[a:b]) for a, b in zip(at, at[1:])]
+        out = []
+        for found, at in parts:
+            ids = list(map(self.known.__getitem__, found))
+            out += [b"".join(ids[a:b]) for a, b in zip(at, at[1:])]
+        return out
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.token.__getitem__, np.frombuffer(ids, "<u4").tolist()))

@@ -12,6 +12,7 @@ from functools import lru_cache
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +40,7 @@ def claim(owner: str) -> None:
             clear()
         gc.collect()
         pa.default_memory_pool().release_unused()
+        pa.set_memory_pool(pa.system_memory_pool())  # Arrow's own pool keeps what batches have used
         libc = ctypes.CDLL(None)
         if trim := getattr(libc, "malloc_trim", None):  # glibc holds on to what was freed
             # a set threshold (option -3) no longer rises with what is freed: arrays of 1 MB and more go back at once
@@ -136,9 +138,10 @@ def slices(sizes: Iterable[int], most: int, rows: int) -> Iterator[tuple[int, in
 def text_slices(batches: Iterable[pa.RecordBatch], text_col: str, chars: int, rows: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
     """Arrow batches cut into slices of about `chars` characters, with their texts; a null text counts as empty."""
     for batch in batches:
-        texts = [t or "" for t in batch.column(text_col).to_pylist()]
-        for a, b in slices(map(len, texts), chars, rows):
-            yield batch.slice(a, b - a), texts[a:b]
+        sizes = pc.fill_null(pc.utf8_length(batch.column(text_col)), 0).to_pylist()
+        for a, b in slices(sizes, chars, rows):
+            part = batch.slice(a, b - a)
+            yield part, [t or "" for t in part.column(text_col).to_pylist()]
 
 
 def add_from_texts(df: DataFrame, text_col: str, fn: Callable[[list[str]], list], new: str, keep: list[str], chars: int = 1_000_000, rows: int = 100_000) -> DataFrame:

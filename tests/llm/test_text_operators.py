@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers as P
@@ -87,6 +88,17 @@ def brute_components(rows, width, p, q):
     return sorted((str(i), len(s), least.get(find(k)) if i is not None else None) for k, (i, s) in enumerate(sets))
 
 
+def test_encoding_holds_distinct_pieces_once():
+    ranks, texts = bpe.Ranks(RANKS), ["to be or not to be, that is 1 of 2 " * 300] * 100
+    one = ranks.encode(texts[:1])
+    tracemalloc.start()
+    try:
+        assert ranks.encode([*texts, ""]) == one * 100 + [b""]
+        assert tracemalloc.get_traced_memory()[1] < 25e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_jaccard_components_equal_brute_force(spark, docs):
     for d, width, share in ((docs, 4, (85, 100)), (table(spark, SF, "documents"), 4, (85, 100)), (table(spark, SF, "documents"), 5, (80, 100))):
         got = sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in jaccard_join.jaccard_components(d, width, share).collect())
