@@ -32,6 +32,8 @@ LONG = 512
 BINS, EVERY, COUNT_BITS = 9, 2**9 - 1, 21
 #: A task remembers so many set digests, to pass over equal sets; forgetting some costs a few repeated rows.
 SEEN = 200_000
+#: Index entries name a set by so many bytes of its digest and its size, and get the whole digest when most of them are gone.
+SHORT = 8
 #: 64-bit words of a set's parity bitmap.
 WORDS = 16
 #: Pairs of sets of more than LARGE shingles are held against each other by bitmaps of WIDE words before their sets are.
@@ -46,14 +48,16 @@ BITS = [f"b{k}" for k in range(WORDS)]
 
 
 def _binary(words: np.ndarray) -> pa.Array:
-    """Rows of two 64-bit numbers as values of 16 bytes."""
+    """Rows of one or two 64-bit numbers as values of 8 or 16 bytes."""
     data = np.ascontiguousarray(words)
-    return pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(np.arange(len(data) + 1, dtype=np.int32) * 16), pa.py_buffer(data)])
+    ends = np.arange(len(data) + 1, dtype=np.int32) * (8 * data.shape[1])
+    return pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(ends), pa.py_buffer(data)])
 
 
 def _numbers(column: pa.Array) -> np.ndarray:
-    fixed = column.cast(pa.binary(16))
-    return np.frombuffer(fixed.buffers()[1], np.uint64).reshape(-1, 2)[fixed.offset : fixed.offset + len(fixed)]
+    size = len(column[0].as_py())
+    fixed = column.cast(pa.binary(size))
+    return np.frombuffer(fixed.buffers()[1], np.uint64).reshape(-1, size // 8)[fixed.offset : fixed.offset + len(fixed)]
 
 
 def _nodes(doc: np.ndarray, h: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -110,7 +114,8 @@ def _prefixes(rows: DataFrame, width: int, share: tuple[int, int], frequent: np.
     """Index entries (token, part, node, n, pos): the rarest shingles of each set, as many as a linked pair must have in common one of.
 
     Frequent shingles come last, by count; the others by hash. The list of a frequent shingle is in parts, by node; part is
-    -1 for lists in one piece. A task enters equal sets once.
+    -1 for lists in one piece. A task enters equal sets once. `node` is the first SHORT bytes of the digest: entries are by far
+    the most that is ever shuffled, and few sets have two in one partition, so each pays for its node.
     """
     order = np.argsort(frequent, kind="stable")
     known, split = frequent[order], (1 + met[order] // DEALT).astype(np.uint64)
@@ -137,7 +142,7 @@ def _prefixes(rows: DataFrame, width: int, share: tuple[int, int], frequent: np.
             many = hit[of] & (split[at[of]] > 1) if len(known) else np.zeros(len(own), bool)
             if many.any():
                 piece[many] = (node[own[many], 1] % split[at[of[many]]]).astype(np.int32)
-            made = [pa.array(h[of].view(np.int64)), pa.array(piece), _binary(node[own]), pa.array(n[own].astype(np.int32)), pa.array(pos[keep].astype(np.int32))]
+            made = [pa.array(h[of].view(np.int64)), pa.array(piece), _binary(node[own, : SHORT // 8]), pa.array(n[own].astype(np.int32)), pa.array(pos[keep].astype(np.int32))]
             yield pa.RecordBatch.from_arrays(made, names=["token", "part", "node", "n", "pos"])
 
     return rows.select("text").mapInArrow(run, "token long, part int, node binary, n int, pos int")
@@ -152,7 +157,7 @@ def _judged(token: np.ndarray, piece: np.ndarray, node: np.ndarray, n: np.ndarra
     same = np.zeros(len(token), bool)
     same[1:] = (token[1:] == token[:-1]) & (piece[1:] == piece[:-1])
     again = np.zeros(len(token), bool)
-    again[1:] = same[1:] & (node[1:] == node[:-1]).all(axis=1)
+    again[1:] = same[1:] & (n[1:] == n[:-1]) & (node[1:] == node[:-1]).all(axis=1)
     rows = np.flatnonzero(~again)
     n, rest, list_of = n[rows].astype(np.int64), (n - pos)[rows].astype(np.int64), np.cumsum(~same[rows])
     met = np.where(piece[rows] >= 0, EVERY, 0).astype(np.int16)
@@ -217,9 +222,10 @@ def _shared(entries: DataFrame, share: tuple[int, int]) -> DataFrame:
             nonlocal last
             if b.num_rows:
                 # equal sets of several tasks come one after the other, also across batches
-                token, piece, node = b.column("token").to_numpy(), b.column("part").to_numpy(), _numbers(b.column("node"))
-                again = np.append(last == (token[0], piece[0], *node[0].tolist()), (token[1:] == token[:-1]) & (piece[1:] == piece[:-1]) & (node[1:] == node[:-1]).all(axis=1))
-                last = (token[-1], piece[-1], *node[-1].tolist())
+                token, piece, n, node = *(b.column(c).to_numpy() for c in ("token", "part", "n")), _numbers(b.column("node"))
+                again = (token[1:] == token[:-1]) & (piece[1:] == piece[:-1]) & (n[1:] == n[:-1]) & (node[1:] == node[:-1]).all(axis=1)
+                again = np.append(last == (token[0], piece[0], n[0], *node[0].tolist()), again)
+                last = (token[-1], piece[-1], n[-1], *node[-1].tolist())
                 b = b.take(pa.array(np.flatnonzero(~again)))
             every = np.full(b.num_rows, EVERY, np.int16)
             return with_bins(b, every, every)
@@ -298,20 +304,23 @@ class _Join:
         top = counted.orderBy(F.desc("met"), "token").limit(FREQUENT).collect()[::-1]
         frequent, met = np.array([r["token"] for r in top], np.int64).view(np.uint64), np.array([r["met"] for r in top], np.int64)
         docs = profile.where("token IS NULL")
-        self.docs = docs.select("doc_id", "row", "node", "n")
+        self.docs = s.cut(docs.select("doc_id", "row", "node", "n"), "shingle-docs")
         self.nodes = s.cut(
             docs.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("id"), F.min("row").alias("row"), *[F.min(c).alias(c) for c in ("n", *BITS)]), "shingle-nodes"
         )
+        s.drop(profile)  # its bitmaps are in nodes, and the largest shuffle comes now
         shared = s.cut(_shared(_prefixes(self.rows, self.width, self.share, frequent, met), self.share), "shared-entries")
         # sets that have too few shingles in common with all sets of a size together have no link with any of them
         bit = lambda k: F.shiftright("met", k).bitwiseAND(F.lit(1)).cast("long")
         packed = [F.sum(sum((F.shiftleft(bit(3 * j + i), COUNT_BITS * i) for i in range(3)), F.lit(0))).alias(f"c{j}") for j in range(BINS // 3)]
-        sums = shared.groupBy("node").agg(F.first("n").alias("n"), F.count(F.lit(1)).alias("entries"), *packed)
+        sums = shared.groupBy(F.col("node").alias("short"), "n").agg(F.count(F.lit(1)).alias("entries"), *packed)
         count = lambda k: F.shiftright(f"c{k // 3}", COUNT_BITS * (k % 3)).bitwiseAND(F.lit(2**COUNT_BITS - 1))
         open_ = sum((F.when(count(k) >= need, 1 << k).otherwise(0) for k, need in enumerate(_needed(F.col("n"), self.share))), F.lit(0))
         alive = F.when(F.col("entries") < 2**COUNT_BITS, open_).otherwise(EVERY)  # beyond that counts would run into one another
-        sums = s.cut(sums.select("node", alive.alias("alive")).where("alive != 0"), "open-bins")
-        kept = shared.where("near != 0").join(sums, "node").where(F.col("near").cast("int").bitwiseAND(F.col("alive")) != 0)
+        sums = sums.select("short", "n", alive.alias("alive")).where("alive != 0")
+        # sets that agree in the short digest and in size have each the entries of all of them: more to verify, none lost
+        sums = s.cut(self.nodes.select(F.substring("node", 1, SHORT).alias("short"), "n", "node").join(sums, ["short", "n"]), "open-bins")
+        kept = shared.where("near != 0").withColumnRenamed("node", "short").join(sums, ["short", "n"]).where(F.col("near").cast("int").bitwiseAND(F.col("alive")) != 0)
         self.lists = s.cut(kept.select("token", "part", "node", "n", "pos"), "index-lists")
         s.drop(shared, sums)
 

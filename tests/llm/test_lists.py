@@ -38,6 +38,31 @@ def test_entries_with_a_possible_partner_stay(spark):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
 
 
+def test_entries_name_sets_shortly_and_lists_in_full(spark):
+    """What the largest shuffle carries, and what lies on disk beside it: no whole digest, no bitmaps twice."""
+    words = [f"w{k}" for k in range(60)]
+    rows = [(k, " ".join(words[: 60 - k % 4] + [f"v{k}y{j}" for j in range(k % 4)])) for k in range(12)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "xxhash64(text) AS row", "text")
+    none = np.zeros(0, np.uint64)
+    entries = jaccard_join._prefixes(d, 5, (80, 100), none, none.view(np.int64)).collect()
+    join = jaccard_join._Join(d, 5, (80, 100), jaccard_join.Scratch(spark))
+    join.index()
+    whole = {bytes(r.node): r.n for r in join.nodes.collect()}
+    lists = join.lists.collect()
+    assert len(whole) == 10 and lists and all(whole[bytes(r.node)] == r.n for r in lists)
+    assert {(bytes(r.node), r.n) for r in entries} == {(x[:8], n) for x, n in whole.items()}
+    assert {(r.token, r.part, bytes(r.node)[:8], r.n, r.pos) for r in lists} <= {(r.token, r.part, bytes(r.node), r.n, r.pos) for r in entries}
+    assert not any("profiles" in path for _, path in join.s.held)
+
+
+def test_sets_with_the_same_short_digest_and_other_sizes_stay_apart(spark):
+    for long_list in (0, jaccard_join.LONG + 50):
+        rows = [(7, -1, b"\1" * 8, 20, 0), (7, -1, b"\1" * 8, 21, 0), (7, -1, b"\1" * 8, 21, 0)] + [(7, -1, k.to_bytes(8, "little"), 22 + k, 0) for k in range(long_list)]
+        d = spark.createDataFrame(rows, "token long, part int, node binary, n int, pos int")
+        got = sorted((r.n, bytes(r.node)) for r in jaccard_join._shared(d, (80, 100)).collect())
+        assert got == sorted({(r[3], r[2]) for r in rows})
+
+
 def test_binary_round_trip():
     x = np.arange(10, dtype=np.uint64).reshape(5, 2)
     a = jaccard_join._binary(x)
