@@ -182,3 +182,63 @@ def test_a_hub_of_many_links_counts_them_all(spark):
     got = embedding_dedup.link_embeddings(d).collect()
     assert {r.component_id for r in got} == {2**53 + 1}
     assert [r.n_links for r in got if r.vec_id == 2**53 + 1] == [302] * 3 and all(r.n_links >= 3 for r in got)
+
+
+def near_group(spark, n, size, parts=4):
+    """n vectors of 64 floats in one label, the first `size` of them near copies of one another; cosines are on either side of 0.98."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(n, 64))
+    x[:size] = rng.normal(size=64) + rng.normal(size=(size, 64)) * 0.13
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    ids = rng.permutation(n)
+    d = spark.createDataFrame([(int(k), v.tolist(), 1) for k, v in zip(ids, x, strict=True)], "vec_id long, embedding array<float>, label int").repartition(parts)
+    u = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    return d, {int(k): int(c) for k, c in zip(ids, (u @ u.T >= 0.98).sum(axis=1) - 1, strict=True)}
+
+
+def test_what_links_write_stays_below_a_multiple_of_the_input(spark, monkeypatch):
+    """A dense group has a hundred thousand pairs; the tables on disk at once follow the vectors and neither the pairs nor the hash tables."""
+    from pathlib import Path
+
+    from drayage.llm.common import Scratch
+
+    d, want = near_group(spark, 3000, 600)
+    held, cut = [], Scratch.cut
+
+    def measured(self, df, name):
+        out = cut(self, df, name)
+        held.append((name, sum(f.stat().st_size for f in Path(self.folder.removeprefix("file:").replace("//", "/")).rglob("*.parquet"))))
+        return out
+
+    monkeypatch.setattr(Scratch, "cut", measured)
+    for at_once in (256_000_000, 0):
+        held.clear()
+        monkeypatch.setattr(embedding_dedup, "PASS", at_once, raising=False)
+        got = embedding_dedup.link_embeddings(d).collect()
+        assert {r.vec_id: r.n_links for r in got} == want and len(got) == 3000
+        assert 100_000 < sum(want.values()) // 2
+        assert max(b for _, b in held) < 4 * 3000 * 64 * 4
+    assert sum(name == "vector-links" for name, _ in held) > 10  # one table a pass
+
+
+def test_links_of_a_bucket_in_cells(spark):
+    """A bucket with more rows than two tasks have is cut into cells; its links are the same, and components too."""
+    d, want = near_group(spark, 1200, 900)
+    twice = d.union(d.where("vec_id < 100").selectExpr("vec_id + 5000 AS vec_id", "embedding", "label"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    plain = {r.vec_id: r for r in embedding_dedup.link_embeddings(twice).collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        assert {r.vec_id: r for r in embedding_dedup.link_embeddings(twice).collect()} == plain
+        assert {r.vec_id: r.n_links for r in embedding_dedup.link_embeddings(d).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_links_between_lengths_in_different_batches(spark):
+    rng = np.random.default_rng(12)
+    short = [rng.normal(size=3).tolist() for _ in range(40)]
+    d = spark.createDataFrame([(k, v, "a") for k, v in enumerate(short)], "vec_id long, embedding array<double>, label string").coalesce(1)
+    d = d.union(spark.createDataFrame([(100 + k, [*(2 * x for x in v), *[0.0] * 6], "a") for k, v in enumerate(short)], d.schema).coalesce(1))
+    got = {r.vec_id: r for r in embedding_dedup.link_embeddings(d, least=0.9999).collect()}
+    assert all(got[100 + k].component_id == got[k].component_id <= k and got[k].n_links == got[100 + k].n_links > 0 for k in range(40))
