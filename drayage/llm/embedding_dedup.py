@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from drayage.llm.common import Scratch, claim, components, ship, worker_cache
 
 #: Rows that a bucket may have on average before another hash is joined to its name: comparing so many costs less than more tables.
-FULL = 1024
+FULL = 4096
 #: Bytes of shuffled vectors that one pass may take whatever the table's size; beyond them a pass has one table.
 PASS = 256_000_000
 
@@ -87,6 +87,13 @@ def unit(v: np.ndarray) -> np.ndarray:
     return out / np.sqrt((out**2).sum(axis=1, keepdims=True))
 
 
+def nearly_unit(v: np.ndarray) -> np.ndarray:
+    """The same in single precision, in a tenth of the time: for what is looked at again near the bound."""
+    out = (v / np.abs(v).max(axis=1, keepdims=True)).astype(np.float32)
+    out /= np.sqrt(np.einsum("ij,ij->i", out, out))[:, None]
+    return out
+
+
 def wider(x: np.ndarray, width: int) -> np.ndarray:
     return x if x.shape[1] == width else np.pad(x, ((0, 0), (0, width - x.shape[1])))
 
@@ -178,14 +185,14 @@ class Layout:
         # what of a bucket may differ though its 64-bit names agree, and cells of two parts
         mixed = (place[1:] == place[:-1]) & ((t[1:] != t[:-1]) | (lab[1:] != lab[:-1]) | (own[1:] != own[:-1]))
         exact = [x for x in (t, lab, own) if mixed.any()]
-        x, slack = unit(raw).astype(np.float32), 1e-5 + 1e-7 * raw.shape[1]
+        x, slack = nearly_unit(raw), np.float32(1e-5 + 2e-7 * raw.shape[1])
         near, root, several = np.zeros(len(place), np.int64), np.arange(len(place)), copies.max() > 1
         done = 0
         while done < len(place):
             a, done = done, min(len(place), done + 256)
             done = min(done, a + max(16, 4_000_000 // (end[done - 1] - a)))
             cosine = x[a:done] @ x[a : end[done - 1]].T
-            i, j = (k + a for k in np.nonzero(cosine >= least - slack))
+            i, j = (k + a for k in np.divmod(np.flatnonzero(cosine >= least - slack), cosine.shape[1]))
             keep = (j > i) & (j < end[i])
             for y in exact:
                 keep &= y[i] == y[j]
